@@ -115,7 +115,8 @@ class File:
     ``datasets`` the relative sub-folder of every file is carried in a
     ``dataset`` column and written back as one sub-folder per dataset.
     ``checkpoint`` makes the read process-once: each file is read by one run
-    only, and moved to ``archive`` afterwards when that is set.
+    only, and moved to ``archive`` afterwards when that is set;
+    ``files_per_batch`` splits a large run into batches that commit one by one.
     """
 
     format: FileFormat
@@ -125,6 +126,7 @@ class File:
     single_file: bool = False
     checkpoint: str | None = None
     archive: str | None = None
+    files_per_batch: int | None = None
 
     def summary(self) -> str:
         return f"File: Path '{self.path}' in '{type(self.format).__name__.lower()}' format"
@@ -207,7 +209,7 @@ class Topic:
     ``keep`` (a ``_corrupt_record`` column) or a folder for the bad messages.
     Writing: ``key`` is None, ``uuid`` or the name of a column. ``checkpoint``
     holds the progress of a streaming read. A mirrored topic keeps its keys
-    unless ``keep_key`` is off.
+    unless ``keep_key`` is off. ``options`` go to the broker's source and sink.
     """
 
     name: str

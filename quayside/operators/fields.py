@@ -1,17 +1,19 @@
 """How the fields of a document frame are searched: as text or as keywords.
 
 A ``text`` field is matched token by token, any other field by its whole
-value. Strings are text unless the mapping says ``keyword``.
+value. Strings are text unless the mapping says ``keyword``. An array field
+holds several values, any of which may match; a dotted name is a field of a
+struct.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, NumericType, StringType
+from pyspark.sql.types import ArrayType, DataType, NumericType, StringType, StructType
 
 from quayside.functions import tokens as tk
 
@@ -31,78 +33,80 @@ def _wildcard_to_like(wildcard: str) -> str:
 class Field:
     """Conditions on one field; a field that does not exist matches nothing."""
 
-    name: str
+    column: Column | None
     type: DataType | None
     is_text: bool
 
     @property
-    def column(self) -> Column:
-        return F.col(f"`{self.name}`")
+    def value_type(self) -> DataType | None:
+        return self.type.elementType if isinstance(self.type, ArrayType) else self.type
 
     @property
-    def as_string(self) -> Column:
-        return self.column if isinstance(self.type, StringType) else self.column.cast("string")
+    def is_string(self) -> bool:
+        return isinstance(self.value_type, StringType)
 
-    @property
-    def _absent(self) -> bool:
-        return self.type is None or (not self.is_text and isinstance(self.type, ArrayType))
+    def _any_value(self, condition: Callable[[Column], Column]) -> Column:
+        """The condition holds for the value, or for one of the values of an array."""
+        if self.type is None:
+            return F.lit(False)
+        if isinstance(self.type, ArrayType):
+            return F.exists(self.column, lambda value: condition(value))
+        return condition(self.column)
+
+    def _as_string(self, value: Column) -> Column:
+        return value if self.is_string else value.cast("string")
 
     def analysed(self, value: str) -> list[str]:
         return tk.analyse(value) if self.is_text else [value]
 
     def token_array(self) -> Column:
-        return tk.tokens(self.column) if self.is_text else F.array(self.as_string)
+        values = self.column if isinstance(self.type, ArrayType) else F.array(self.column)
+        if self.is_text:
+            if not isinstance(self.type, ArrayType):
+                return tk.tokens(self.column)
+            return F.flatten(F.transform(values, lambda value: tk.tokens(value)))
+        return F.transform(values, lambda value: self._as_string(value))
 
-    def any_term(self, values: Sequence[str]) -> Column:
-        """The exact value is one of the field's terms."""
-        if self._absent:
-            return F.lit(False)
-        return tk.has_any_token(self.column, values) if self.is_text else self.any_value(values)
+    def any_term(self, terms: Sequence[str]) -> Column:
+        """One of the terms is a token of a text, or the whole value of another field."""
+        if self.is_text:
+            return self._any_value(lambda value: tk.has_any_token(value, terms))
+        return self.any_value(terms)
 
     def any_value(self, values: Sequence[str]) -> Column:
         """The whole value, written as text, is one of the values."""
-        if self._absent:
-            return F.lit(False)
-        if isinstance(self.type, StringType):
-            return self.column.isin(list(values))
-        return self.column.isin([F.lit(value).try_cast(self.type) for value in values])
+        if self.is_string:
+            return self._any_value(lambda value: value.isin(list(values)))
+        return self._any_value(lambda value: value.isin([F.lit(v).try_cast(self.value_type) for v in values]))
 
-    def match(self, value: str) -> Column:
-        return self.any_term(self.analysed(value))
+    def match(self, text: str) -> Column:
+        return self.any_term(self.analysed(text))
 
-    def phrase(self, value: str) -> Column:
-        if self._absent:
-            return F.lit(False)
+    def phrase(self, text: str) -> Column:
         if self.is_text:
-            return tk.has_phrase(self.column, tk.analyse(value))
-        return self.any_term([value])
+            return self._any_value(lambda value: tk.has_phrase(value, tk.analyse(text)))
+        return self.any_value([text])
 
-    def prefix(self, value: str) -> Column:
-        if self._absent:
-            return F.lit(False)
-        return tk.has_token_prefix(self.column, value) if self.is_text else self.as_string.startswith(value)
+    def prefix(self, start: str) -> Column:
+        if self.is_text:
+            return self._any_value(lambda value: tk.has_token_prefix(value, start))
+        return self._any_value(lambda value: self._as_string(value).startswith(start))
 
-    def wildcard(self, value: str) -> Column:
-        if self._absent:
-            return F.lit(False)
+    def wildcard(self, pattern: str) -> Column:
         if self.is_text:
-            return tk.has_token_like(self.column, value)
-        return self.as_string.like(_wildcard_to_like(value))
+            return self._any_value(lambda value: tk.has_token_like(value, pattern))
+        return self._any_value(lambda value: self._as_string(value).like(_wildcard_to_like(pattern)))
 
-    def regex(self, value: str) -> Column:
-        if self._absent:
-            return F.lit(False)
+    def regex(self, pattern: str) -> Column:
         if self.is_text:
-            return tk.has_token_matching(self.column, value)
-        return tk.full_match(self.as_string, value)
+            return self._any_value(lambda value: tk.has_token_matching(value, pattern))
+        return self._any_value(lambda value: tk.full_match(self._as_string(value), pattern))
 
-    def fuzzy(self, value: str, edits: int | None = None) -> Column:
-        if self._absent:
-            return F.lit(False)
-        edits = tk.auto_edits(value) if edits is None else edits
+    def fuzzy(self, word: str, edits: int | None = None) -> Column:
+        edits = tk.auto_edits(word) if edits is None else edits
         if self.is_text:
-            return tk.has_token_within(self.column, value, edits)
-        return tk.within_edits(self.as_string, value, edits)
+            return self._any_value(lambda value: tk.has_token_within(value, word, edits))
+        return self._any_value(lambda value: tk.within_edits(self._as_string(value), word, edits))
 
     def exists(self) -> Column:
         if self.type is None:
@@ -110,16 +114,22 @@ class Field:
         present = self.column.isNotNull()
         return present & (F.size(self.column) > 0) if isinstance(self.type, ArrayType) else present
 
-    def between(self, gte: Column | None, lte: Column | None) -> Column:
-        """Inclusive bounds, each optional; an unbounded range only needs a value."""
-        if self.type is None:
-            return F.lit(False)
-        bounds = []
-        if gte is not None:
-            bounds.append(self.column >= gte)
-        if lte is not None:
-            bounds.append(self.column <= lte)
-        return tk.all_of(bounds) if bounds else self.exists()
+    def between(
+        self, low: Column | None, high: Column | None, open_low: bool = False, open_high: bool = False
+    ) -> Column:
+        """The value lies between the bounds, each optional, inclusive unless open."""
+        if low is None and high is None:
+            return self.exists()
+
+        def inside(value: Column) -> Column:
+            bounds = []
+            if low is not None:
+                bounds.append(value > low if open_low else value >= low)
+            if high is not None:
+                bounds.append(value < high if open_high else value <= high)
+            return tk.all_of(bounds)
+
+        return self._any_value(inside)
 
 
 @dataclass(frozen=True)
@@ -134,15 +144,24 @@ class Documents:
     def __post_init__(self):
         object.__setattr__(self, "kinds", field_kinds(self.mapping))
 
+    def _resolve(self, name: str) -> tuple[Column | None, DataType | None]:
+        """Column and type of a name, or of a path into structs."""
+        if name in self.frame.columns:
+            return F.col(f"`{name}`"), self.frame.schema[name].dataType
+        column, data_type = None, self.frame.schema
+        for part in name.split("."):
+            if not isinstance(data_type, StructType) or part not in data_type.names:
+                return None, None
+            column = F.col(f"`{part}`") if column is None else column.getField(part)
+            data_type = data_type[part].dataType
+        return column, data_type
+
     def field(self, name: str) -> Field:
-        if name not in self.frame.columns:
-            return Field(name, None, False)
-        data_type = self.frame.schema[name].dataType
-        default = "text" if isinstance(data_type, StringType) else "keyword"
-        is_text = self.kinds.get(name, default) == "text" and isinstance(data_type, StringType)
-        return Field(name, data_type, is_text)
+        column, data_type = self._resolve(name)
+        is_string = isinstance(Field(column, data_type, False).value_type, StringType)
+        return Field(column, data_type, is_string and self.kinds.get(name, "text") == "text")
 
     def searchable(self) -> list[Field]:
         """Fields that a search without a field name looks into."""
         fields = [self.field(name) for name in self.frame.columns if name != self.id_column]
-        return [f for f in fields if isinstance(f.type, (StringType, NumericType))]
+        return [f for f in fields if isinstance(f.value_type, (StringType, NumericType))]

@@ -98,14 +98,11 @@ def _word(field: Field, word: str) -> Column:
 def _range(field: Field, low: str, high: str, open_low: bool, open_high: bool) -> Column:
     if field.type is None:
         return F.lit(False)
-    conditions = [field.exists()]
-    if low != "*":
-        bound = F.lit(low).try_cast(field.type)
-        conditions.append(field.column > bound if open_low else field.column >= bound)
-    if high != "*":
-        bound = F.lit(high).try_cast(field.type)
-        conditions.append(field.column < bound if open_high else field.column <= bound)
-    return tk.all_of(conditions)
+
+    def bound(text: str) -> Column | None:
+        return None if text == "*" else F.lit(text).try_cast(field.value_type)
+
+    return field.between(bound(low), bound(high), open_low, open_high)
 
 
 def _query_part(found: re.Match, docs: Documents) -> Column:

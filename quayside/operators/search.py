@@ -184,8 +184,8 @@ class MoreLikeThis:
         held = []
         for i, (field, counts) in enumerate(wanted.values()):
             words = F.array_intersect(field.token_array(), F.array(*map(F.lit, counts)))
-            pairs = F.transform(words, lambda w, i=i: F.struct(F.lit(i).alias("field"), w.alias("word")))
-            held.append(F.coalesce(pairs, F.array().cast(term_type)))
+            numbers = F.array_repeat(F.lit(i), F.size(words))
+            held.append(F.coalesce(F.arrays_zip(numbers, words).cast(term_type), F.array().cast(term_type)))
         frequencies = (
             docs.frame.select(F.explode(F.concat(*held)).alias("term"))
             .groupBy("term.field", "term.word")

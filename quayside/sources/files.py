@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from quayside.endpoints import Avro, Csv, File, FileFormat, Json, Orc, Parquet, Xlsx, Xml
+from quayside.functions.messages import CORRUPT
 from quayside.sources import storage, xlsx
 
 # Spark ships its Avro file format, only the short name is in another package.
@@ -36,17 +37,20 @@ def _csv_options(fmt: Csv) -> dict:
     }
 
 
-def read_options(fmt: FileFormat, typed: bool) -> dict:
+def read_options(fmt: FileFormat, schema: StructType | None) -> dict:
+    if not isinstance(fmt, (Csv, Json, Xml)):
+        return {}
+    options = dict(MICROS)
+    if schema is not None and CORRUPT not in schema.names:
+        # Without a column for them, malformed records must not turn into NULLs.
+        options["mode"] = "FAILFAST"
     if isinstance(fmt, Csv):
         # An empty value is NULL, a quoted empty value is the empty string.
-        lossless = {"nullValue": "\0", "multiLine": fmt.multiline}
-        return _csv_options(fmt) | lossless | {"inferSchema": fmt.infer_schema and not typed}
+        options |= _csv_options(fmt) | {"nullValue": "\0", "multiLine": fmt.multiline}
+        options |= {"inferSchema": fmt.infer_schema and schema is None, "enforceSchema": not fmt.header}
     if isinstance(fmt, Xml):
-        spaces = {"ignoreSurroundingSpaces": False} if typed else {}
-        return {"rowTag": fmt.row_tag} | spaces | MICROS
-    if isinstance(fmt, Json):
-        return dict(MICROS)
-    return {}
+        options |= {"rowTag": fmt.row_tag, "ignoreSurroundingSpaces": schema is None}
+    return options
 
 
 def write_options(fmt: FileFormat) -> dict:
@@ -65,6 +69,8 @@ def load(spark: SparkSession, endpoint: File, stream: bool = False) -> DataFrame
     """One scan over all files below the path, as a batch or as a stream of new files."""
     fmt, schema = endpoint.format, endpoint.schema
     reader = (spark.readStream if stream else spark.read).option("recursiveFileLookup", True)
+    if stream and endpoint.files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", endpoint.files_per_batch)
     if stream and endpoint.archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", endpoint.archive)
     if isinstance(fmt, Xlsx):
@@ -72,7 +78,7 @@ def load(spark: SparkSession, endpoint: File, stream: bool = False) -> DataFrame
         rows = xlsx.read_workbooks(files, schema)
         file_path = F.col(xlsx.FILE_COLUMN)
     else:
-        reader = reader.format(source_name(fmt)).options(**read_options(fmt, schema is not None))
+        reader = reader.format(source_name(fmt)).options(**read_options(fmt, schema))
         rows = (reader if schema is None else reader.schema(schema)).load(endpoint.path)
         file_path = F.col("_metadata.file_path")
     if endpoint.datasets:

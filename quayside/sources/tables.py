@@ -12,7 +12,7 @@ from quayside.operators.upsert import latest_per_key
 from quayside.sources import storage
 
 WIDE_COLUMN_SOURCE = "org.apache.spark.sql.cassandra"
-VERSION = "__version"
+VERSION = "row_version"
 
 
 # --- relational ------------------------------------------------------------
@@ -59,8 +59,8 @@ def write_relational(frame: DataFrame, endpoint: RelationalTable, mode: str) ->
 # --- keyed -----------------------------------------------------------------
 #
 # In a folder, every write is one version: rows with distinct keys. A write
-# never reads older versions; a read takes the latest version of each key, and
-# is a plain scan while there is only one.
+# never reads older versions. A read scans the oldest version, without the keys
+# that later versions hold, and adds the latest row of each of those.
 
 
 def keyed_path(endpoint: KeyedTable) -> str:
@@ -80,9 +80,15 @@ def read_keyed(spark: SparkSession, endpoint: KeyedTable) -> DataFrame:
         return spark.read.format(WIDE_COLUMN_SOURCE).options(**_connector_options(endpoint)).load()
     path = keyed_path(endpoint)
     rows = spark.read.parquet(path)
-    if len(storage.sub_folders(spark, path)) == 1:
-        return rows.drop(VERSION)
-    return latest_per_key(rows, endpoint.keys, [VERSION]).drop(VERSION)
+    versions = [name.removeprefix(f"{VERSION}=") for name in storage.sub_folders(spark, path)]
+    first = rows.where(F.col(VERSION) == versions[0]).drop(VERSION)
+    if len(versions) == 1:
+        return first
+    later = rows.where(F.col(VERSION) > versions[0])
+    latest = latest_per_key(later, endpoint.keys, [VERSION]).drop(VERSION)
+    replaced = latest.select([F.col(f"`{key}`").alias(f"__{key}") for key in endpoint.keys])
+    same_key = [F.col(f"`{key}`").eqNullSafe(F.col(f"`__{key}`")) for key in endpoint.keys]
+    return first.join(replaced, same_key, "left_anti").unionByName(latest)
 
 
 def write_keyed(frame: DataFrame, endpoint: KeyedTable, mode: str) -> None:
