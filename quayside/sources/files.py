@@ -74,31 +74,35 @@ def load(spark: SparkSession, endpoint: File, stream: bool = False) -> DataFrame
     if stream and endpoint.archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", endpoint.archive)
     if isinstance(fmt, Xlsx):
-        files = reader.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(endpoint.path)
-        rows = xlsx.read_workbooks(files, schema)
+        files = reader.format("binaryFile").schema(xlsx.BINARY_FILE).option("pathGlobFilter", "*.xlsx")
+        rows = xlsx.read_workbooks(files.load(endpoint.path), schema)
         file_path = F.col(xlsx.FILE_COLUMN)
     else:
         reader = reader.format(source_name(fmt)).options(**read_options(fmt, schema))
         rows = (reader if schema is None else reader.schema(schema)).load(endpoint.path)
-        file_path = F.col("_metadata.file_path")
+        file_path = _decoded(F.col("_metadata.file_path"))
     if endpoint.datasets:
         rows = rows.withColumn("dataset", dataset_of(file_path, storage.qualified(spark, endpoint.path)))
     return rows.drop(xlsx.FILE_COLUMN)
 
 
+def _decoded(text: Column) -> Column:
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def dataset_of(path: Column, root: str) -> Column:
     """Folder of a file relative to the root; ``.`` for the root itself.
 
     A folder written per dataset (``dataset=name``), by a stream also per batch
     (``batch-…``), gives that name back.
     """
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    below_root = F.regexp_replace(plain, r"^[a-z0-9]+:/+", "/")
+    below_root = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
     base = root.partition(":")[2] if ":" in root else root
     start = len("/" + base.strip("/")) + 2
     folder = F.regexp_replace(F.substr(below_root, F.lit(start)), r"/?[^/]*$", "")
-    name = F.regexp_replace(folder, r"^(batch-[^/]*(/|$))?(dataset=)?", "")
-    return F.when(name == "", F.lit(".")).otherwise(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
+    name = F.regexp_replace(folder, r"^batch-[^/]*(/|$)", "")
+    written = F.regexp_extract(name, "^dataset=(.*)$", 1)
+    return F.when(written != "", _decoded(written)).when(name == "", F.lit(".")).otherwise(name)
 
 
 def _check_flat(frame: DataFrame, fmt: FileFormat) -> None:

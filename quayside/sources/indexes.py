@@ -15,16 +15,20 @@ def index_path(index: Index) -> str:
     return f"{index.folder.rstrip('/')}/{index.name}"
 
 
-def _connector_options(index: Index) -> dict:
-    return {"es.nodes": index.nodes, "es.resource": index.name}
+def read_options(index: Index) -> dict:
+    return {"es.nodes": index.nodes, "es.resource": index.name, "es.read.metadata": "true"}
+
+
+def write_options(index: Index) -> dict:
+    options = {"es.nodes": index.nodes, "es.resource": index.name, "es.batch.size.entries": str(index.bulk_size)}
+    return options if index.id_column is None else options | {"es.mapping.id": index.id_column}
 
 
 def read_index(spark: SparkSession, index: Index) -> DataFrame:
     """All documents of the index, each with its ``_id``."""
     if index.folder is not None:
         return spark.read.option("recursiveFileLookup", True).parquet(index_path(index))
-    options = _connector_options(index) | {"es.read.metadata": "true"}
-    documents = spark.read.format(INDEX_SOURCE).options(**options).load()
+    documents = spark.read.format(INDEX_SOURCE).options(**read_options(index)).load()
     return documents.withColumn(ID, F.element_at("_metadata", ID)).drop("_metadata")
 
 
@@ -40,7 +44,4 @@ def write_index(frame: DataFrame, index: Index) -> None:
     if index.folder is not None:
         with_ids(frame, index).write.mode("append").parquet(index_path(index))
         return
-    options = _connector_options(index) | {"es.batch.size.entries": str(index.bulk_size)}
-    if index.id_column is not None:
-        options["es.mapping.id"] = index.id_column
-    frame.write.format(INDEX_SOURCE).options(**options).mode("append").save()
+    frame.write.format(INDEX_SOURCE).options(**write_options(index)).mode("append").save()

@@ -67,7 +67,7 @@ def keyed_path(endpoint: KeyedTable) -> str:
     return f"{endpoint.folder.rstrip('/')}/{endpoint.keyspace}.{endpoint.table}"
 
 
-def _connector_options(endpoint: KeyedTable) -> dict:
+def connector_options(endpoint: KeyedTable) -> dict:
     return {
         "keyspace": endpoint.keyspace,
         "table": endpoint.table,
@@ -77,7 +77,7 @@ def _connector_options(endpoint: KeyedTable) -> dict:
 
 def read_keyed(spark: SparkSession, endpoint: KeyedTable) -> DataFrame:
     if endpoint.folder is None:
-        return spark.read.format(WIDE_COLUMN_SOURCE).options(**_connector_options(endpoint)).load()
+        return spark.read.format(WIDE_COLUMN_SOURCE).options(**connector_options(endpoint)).load()
     path = keyed_path(endpoint)
     rows = spark.read.parquet(path)
     versions = [name.removeprefix(f"{VERSION}=") for name in storage.sub_folders(spark, path)]
@@ -93,7 +93,7 @@ def read_keyed(spark: SparkSession, endpoint: KeyedTable) -> DataFrame:
 
 def write_keyed(frame: DataFrame, endpoint: KeyedTable, mode: str) -> None:
     if endpoint.folder is None:
-        writer = frame.write.format(WIDE_COLUMN_SOURCE).options(**_connector_options(endpoint))
+        writer = frame.write.format(WIDE_COLUMN_SOURCE).options(**connector_options(endpoint))
         if mode == "overwrite":
             writer = writer.option("confirm.truncate", True)
         writer.mode(mode).save()

@@ -31,10 +31,26 @@ def log_path(topic: Topic) -> str:
     return f"{topic.folder.rstrip('/')}/{topic.name}"
 
 
-def _broker_options(topic: Topic) -> dict:
+def broker_options(topic: Topic) -> dict:
     return {"kafka.bootstrap.servers": topic.brokers, **topic.options}
 
 
+def batch_read_options(topic: Topic) -> dict:
+    return broker_options(topic) | {
+        "subscribe": topic.name,
+        "startingOffsets": "earliest",
+        "endingOffsets": "latest",
+    }
+
+
+def stream_read_options(topic: Topic) -> dict:
+    return broker_options(topic) | {"subscribe": topic.name, "startingOffsets": topic.offset}
+
+
+def write_options(topic: Topic) -> dict:
+    return broker_options(topic) | {"topic": topic.name}
+
+
 # --- reading ---------------------------------------------------------------
 
 
@@ -44,15 +60,13 @@ def read_messages(spark: SparkSession, topic: Topic) -> DataFrame:
         log.warning("a batch read of topic %s starts at 'earliest', not 'latest'", topic.name)
     if topic.folder is not None:
         return spark.read.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", True).parquet(log_path(topic))
-    ends = {"subscribe": topic.name, "startingOffsets": "earliest", "endingOffsets": "latest"}
-    return spark.read.format("kafka").options(**_broker_options(topic), **ends).load()
+    return spark.read.format("kafka").options(**batch_read_options(topic)).load()
 
 
 def stream_messages(spark: SparkSession, topic: Topic) -> DataFrame:
     """New messages as they arrive, from the offset on when there is no checkpoint yet."""
     if topic.folder is None:
-        start = {"subscribe": topic.name, "startingOffsets": topic.offset}
-        return spark.readStream.format("kafka").options(**_broker_options(topic), **start).load()
+        return spark.readStream.format("kafka").options(**stream_read_options(topic)).load()
     reader = spark.readStream.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", True)
     arriving = reader.parquet(log_path(topic))
     resumed = topic.checkpoint is not None and storage.exists(spark, f"{topic.checkpoint}/commits")
@@ -108,4 +122,4 @@ def publish(pairs: DataFrame, topic: Topic) -> None:
     if topic.folder is not None:
         as_log(pairs, topic).write.mode("append").parquet(log_path(topic))
         return
-    pairs.write.format("kafka").options(**_broker_options(topic)).option("topic", topic.name).save()
+    pairs.write.format("kafka").options(**write_options(topic)).save()

@@ -34,6 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 OWN_SOURCE = "quayside_xlsx"
 FILE_COLUMN = "__file"
 ROWS_PER_BATCH = 10_000
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 # Fixed values of the workbook format.
 SHEET_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"

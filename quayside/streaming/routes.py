@@ -62,8 +62,7 @@ def start_stream(spark: SparkSession, route: Route) -> StreamingQuery:
 
     if isinstance(output, Topic) and output.brokers is not None:
         pairs = topics.to_messages(rows, output) if to_pairs else rows
-        options = {"kafka.bootstrap.servers": output.brokers, "topic": output.name, **output.options}
-        writer = pairs.writeStream.format("kafka").options(**options)
+        writer = pairs.writeStream.format("kafka").options(**topics.write_options(output))
         return _triggered(writer, source).option("checkpointLocation", source.checkpoint).start()
 
     def handle(frame: DataFrame, batch_id: int) -> None:
