@@ -184,8 +184,7 @@ class MoreLikeThis:
         held = []
         for i, (field, counts) in enumerate(wanted.values()):
             words = F.array_intersect(field.token_array(), F.array(*map(F.lit, counts)))
-            numbers = F.array_repeat(F.lit(i), F.size(words))
-            held.append(F.coalesce(F.arrays_zip(numbers, words).cast(term_type), F.array().cast(term_type)))
+            held.append(F.coalesce(_numbered(words, i), F.array().cast(term_type)))
         frequencies = (
             docs.frame.select(F.explode(F.concat(*held)).alias("term"))
             .groupBy("term.field", "term.word")
@@ -211,6 +210,10 @@ class MoreLikeThis:
         return best.agg(F.struct(*per_field, needed.alias("needed"))).scalar()
 
 
+def _numbered(words: Column, number: int) -> Column:
+    return F.transform(words, lambda word: F.struct(F.lit(number).alias("field"), word.alias("word")))
+
+
 # Spark type of each kind of range bound.
 RANGE_TYPES = {"integer": "int", "long": "bigint", "float": "double", "string": "string"}
 

@@ -126,18 +126,11 @@ def write(frame: DataFrame, endpoint: File, mode: str) -> None:
 
 
 def _write_workbooks(frame: DataFrame, endpoint: File, mode: str) -> None:
-    spark = frame.sparkSession
-    if storage.exists(spark, endpoint.path):
+    if storage.exists(frame.sparkSession, endpoint.path):
         if mode == "ignore":
             return
         if mode == "errorifexists":
             raise FileExistsError(f"path {endpoint.path} already exists")
-    spark.dataSource.register(xlsx.XlsxSink)
-    options = {
-        "path": storage.qualified(spark, endpoint.path),
-        "sheet": endpoint.format.sheet,
-        "rowsPerWorkbook": endpoint.format.rows_per_workbook,
-        "datasets": endpoint.datasets,
-    }
-    writer = frame.write.format(xlsx.OWN_SOURCE).options(**options)
-    writer.mode("overwrite" if mode == "overwrite" else "append").save()
+    by = "dataset" if endpoint.datasets else None
+    fmt = endpoint.format
+    xlsx.write_workbooks(frame, endpoint.path, mode == "overwrite", fmt.sheet, fmt.rows_per_workbook, by)

@@ -1,23 +1,25 @@
-"""Writing formats that Spark has no writer for: part files by Python tasks.
+"""Writing a format that Spark has no writer for: part files by Python tasks.
 
 Spark partitions the rows; each task streams its own part files into a hidden
-staging folder of the target's file system and reports their names; the
-driver moves the reported files into place once all tasks have succeeded.
-A task that is lost or runs twice leaves only unreported staging files.
+staging folder on the target's file system and returns their names; the driver
+moves the returned files into place once all tasks have succeeded. A task that
+is lost or runs twice leaves only staged files that nobody names.
 """
 
 from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
-from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql import DataFrame
+
+from quayside.sources import storage
 
 # Ship this code with the tasks: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,80 +33,68 @@ def file_system(uri: str):
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
-class PartFiles(WriterCommitMessage):
-    """Names of the part files one task has staged."""
-
-    def __init__(self, names: list[str]):
-        self.names = names
+def _by_folder(batch: pa.RecordBatch, by: str | None) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """The rows of each sub-folder, named after the values of a column."""
+    if by is None:
+        yield "", batch
+        return
+    values, rest = batch.column(by), batch.drop_columns([by])
+    for value in pc.unique(values).to_pylist():
+        yield f"{by}={quote(str(value), safe=' .')}/", rest.filter(pc.equal(values, value))
 
 
-class PartFileWriter(DataSourceArrowWriter):
-    """``open_part(stream)`` gives an object with ``write(batch)`` and ``close()``."""
+def task_writer(stage: str, suffix: str, rows_per_file: int, by: str | None, open_part: Callable) -> Callable:
+    """Function from batches of rows to batches of the names of the part files that hold them.
 
-    def __init__(self, path: str, suffix: str, overwrite: bool, rows_per_file: int, by: str | None, open_part: Callable):
-        self.path, self.suffix, self.overwrite = path, suffix, overwrite
-        self.rows_per_file, self.by, self.open_part = rows_per_file, by, open_part
-        self.stage = f"_staging-{uuid.uuid4().hex}"
+    ``open_part(stream)`` gives an object with ``write(batch)`` and ``close()``.
+    """
 
-    def write(self, iterator):
-        fs, root = file_system(self.path)
+    def write(batches):
+        fs, root = file_system(stage)
         names: list[str] = []
-        parts: dict = {}
-        for batch in iterator:
-            for folder, rows in self._by_folder(batch):
+        parts: dict[str, list] = {}
+
+        def close(part: list) -> None:
+            part[0].close()
+            part[1].close()
+
+        for batch in batches:
+            for folder, rows in _by_folder(batch, by):
                 done = 0
                 while done < rows.num_rows:
                     if folder not in parts:
-                        names.append(f"{folder}part-{uuid.uuid4().hex}{self.suffix}")
-                        target = f"{root}/{self.stage}/{names[-1]}"
-                        fs.create_dir(target.rpartition("/")[0], recursive=True)
-                        stream = fs.open_output_stream(target, compression=None)
-                        parts[folder] = [self.open_part(stream), stream, 0]
+                        names.append(f"{folder}part-{uuid.uuid4().hex}{suffix}")
+                        fs.create_dir(f"{root}/{folder}", recursive=True)
+                        stream = fs.open_output_stream(f"{root}/{names[-1]}", compression=None)
+                        parts[folder] = [open_part(stream), stream, 0]
                     part = parts[folder]
-                    take = min(self.rows_per_file - part[2], rows.num_rows - done)
+                    take = min(rows_per_file - part[2], rows.num_rows - done)
                     part[0].write(rows.slice(done, take))
                     part[2] += take
                     done += take
-                    if part[2] == self.rows_per_file:
-                        self._close(parts.pop(folder))
+                    if part[2] == rows_per_file:
+                        close(parts.pop(folder))
         for part in parts.values():
-            self._close(part)
-        return PartFiles(names)
-
-    @staticmethod
-    def _close(part) -> None:
-        part[0].close()
-        part[1].close()
-
-    def _by_folder(self, batch: pa.RecordBatch):
-        if self.by is None:
-            return [("", batch)]
-        values = batch.column(self.by)
-        rest = batch.drop_columns([self.by])
-        return [
-            (f"{self.by}={quote(str(value), safe=' .')}/", rest.filter(pc.equal(values, value)))
-            for value in pc.unique(values).to_pylist()
-        ]
-
-    def commit(self, messages) -> None:
-        fs, root = file_system(self.path)
-        fs.create_dir(root, recursive=True)
-        if self.overwrite:
-            for old in fs.get_file_info(pafs.FileSelector(root)):
-                if old.base_name == self.stage:
-                    continue
-                if old.type == pafs.FileType.Directory:
-                    fs.delete_dir(old.path)
-                else:
-                    fs.delete_file(old.path)
-        for message in messages:
-            for name in message.names if message else []:
-                target = f"{root}/{name}"
-                fs.create_dir(target.rpartition("/")[0], recursive=True)
-                fs.move(f"{root}/{self.stage}/{name}", target)
-        self.abort(messages)
-
-    def abort(self, messages) -> None:
-        fs, root = file_system(self.path)
-        if fs.get_file_info(f"{root}/{self.stage}").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{root}/{self.stage}")
+            close(part)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+
+    return write
+
+
+def write_part_files(
+    frame: DataFrame, path: str, overwrite: bool, suffix: str, rows_per_file: int, by: str | None, open_part: Callable
+) -> None:
+    """Write the rows as part files; only the names of the files reach the driver."""
+    spark = frame.sparkSession
+    root = storage.qualified(spark, path)
+    stage = f"{root}/_staging-{uuid.uuid4().hex}"
+    try:
+        task = task_writer(stage, suffix, rows_per_file, by, open_part)
+        names = [row["name"] for row in frame.mapInArrow(task, "name string").collect()]
+        storage.make_folder(spark, root)
+        if overwrite:
+            storage.delete_visible(spark, root)
+        for name in names:
+            storage.move(spark, f"{stage}/{name}", f"{root}/{name}")
+    finally:
+        storage.delete(spark, stage)

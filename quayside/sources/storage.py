@@ -32,6 +32,33 @@ def sub_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith((".", "_")))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, fs = hadoop_path(spark, path)
+    fs.mkdirs(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, fs = hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+def delete_visible(spark: SparkSession, path: str) -> None:
+    """Delete what Spark would read from a folder, but not the hidden entries."""
+    target, fs = hadoop_path(spark, path)
+    for status in fs.listStatus(target):
+        if not status.getPath().getName().startswith((".", "_")):
+            fs.delete(status.getPath(), True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to a name that is still free, making its folder."""
+    old, fs = hadoop_path(spark, source)
+    new, _ = hadoop_path(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared area the cluster names in ``spark.checkpoint.dir``.
 

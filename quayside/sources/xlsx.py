@@ -20,26 +20,29 @@ from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quayside.sources.part_files import PartFileWriter
+from quayside.sources.part_files import write_part_files
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-OWN_SOURCE = "quayside_xlsx"
 FILE_COLUMN = "__file"
 ROWS_PER_BATCH = 10_000
+STRETCH = 1 << 20
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 # Fixed values of the workbook format.
 SHEET_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+TEXT_TAG, VALUE_TAG = f"{SHEET_NS}t", f"{SHEET_NS}v"
 LONGEST_TEXT = 32_767
 EPOCH = dt.datetime(1899, 12, 30)
+EPOCH_DAYS = 25_569  # from the format's epoch to 1970
+DAY = 86_400_000_000  # microseconds
 DATE_FORMAT_IDS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 DATETIME_STYLE, DATE_STYLE = 1, 2
 HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
@@ -79,6 +82,10 @@ def _column_name(index: int) -> str:
     return name
 
 
+# Characters that XML cannot hold, and texts that look like their replacement.
+ODD_TEXT = r"[\x00-\x08\x0b-\x1f\x{FFFE}\x{FFFF}]|_x[0-9A-Fa-f]{4}_"
+
+
 def _xml_text(text: str) -> str:
     """Text with the characters that XML cannot hold written as ``_xHHHH_``."""
     text = re.sub(r"_(?=x[0-9A-Fa-f]{4}_)", "_x005F_", text)
@@ -86,62 +93,80 @@ def _xml_text(text: str) -> str:
     return escape(text)
 
 
-def _text_cell(ref: str, value) -> str:
-    text = str(value)
-    if len(text) > LONGEST_TEXT:
-        raise ValueError(f"a cell holds at most {LONGEST_TEXT} characters, got {len(text)}")
-    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_xml_text(text)}</t></is></c>'
-
-
-def _serial(value: dt.datetime) -> str:
-    """Days since the epoch of the format, exact to the microsecond."""
-    past = value.replace(tzinfo=None) - EPOCH
-    micros = (past.days * 86_400 + past.seconds) * 1_000_000 + past.microseconds
-    return f"{Decimal(micros) / Decimal(86_400_000_000):.18f}".rstrip("0").rstrip(".")
-
-
-def _cell_maker(data_type: pa.DataType) -> Callable[[str, object], str]:
-    if pa.types.is_boolean(data_type):
-        return lambda ref, v: f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
-    if pa.types.is_integer(data_type) or pa.types.is_decimal(data_type):
-        return lambda ref, v: f'<c r="{ref}"><v>{v}</v></c>'
-    if pa.types.is_floating(data_type):
-        return lambda ref, v: f'<c r="{ref}"><v>{v!r}</v></c>' if abs(v) < float("inf") else _text_cell(ref, v)
-    if pa.types.is_timestamp(data_type):
-        return lambda ref, v: f'<c r="{ref}" s="{DATETIME_STYLE}"><v>{_serial(v)}</v></c>'
-    if pa.types.is_date(data_type):
-        return lambda ref, v: f'<c r="{ref}" s="{DATE_STYLE}"><v>{(v - EPOCH.date()).days}</v></c>'
-    if pa.types.is_string(data_type) or pa.types.is_large_string(data_type):
-        return _text_cell
-    raise TypeError(f"a workbook cannot hold values of type {data_type}")
+def _escaped(values: pa.Array) -> pa.Array:
+    if pc.any(pc.match_substring_regex(values, ODD_TEXT)).as_py():
+        return pa.array([None if v is None else _xml_text(v) for v in values.to_pylist()], pa.string())
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        values = pc.replace_substring(values, char, entity)
+    return values
+
+
+def _serials(micros: pa.Array) -> pa.Array:
+    """Days since the epoch of the format, exact to the microsecond, as texts."""
+    if (pc.min(micros).as_py() or 0) < 0:
+        texts = [None if m is None else f"{Decimal(m) / DAY:.18f}" for m in micros.to_pylist()]
+        return pa.array(texts, pa.string())
+    days = pc.divide(micros, DAY)
+    rest = pc.subtract(micros, pc.multiply(days, DAY))
+    # Twelve digits of a day: rest * 10**12 / DAY, rounded.
+    digits = pc.divide(pc.add(pc.multiply(rest, 625), 27), 54)
+    return pc.binary_join_element_wise(days.cast("string"), pc.utf8_lpad(digits.cast("string"), 12, "0"), ".")
+
+
+def _cells(values: pa.Array, column: str, rows: pa.Array) -> pa.Array:
+    """The cells of one column as XML texts, empty where the value is NULL."""
+    kind, mark, text = values.type, "><v>", None
+    if pa.types.is_boolean(kind):
+        mark, text = ' t="b"><v>', pc.if_else(values, "1", "0")
+    elif pa.types.is_integer(kind) or pa.types.is_decimal(kind):
+        text = values.cast("string")
+    elif pa.types.is_floating(kind):
+        text = values.cast("string")
+        if not pc.all(pc.is_finite(values)).as_py() and pc.any(pc.invert(pc.is_finite(values))).as_py():
+            finite = _joined(column, rows, mark, text, "</v></c>")
+            other = _joined(column, rows, ' t="inlineStr"><is><t>', text, "</t></is></c>")
+            return pc.fill_null(pc.if_else(pc.is_finite(values), finite, other), "")
+    elif pa.types.is_timestamp(kind):
+        micros = values.cast(pa.timestamp("us", kind.tz)).cast("int64")
+        mark, text = f' s="{DATETIME_STYLE}"><v>', _serials(pc.add(micros, EPOCH_DAYS * DAY))
+    elif pa.types.is_date(kind):
+        days = pc.add(values.cast(pa.date32()).cast("int32"), EPOCH_DAYS)
+        mark, text = f' s="{DATE_STYLE}"><v>', days.cast("string")
+    elif pa.types.is_string(kind) or pa.types.is_large_string(kind):
+        longest = pc.max(pc.utf8_length(values)).as_py() or 0
+        if longest > LONGEST_TEXT:
+            raise ValueError(f"a cell holds at most {LONGEST_TEXT} characters, got {longest}")
+        mark = ' t="inlineStr"><is><t xml:space="preserve">'
+        return pc.fill_null(_joined(column, rows, mark, _escaped(values.cast("string")), "</t></is></c>"), "")
+    else:
+        raise TypeError(f"a workbook cannot hold values of type {kind}")
+    return pc.fill_null(_joined(column, rows, mark, text, "</v></c>"), "")
+
+
+def _joined(column: str, rows: pa.Array, mark: str, text: pa.Array, end: str) -> pa.Array:
+    return pc.binary_join_element_wise(f'<c r="{column}', rows, f'"{mark}', text, end, "")
 
 
 class _Workbook:
     """One workbook, its rows streamed into the zip entry of the sheet."""
 
     def __init__(self, stream, sheet: str, names: list[str]):
-        self.zip = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, allowZip64=True)
+        self.zip = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, allowZip64=True, compresslevel=3)
         for part, text in PARTS.items():
             text = text % escape(sheet, {'"': "&quot;"}) if part == "xl/workbook.xml" else text
             self.zip.writestr(part, HEAD + text)
         self.rows = self.zip.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
         self.letters = [_column_name(i) for i in range(len(names))]
         self.rows.write(f"{HEAD}<worksheet {MAIN}><sheetData>".encode())
-        header = "".join(_text_cell(f"{c}1", name) for c, name in zip(self.letters, names))
-        self.rows.write(f'<row r="1">{header}</row>'.encode())
         self.row = 1
+        self.write(pa.record_batch([pa.array([name], pa.string()) for name in names], names=names))
 
     def write(self, batch: pa.RecordBatch) -> None:
-        columns = [
-            (letter, _cell_maker(field.type), values.to_pylist())
-            for letter, field, values in zip(self.letters, batch.schema, batch.columns)
-        ]
-        lines = []
-        for i in range(batch.num_rows):
-            self.row += 1
-            cells = [make(f"{c}{self.row}", v[i]) for c, make, v in columns if v[i] is not None]
-            lines.append(f'<row r="{self.row}">{"".join(cells)}</row>')
-        self.rows.write("".join(lines).encode())
+        rows = pa.array(range(self.row, self.row + batch.num_rows)).cast("string")
+        cells = [_cells(values, column, rows) for values, column in zip(batch.columns, self.letters)]
+        lines = pc.binary_join_element_wise('<row r="', rows, '">', *cells, "</row>", "")
+        self.rows.write("".join(lines.to_pylist()).encode())
+        self.row += batch.num_rows
 
     def close(self) -> None:
         self.rows.write(b"</sheetData></worksheet>")
@@ -149,30 +174,26 @@ class _Workbook:
         self.zip.close()
 
 
-class XlsxSink(DataSource):
-    """``df.write.format("quayside_xlsx")``; reading goes through ``read_workbooks``."""
-
-    @classmethod
-    def name(cls):
-        return OWN_SOURCE
-
-    def writer(self, schema, overwrite):
-        options = self.options
-        by = "dataset" if options.get("datasets") == "true" else None
-        names = [n for n in schema.names if n != by]
-        sheet = options.get("sheet", "My Sheet")
-        rows = int(options.get("rowsPerWorkbook", 1_000_000))
-        return PartFileWriter(
-            options["path"], ".xlsx", overwrite, rows, by, lambda stream: _Workbook(stream, sheet, names)
-        )
+def write_workbooks(
+    frame: DataFrame, path: str, overwrite: bool, sheet: str, rows_per_workbook: int, by: str | None = None
+) -> None:
+    """One workbook per task and row cap, in one sub-folder per value of ``by``."""
+    names = [name for name in frame.columns if name != by]
+    write_part_files(
+        frame, path, overwrite, ".xlsx", rows_per_workbook, by, lambda stream: _Workbook(stream, sheet, names)
+    )
 
 
 # --- reading ---------------------------------------------------------------
 
 
 def _joined_text(element) -> str:
-    text = "".join(t.text or "" for t in element.iter(f"{SHEET_NS}t"))
-    return re.sub(r"_x([0-9A-Fa-f]{4})_", lambda m: chr(int(m[1], 16)), text)
+    """Text of an inline or shared string, a single run or several."""
+    if len(element) == 1 and element[0].tag == TEXT_TAG:
+        text = element[0].text or ""
+    else:
+        text = "".join(t.text or "" for t in element.iter(TEXT_TAG))
+    return re.sub(r"_x([0-9A-Fa-f]{4})_", lambda m: chr(int(m[1], 16)), text) if "_x" in text else text
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[int]:
@@ -196,50 +217,76 @@ def _first_sheet(book: zipfile.ZipFile) -> str:
     return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
 
-def _column_index(ref: str) -> int:
+def _column_index(letters: str) -> int:
     index = 0
-    for char in ref:
-        if not char.isalpha():
-            break
+    for char in letters:
         index = index * 26 + ord(char) - 64
     return index - 1
 
 
+def _row_elements(sheet) -> Iterator[ElementTree.Element]:
+    """The row elements of a sheet, parsed a stretch of whole rows at a time."""
+    data = b""
+    while not (start := re.search(rb"<(?:(\w+):)?sheetData\s*(/?)>", data)):
+        more = sheet.read(STRETCH)
+        if not more:
+            raise ValueError("the workbook's first sheet holds no sheet data")
+        data += more
+    if start[2]:
+        return
+    prefix = start[1] + b":" if start[1] else b""
+    head, data = data[: start.end()], data[start.end() :]
+    end = b"</" + prefix + b"row>"
+    tail = b"</" + prefix + b"sheetData></" + prefix + b"worksheet>"
+    while True:
+        cut = data.rfind(end) + len(end)
+        if cut >= len(end):
+            yield from ElementTree.fromstring(head + data[:cut] + tail).find(f"{SHEET_NS}sheetData")
+            data = data[cut:]
+        more = sheet.read(STRETCH)
+        if not more:
+            return
+        data += more
+
+
 def _rows(content: bytes) -> Iterator[dict[int, tuple[str, str]]]:
     """Rows of the first sheet as {column: (kind, text)}; kinds: number, date, bool, text."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        dates = _date_styles(book)
+        dates = {str(style) for style in _date_styles(book)}
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             shared = [_joined_text(si) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+        columns: dict[str, int] = {}
         with book.open(_first_sheet(book)) as sheet:
-            for _, row in ElementTree.iterparse(sheet):
-                if row.tag != f"{SHEET_NS}row":
-                    continue
+            for row in _row_elements(sheet):
                 cells = {}
                 for position, cell in enumerate(row):
-                    column = _column_index(cell.get("r")) if cell.get("r") else position
-                    kind = cell.get("t", "n")
-                    value = cell.find(f"{SHEET_NS}v")
-                    text = value.text if value is not None else None
+                    ref, kind = cell.get("r"), cell.get("t", "n")
+                    letters = ref.rstrip("0123456789") if ref else _column_name(position)
+                    if letters not in columns:
+                        columns[letters] = _column_index(letters)
+                    column = columns[letters]
                     if kind == "inlineStr":
-                        cells[column] = ("text", _joined_text(cell))
-                    elif text is None or kind == "e":
+                        cells[column] = ("text", _joined_text(cell[0]))
+                        continue
+                    text = cell.findtext(VALUE_TAG)
+                    if text is None or kind == "e":
                         continue
+                    if kind == "n":
+                        cells[column] = ("date" if cell.get("s") in dates else "number", text)
                     elif kind == "s":
                         cells[column] = ("text", shared[int(text)])
                     elif kind == "b":
                         cells[column] = ("bool", "true" if text == "1" else "false")
-                    elif kind == "n":
-                        cells[column] = ("date" if int(cell.get("s", 0)) in dates else "number", text)
                     else:
                         cells[column] = ("text", text)
                 yield cells
-                row.clear()
 
 
-def _to_datetime(text: str) -> dt.datetime:
-    return EPOCH + dt.timedelta(microseconds=int((Decimal(text) * 86_400_000_000).to_integral_value()))
+def _to_datetime(cell: tuple[str, str]) -> dt.datetime:
+    if cell[0] == "text":
+        return dt.datetime.fromisoformat(cell[1])
+    return EPOCH + dt.timedelta(microseconds=int((Decimal(cell[1]) * DAY).to_integral_value()))
 
 
 def _whole_number(text: str) -> int:
@@ -249,20 +296,27 @@ def _whole_number(text: str) -> int:
     return int(number)
 
 
-def _cell_parser(data_type: pa.DataType) -> Callable[[tuple[str, str]], object]:
-    if pa.types.is_boolean(data_type):
-        return lambda cell: cell[1].lower() in ("true", "1")
-    if pa.types.is_integer(data_type):
-        return lambda cell: _whole_number(cell[1])
-    if pa.types.is_decimal(data_type):
-        return lambda cell: Decimal(cell[1])
-    if pa.types.is_floating(data_type):
-        return lambda cell: float(cell[1])
-    if pa.types.is_timestamp(data_type):
-        return lambda cell: dt.datetime.fromisoformat(cell[1]) if cell[0] == "text" else _to_datetime(cell[1])
-    if pa.types.is_date(data_type):
-        return lambda cell: dt.date.fromisoformat(cell[1]) if cell[0] == "text" else _to_datetime(cell[1]).date()
-    return lambda cell: cell[1]
+def _typed(cells: list[tuple[str, str] | None], kind: pa.DataType) -> pa.Array:
+    """The cells of one column as values of a type; a cell that does not fit raises."""
+    texts = pa.array([None if c is None else c[1] for c in cells], pa.string())
+    if pa.types.is_string(kind):
+        return texts
+    if pa.types.is_boolean(kind):
+        return pa.array([None if c is None else c[1].lower() in ("true", "1") for c in cells], kind)
+    if pa.types.is_timestamp(kind):
+        if all(c is None or c[0] != "text" for c in cells):
+            days = texts.cast(pa.decimal128(25, 15))
+            micros = pc.round(pc.multiply(days, pa.scalar(Decimal(DAY), pa.decimal128(11, 0)))).cast("int64")
+            return pc.subtract(micros, EPOCH_DAYS * DAY).cast(pa.timestamp("us")).cast(kind)
+        return pa.array([None if c is None else _to_datetime(c) for c in cells], kind)
+    if pa.types.is_date(kind):
+        return pa.array([None if c is None else _to_datetime(c).date() for c in cells], kind)
+    if pa.types.is_integer(kind):
+        try:
+            return texts.cast(kind)
+        except pa.ArrowInvalid:  # such as 1.0 or 2E5
+            return pa.array([None if c is None else _whole_number(c[1]) for c in cells], kind)
+    return texts.cast(kind)
 
 
 def _header(rows: Iterator) -> dict[str, int]:
@@ -278,9 +332,8 @@ def _decoder(schema: pa.Schema) -> Callable:
             if field.name == FILE_COLUMN:
                 arrays.append(pa.array([path] * len(cells), field.type))
                 continue
-            column, parse = header.get(field.name), _cell_parser(field.type)
-            values = [parse(row[column]) if column in row else None for row in cells]
-            arrays.append(pa.array(values, field.type))
+            column = header.get(field.name)
+            arrays.append(_typed([row.get(column) for row in cells], field.type))
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def decode(batches):

@@ -2,6 +2,9 @@
 
 import datetime as dt
 import glob
+import os
+import subprocess
+import sys
 from itertools import permutations
 
 import pytest
@@ -172,7 +175,7 @@ def test_wide_workbook(spark, folder):
     frame = spark.range(3).selectExpr(*[f"id + {i} AS c{i}" for i in range(60)])
     assert same_rows(cycle(spark, folder, frame, Xlsx()), frame)
     assert [xlsx._column_name(i) for i in (0, 25, 26, 51, 52, 701, 702)] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA"]
-    assert all(xlsx._column_index(xlsx._column_name(i) + "1") == i for i in range(2000))
+    assert all(xlsx._column_index(xlsx._column_name(i)) == i for i in range(2000))
 
 
 TEXT = st.text(st.characters(blacklist_categories=("Cs",), blacklist_characters="\x00￾￿"), max_size=12)
@@ -194,3 +197,26 @@ def test_any_values_survive(spark, tmp_path_factory, name, rows):
     frame = spark.createDataFrame(rows, "i int, text string, whole long, real double, at timestamp_ntz")
     back = cycle(spark, str(tmp_path_factory.mktemp("any")), frame, FORMATS[name])
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
+
+
+def test_workers_need_no_package(tmp_path):
+    """Workbook tasks run where only the driver can import the package."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from quayside import File, Xlsx, read, write
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+target = File(Xlsx(), {str(tmp_path / "out")!r})
+write(spark.range(7).selectExpr("id", "'x' AS text", "current_date() AS day"), target, "append")
+print("rows", read(spark, target).count(), read(spark, target).where("text = 'x'").count())
+"""
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=200
+    )
+    assert "rows 7 7" in run.stdout, run.stderr[-3000:]
