@@ -124,6 +124,7 @@ class File:
     schema: StructType | None = field(default=None, compare=False)
     datasets: bool = False
     single_file: bool = False
+    rebalance: bool = False
     checkpoint: str | None = None
     archive: str | None = None
     files_per_batch: int | None = None

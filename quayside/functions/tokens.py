@@ -133,22 +133,20 @@ def within_edits(value: Column, word: str, edits: int) -> Column:
     if edits == 0:
         return value == word
     swaps = range(len(word) - 1)
-    near = [F.levenshtein(value, F.lit(word), edits) >= 0]
+    plain = F.levenshtein(value, F.lit(word), edits) >= 0
     if edits == 1:
-        near.append(value.isin([_swap(word, i) for i in swaps]))
-    else:
-        two_swaps = {_swap(_swap(word, i), j) for i in swaps for j in range(i + 2, len(word) - 1)}
-        near.append(value.isin(sorted(two_swaps)))
-        mixed = []
-        for i in swaps:
-            before, pair, after = word[:i], word[i + 1] + word[i], word[i + 2 :]
-            head = F.substr(value, F.lit(1), F.length(value) - len(pair + after))
-            mixed.append(value.endswith(pair + after) & (F.levenshtein(head, F.lit(before), 1) >= 0))
-            tail = F.substr(value, F.lit(len(before + pair) + 1))
-            mixed.append(value.startswith(before + pair) & (F.levenshtein(tail, F.lit(after), 1) >= 0))
-        # A swap and a change are at most three plain edits: few tokens get past this test.
-        near.append((F.levenshtein(value, F.lit(word), 3) >= 0) & any_of(mixed))
-    return F.length(value).between(len(word) - edits, len(word) + edits) & any_of(near)
+        return value.isin([_swap(word, i) for i in swaps]) | plain
+    two_swaps = {_swap(_swap(word, i), j) for i in swaps for j in range(i + 2, len(word) - 1)}
+    mixed = []
+    for i in swaps:
+        before, pair, after = word[:i], word[i + 1] + word[i], word[i + 2 :]
+        head = F.substr(value, F.lit(1), F.length(value) - len(pair + after))
+        mixed.append(value.endswith(pair + after) & (F.levenshtein(head, F.lit(before), 1) >= 0))
+        tail = F.substr(value, F.lit(len(before + pair) + 1))
+        mixed.append(value.startswith(before + pair) & (F.levenshtein(tail, F.lit(after), 1) >= 0))
+    # A swap and a change are at most three plain edits: few tokens get past this test.
+    close = F.levenshtein(value, F.lit(word), 3) >= 0
+    return value.isin(sorted(two_swaps)) | (close & any_of([plain, *mixed]))
 
 
 def has_token_within(text: Column, word: str, edits: int) -> Column:

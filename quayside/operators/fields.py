@@ -45,6 +45,11 @@ class Field:
     def is_string(self) -> bool:
         return isinstance(self.value_type, StringType)
 
+    @property
+    def is_keyword(self) -> bool:
+        """A single value that is compared whole."""
+        return self.type is not None and not self.is_text and not isinstance(self.type, ArrayType)
+
     def _any_value(self, condition: Callable[[Column], Column]) -> Column:
         """The condition holds for the value, or for one of the values of an array."""
         if self.type is None:

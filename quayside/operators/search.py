@@ -308,11 +308,27 @@ SearchQuery = (
 )
 
 
+# More values than this are joined instead of listed in the plan.
+LONGEST_LIST = 50_000
+
+
+def _semi_join(docs: Documents, name: str, values: Sequence[str]) -> DataFrame:
+    """Rows whose field is one of many values; Spark picks the join by their size."""
+    field = docs.field(name)
+    listed = docs.frame.sparkSession.createDataFrame([(value,) for value in set(values)], "__listed string")
+    listed = listed.select(F.col("__listed").try_cast(field.type).alias("__listed"))
+    return docs.frame.join(listed, field.column == F.col("__listed"), "left_semi")
+
+
 def search(frame: DataFrame, query: SearchQuery, mapping: Mapping | None = None, id_column: str = "_id") -> DataFrame:
     """Rows of a document frame selected by a search query."""
     docs = Documents(frame, mapping, id_column)
     if isinstance(query, MultiMatch):
         return query.apply(docs)
+    if isinstance(query, Ids) and len(query.ids) > LONGEST_LIST:
+        return _semi_join(docs, id_column, query.ids)
+    if isinstance(query, Terms) and len(query.values) > LONGEST_LIST and docs.field(query.field).is_keyword:
+        return _semi_join(docs, query.field, query.values)
     return frame.where(query.condition(docs))
 
 

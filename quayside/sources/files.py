@@ -116,6 +116,8 @@ def write(frame: DataFrame, endpoint: File, mode: str) -> None:
     _check_flat(frame, fmt)
     if endpoint.single_file:
         frame = frame.coalesce(1)
+    elif endpoint.rebalance:
+        frame = frame.hint("rebalance", *(["dataset"] if endpoint.datasets else []))
     if isinstance(fmt, Xlsx):
         _write_workbooks(frame, endpoint, mode)
         return

@@ -144,6 +144,15 @@ def test_many_writers_unless_one_file_is_asked_for(spark, folder):
     assert len(glob.glob(f"{folder}/one/part-*")) == 1
 
 
+def test_rebalanced_writers_leave_few_files(spark, folder):
+    frame = spark.range(1000).repartition(50).where("id % 100 = 0")
+    write(frame, File(Json(), f"{folder}/few", rebalance=True), "append")
+    assert len(glob.glob(f"{folder}/few/part-*")) == 1
+    by_set = frame.selectExpr("id", "CAST(id % 200 AS string) AS dataset")
+    write(by_set, File(Json(), f"{folder}/sets", rebalance=True, datasets=True), "append")
+    assert len(glob.glob(f"{folder}/sets/dataset=*/part-*")) == 2
+
+
 def test_malformed_typed_records_fail(spark, folder):
     spark.createDataFrame([('{"id": 1}',), ("{oops",)], "value string").write.text(f"{folder}/in")
     schema = spark.createDataFrame([], "id int").schema

@@ -163,6 +163,15 @@ def test_result_window_per_value(docs):
     assert sorted(r["_id"] for r in whole.collect()) == ["1", "1", "2", "4"]
 
 
+def test_long_lists_are_joined(spark):
+    frame = spark.range(200_000).selectExpr("id AS _id", "IF(id % 3 = 0, 'hot', CAST(id AS string)) AS tag")
+    many = [str(i) for i in range(100_000)]
+    by_id = search(frame, Ids([*many, "none"]))
+    assert by_id.count() == 100_000 and "LeftSemi" in plan_of(by_id)
+    by_tag = search(frame, Terms("tag", [*many, "hot"]), {"tag": "keyword"})
+    assert by_tag.count() == sum(i % 3 == 0 or i < 100_000 for i in range(200_000))
+
+
 def test_sample_is_strings(docs):
     sample = sample_documents(docs.drop("tags", "place"), 3)
     assert sample.count() == 3
