@@ -13,7 +13,7 @@ from quayside.endpoints import SAVE_MODES, AvailableNow, Endpoint, File, Index,
 from quayside.functions.mapping import apply_mapping, stringify
 from quayside.operators.search import SearchQuery, search
 from quayside.sources import storage, topics
-from quayside.sources.indexes import ID
+from quayside.sources.indexes import ID, search_index
 from quayside.sources.registry import read, set_aside_malformed, write
 
 
@@ -71,18 +71,24 @@ class RouteResult:
     query: StreamingQuery | None = field(default=None, compare=False)
 
 
+def selected(spark: SparkSession, route: Route) -> DataFrame:
+    """The rows of a batch route that its search selects."""
+    if isinstance(route.input, Index):
+        return search_index(spark, route.input, route.search, route.mapping).drop(ID)
+    frame = read(spark, route.input)
+    if isinstance(route.input, Topic):
+        frame = set_aside_malformed(frame, route.input)
+    return frame if route.search is None else search(frame, route.search, route.mapping)
+
+
 def mirror_pairs(raw: DataFrame, route: Route) -> DataFrame:
     """Keys and values of the input topic, keys only where they are to be kept."""
-    pairs = topics.texts(raw)
-    return pairs if route.input.keep_key else pairs.withColumn("key", F.lit(None).cast("string"))
+    key = F.col("key") if route.input.keep_key else F.lit(None).cast("binary").alias("key")
+    return raw.select(key, "value")
 
 
 def shape(frame: DataFrame, route: Route) -> DataFrame:
-    """The search, mapping and string options of a route, applied to its rows."""
-    if route.search is not None:
-        frame = search(frame, route.search, route.mapping)
-    if isinstance(route.input, Index):
-        frame = frame.drop(ID)
+    """The mapping and string options of a route, applied to its rows."""
     if route.mapping is not None:
         frame = apply_mapping(frame, route.mapping)
     return stringify(frame) if route.stringify else frame
@@ -132,10 +138,7 @@ def run_route(spark: SparkSession, route: Route) -> RouteResult:
     if route.is_mirror:
         frame = mirror_pairs(topics.read_messages(spark, route.input), route)
     else:
-        frame = read(spark, route.input)
-        if isinstance(route.input, Topic):
-            frame = set_aside_malformed(frame, route.input)
-        frame = shape(frame, route)
+        frame = shape(selected(spark, route), route)
     # Rows are counted while they are written; a skipped write counts nothing.
     counted = route.save_mode != "ignore"
     observation = Observation()

@@ -435,15 +435,24 @@ def _keyed_upsert(spark, folder):
     return read(spark, target)
 
 
-@query("index_bulk", "SELECT *, true AS own_id FROM documents UNION ALL SELECT *, true AS own_id FROM documents")
-def _index_bulk(spark, folder):
+def written_twice(spark, folder) -> DataFrame:
+    """All documents of an index that took every document two times."""
     documents = table(spark, folder, "documents")
     index = Index("documents", folder=scratch_folder(spark, "index"))
     write(documents, index)
     write(documents, index)
-    rows = read(spark, index)
-    copies = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("copies"))
-    return rows.join(copies, "_id").withColumn("own_id", F.col("copies") == 1).drop("_id", "copies")
+    return read(spark, index)
+
+
+@query("index_bulk", "SELECT * FROM documents UNION ALL SELECT * FROM documents")
+def _index_bulk(spark, folder):
+    return written_twice(spark, folder).drop("_id")
+
+
+@query("index_ids", "SELECT 2 * count(*) AS documents, 2 * count(*) AS ids FROM documents")
+def _index_ids(spark, folder):
+    counts = F.count(F.lit(1)).alias("documents"), F.count_distinct("_id").alias("ids")
+    return written_twice(spark, folder).agg(*counts)
 
 
 @query("index_by_id", "SELECT *, doc_id::VARCHAR AS _id FROM documents")

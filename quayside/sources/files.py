@@ -38,6 +38,9 @@ def _csv_options(fmt: Csv) -> dict:
 
 
 def read_options(fmt: FileFormat, schema: StructType | None) -> dict:
+    if isinstance(fmt, (Parquet, Orc)):
+        # Without a schema, one file's columns need not be all.
+        return {"mergeSchema": schema is None}
     if not isinstance(fmt, (Csv, Json, Xml)):
         return {}
     options = dict(MICROS)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.endpoints import Index
+from quayside.operators.search import MultiMatch, QueryString, SearchQuery, search
+from quayside.sources.index_query import request
 
 INDEX_SOURCE = "org.elasticsearch.spark.sql"
 ID = "_id"
@@ -15,8 +20,9 @@ def index_path(index: Index) -> str:
     return f"{index.folder.rstrip('/')}/{index.name}"
 
 
-def read_options(index: Index) -> dict:
-    return {"es.nodes": index.nodes, "es.resource": index.name, "es.read.metadata": "true"}
+def read_options(index: Index, query: SearchQuery | None = None) -> dict:
+    options = {"es.nodes": index.nodes, "es.resource": index.name, "es.read.metadata": "true"}
+    return options if query is None else options | {"es.query": request(query)}
 
 
 def write_options(index: Index) -> dict:
@@ -24,12 +30,29 @@ def write_options(index: Index) -> dict:
     return options if index.id_column is None else options | {"es.mapping.id": index.id_column}
 
 
+def _read_cluster(spark: SparkSession, index: Index, query: SearchQuery | None) -> DataFrame:
+    documents = spark.read.format(INDEX_SOURCE).options(**read_options(index, query)).load()
+    return documents.withColumn(ID, F.element_at("_metadata", ID)).drop("_metadata")
+
+
 def read_index(spark: SparkSession, index: Index) -> DataFrame:
-    """All documents of the index, each with its ``_id``."""
+    """All documents of the index, each with its ``_id``; fields that only some of them have are NULL in the rest."""
     if index.folder is not None:
-        return spark.read.option("recursiveFileLookup", True).parquet(index_path(index))
-    documents = spark.read.format(INDEX_SOURCE).options(**read_options(index)).load()
-    return documents.withColumn(ID, F.element_at("_metadata", ID)).drop("_metadata")
+        return spark.read.options(recursiveFileLookup=True, mergeSchema=True).parquet(index_path(index))
+    return _read_cluster(spark, index, None)
+
+
+def search_index(spark: SparkSession, index: Index, query: SearchQuery, mapping: Mapping | None = None) -> DataFrame:
+    """Documents that meet the query; a cluster evaluates it itself."""
+    if index.folder is not None:
+        return search(read_index(spark, index), query, mapping, ID)
+    if not isinstance(query, MultiMatch):
+        return _read_cluster(spark, index, query)
+    hits = [_read_cluster(spark, index, QueryString(value)) for value in query.values]
+    if query.hits_per_value is not None:
+        hits = [part.limit(query.hits_per_value) for part in hits]
+    every = reduce(DataFrame.unionByName, hits)
+    return every.dropDuplicates([ID]) if query.dedupe else every
 
 
 def with_ids(frame: DataFrame, index: Index) -> DataFrame:

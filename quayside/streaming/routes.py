@@ -29,7 +29,10 @@ def _triggered(writer: DataStreamWriter, source: File | Topic) -> DataStreamWrit
 
 
 def _batch_folder(frame: DataFrame, batch_id: int) -> str:
+    # Spark sets this on the thread of the query; it stays the same after a restart from the checkpoint.
     query_id = frame.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query_id:
+        raise RuntimeError("not in the thread of a streaming query")
     return f"/batch-{query_id}-{batch_id:010d}"
 
 

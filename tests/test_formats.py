@@ -170,6 +170,15 @@ def test_columns_in_another_order_are_refused(spark, folder):
         read(spark, File(Csv(), f"{folder}/in", schema=schema)).collect()
 
 
+@pytest.mark.parametrize("name", ["json", "parquet", "orc", "xml", "xlsx"])
+def test_files_with_different_columns(spark, folder, name):
+    write(spark.createDataFrame([(1.5, "x")], "a double, b string"), File(FORMATS[name], f"{folder}/in/one"), "append")
+    write(spark.createDataFrame([(2.5, "y")], "a double, c string"), File(FORMATS[name], f"{folder}/in/two"), "append")
+    found = read(spark, File(FORMATS[name], f"{folder}/in"))
+    assert sorted(found.columns) == ["a", "b", "c"]
+    assert sorted(found.select("a", "b", "c").collect()) == [(1.5, "x", None), (2.5, None, "y")]
+
+
 def test_workbook_limits(spark, folder):
     frame = spark.range(25).coalesce(1).selectExpr("id", "CAST(id AS string) AS text")
     write(frame, File(Xlsx(rows_per_workbook=10), f"{folder}/out"), "append")

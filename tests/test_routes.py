@@ -10,18 +10,21 @@ from pyspark.sql import functions as F
 
 from quayside import (
     AvailableNow,
+    Avro,
     Continuous,
     Csv,
     File,
     Index,
     Json,
     KeyedTable,
+    Orc,
     Parquet,
     RelationalTable,
     Route,
     Timed,
     Topic,
     Xlsx,
+    Xml,
     read,
     run_route,
     write,
@@ -191,6 +194,15 @@ def test_mirror_keeps_or_drops_keys(spark, folder):
         assert same_rows(copied, wanted if keep else wanted.withColumn("key", F.lit(None).cast("string")))
 
 
+def test_mirror_copies_bytes(spark, folder):
+    topic = Topic("in", folder=folder, mode=AvailableNow(), checkpoint=f"{folder}/checkpoint")
+    rows = spark.createDataFrame([(bytearray(b"\xff\x00k"), bytearray(b"\xfe\xfd")), (None, None)], "key binary, value binary")
+    topics.publish(rows, topic)
+    target = Topic("copy", folder=folder)
+    run_route(spark, Route(topic, target))
+    assert same_rows(topics.read_messages(spark, target).select("key", "value"), rows)
+
+
 def test_stream_sets_malformed_messages_aside(spark, folder):
     topic = source_topic(spark, folder, numbers(spark, 0, 10), malformed=f"{folder}/bad")
     bad = spark.createDataFrame([("k", "oops\nagain"), ("k", "{")], "key string, value string")
@@ -232,31 +244,23 @@ def test_batch_read_ignores_latest(spark, folder):
     assert read(spark, replace(topic, mode=Topic("x", folder="/").mode)).count() == 5
 
 
-def test_files_are_read_once_and_archived(spark, folder):
+@pytest.mark.parametrize("fmt", [Json(), Csv(), Parquet(), Orc(), Avro(), Xml(), Xlsx()])
+def test_files_are_read_once_and_archived(spark, folder, fmt):
     rows = numbers(spark, 0, 10)
     for i in range(2):
-        write(numbers(spark, 5 * i, 5 * i + 5), File(Json(), f"{folder}/in/set-{i}"), "append")
+        write(numbers(spark, 5 * i, 5 * i + 5), File(fmt, f"{folder}/in/set-{i}"), "append")
     source = File(
-        Json(), f"{folder}/in", schema=rows.schema, datasets=True, checkpoint=f"{folder}/checkpoint",
+        fmt, f"{folder}/in", schema=rows.schema, datasets=True, checkpoint=f"{folder}/checkpoint",
         archive=f"{folder}/processed", files_per_batch=1,
     )
-    target = File(Parquet(), f"{folder}/out", schema=rows.schema, datasets=True)
+    target = File(fmt, f"{folder}/out", schema=rows.schema, datasets=True)
     route = Route(source, target, save_mode="append")
     assert run_route(spark, route).rows == 10
-    write(numbers(spark, 10, 12), File(Json(), f"{folder}/in/set-2"), "append")
+    write(numbers(spark, 10, 12), File(fmt, f"{folder}/in/set-2"), "append")
     assert run_route(spark, route).rows == 2
     found = read(spark, target)
     assert same_rows(found.select("n", "text"), numbers(spark, 0, 12))
     assert {r["dataset"] for r in found.collect()} == {"set-0", "set-1", "set-2"}
-    assert glob.glob(f"{folder}/processed/**/*.json", recursive=True)
-
-
-def test_xlsx_folder_is_read_once(spark, folder):
-    rows = numbers(spark, 0, 10)
-    write(rows, File(Xlsx(), f"{folder}/in/a"), "append")
-    source = File(Xlsx(), f"{folder}/in", schema=rows.schema, checkpoint=f"{folder}/checkpoint")
-    route = Route(source, RelationalTable("t", folder=f"{folder}/tables"), save_mode="append")
-    run_route(spark, route)
-    write(numbers(spark, 10, 15), File(Xlsx(), f"{folder}/in/b"), "append")
-    run_route(spark, route)
-    assert same_rows(read(spark, route.output), numbers(spark, 0, 15))
+    assert glob.glob(f"{folder}/processed/**/part-*", recursive=True)
+    assert all("/dataset=set-" in path for path in glob.glob(f"{folder}/out/**/part-*", recursive=True))
+    assert {path.split("/")[-2][:6] for path in glob.glob(f"{folder}/out/*/_SUCCESS")} <= {"batch-"}

@@ -4,9 +4,12 @@ No database, broker or search cluster runs here: their connectors are checked
 by the options they are given, the folder variants by their rows.
 """
 
+import json
+
 import pytest
 
 from quayside import Index, KeyedTable, RelationalTable, Topic, read, write
+from quayside.operators import search
 from quayside.operators.upsert import latest_per_key
 from quayside.sources import indexes, tables, topics
 from tests.conftest import plan_of, same_rows
@@ -128,3 +131,35 @@ def test_index_ids(spark, folder):
     taken = Index("taken", folder=folder, id_column="id")
     write(frame, taken)
     assert sorted(r["_id"] for r in read(spark, taken).collect()) == ["1", "2"]
+
+
+def test_documents_need_not_have_the_same_fields(spark, folder):
+    index = Index("mixed", folder=folder, id_column="id")
+    write(spark.createDataFrame([(1, "a")], "id int, text string"), index)
+    write(spark.createDataFrame([(2, True)], "id int, flag boolean"), index)
+    rows = read(spark, index).select("_id", "text", "flag").collect()
+    assert sorted(rows) == [("1", "a", None), ("2", None, True)]
+
+
+def test_cluster_evaluates_the_search():
+    index = Index("people", nodes="es:9200")
+
+    def asked(query):
+        return json.loads(indexes.read_options(index, query)["es.query"])["query"]
+
+    assert "es.query" not in indexes.read_options(index)
+    assert asked(search.MatchAll()) == {"match_all": {}}
+    assert asked(search.Match("f", "a b")) == {"match": {"f": "a b"}}
+    assert asked(search.Terms("f", ("a", "b"))) == {"terms": {"f": ["a", "b"]}}
+    assert asked(search.Range("integer", "n", lte="7")) == {"range": {"n": {"lte": 7}}}
+    assert asked(search.Range("string", "n", gte="a", lte="b")) == {"range": {"n": {"lte": "b", "gte": "a"}}}
+    assert asked(search.Fuzzy("f", "a"))["fuzzy"]["f"]["fuzziness"] == "AUTO"
+    assert asked(search.BoolMatchPhrase("must-not", [("f", "a b")])) == {"bool": {"must_not": [{"match_phrase": {"f": "a b"}}]}}
+    like = asked(search.MoreLikeThis(["f"], ["a"]))["more_like_this"]
+    assert like["min_term_freq"] == 1 and like["max_query_terms"] == 12 and like["minimum_should_match"] == "30%"
+    rest = [
+        search.Term("f", "a"), search.CommonTerms("f", "a"), search.QueryString("a"), search.SimpleString("a"),
+        search.Prefix("f", "a"), search.Wildcard("f", "a*"), search.Regex("f", "a."), search.Exists("f"), search.Ids(["1"]),
+    ]
+    kinds = [next(iter(asked(query))) for query in rest]
+    assert kinds == ["term", "common", "query_string", "simple_query_string", "prefix", "wildcard", "regexp", "exists", "ids"]
