@@ -112,8 +112,9 @@ class File:
     """A folder of files, sub-folders included.
 
     ``schema`` spares the inference pass and keeps types exact. With
-    ``datasets`` the relative sub-folder of every file is carried in a
-    ``dataset`` column and written back as one sub-folder per dataset.
+    ``datasets`` the relative sub-folder of every file (and the file's bare name,
+    for workbooks) is carried in a ``dataset`` column and written back as one
+    sub-folder per dataset.
     ``checkpoint`` makes the read process-once: each file is read by one run
     only, and moved to ``archive`` afterwards when that is set;
     ``files_per_batch`` splits a large run into batches that commit one by one.

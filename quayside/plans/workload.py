@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from quayside.endpoints import (
     AvailableNow,
     Avro,
+    Continuous,
     Csv,
     Endpoint,
     File,
@@ -25,6 +27,7 @@ from quayside.endpoints import (
     Orc,
     Parquet,
     RelationalTable,
+    Timed,
     Topic,
     Xlsx,
     Xml,
@@ -191,14 +194,15 @@ search_query(
 search_query(
     "query_string",
     QueryString('(achach OR achk* OR "in the") AND lang:en -thre +n_chars:[300 TO *]'),
-    f"""({sql_everywhere('achach')} OR {sql_exists("starts_with(t, 'achk')")} OR {sql_exists("starts_with(t, 'achk')", "lang")}
-        OR {sql_exists("starts_with(t, 'achk')", "source")} OR {sql_phrase('in the')})
+    f"""({sql_everywhere('achach')} OR {sql_phrase('in the')} OR {sql_exists("starts_with(t, 'achk')")}
+        OR {sql_exists("starts_with(t, 'achk')", "lang")} OR {sql_exists("starts_with(t, 'achk')", "source")})
         AND {sql_any(['en'], 'lang')} AND NOT {sql_everywhere('thre')} AND n_chars >= 300""",
 )
 search_query(
     "simple_string",
     SimpleString('("in the" | achach) + fr -thre'),
-    f"(({sql_phrase('in the')} OR {sql_everywhere('achach')}) AND {sql_everywhere('fr')}) OR NOT {sql_everywhere('thre')}",
+    f"""(({sql_phrase('in the')} OR {sql_everywhere('achach')}) AND {sql_everywhere('fr')})
+        OR NOT {sql_everywhere('thre')}""",
 )
 
 COMMON_WORDS = """
@@ -391,18 +395,17 @@ def conversion(first_name: str, first, second_name: str, second) -> None:
         return read(spark, target)
 
 
-RING = [
-    ("json", Json()),
-    ("csv", Csv(separator=";")),
-    ("parquet", Parquet("snappy")),
-    ("orc", Orc("zlib")),
-    ("avro", Avro()),
-    ("xml", Xml("orders", "order")),
-    ("xlsx", Xlsx()),
-]
-for _i, (_from, _fmt) in enumerate(RING):
-    _to, _next = RING[(_i + 1) % len(RING)]
-    conversion(_from, _fmt, _to, _next)
+FORMATS = {
+    "json": Json(),
+    "csv": Csv(separator=";"),
+    "parquet": Parquet("snappy"),
+    "orc": Orc("zlib"),
+    "avro": Avro(),
+    "xml": Xml("orders", "order"),
+    "xlsx": Xlsx(),
+}
+for _from, _to in permutations(FORMATS, 2):
+    conversion(_from, FORMATS[_from], _to, FORMATS[_to])
 
 
 # --- tables, topics, indexes -----------------------------------------------
@@ -482,11 +485,13 @@ def _topic_batch_read(spark, folder):
     return read(spark, events_topic(spark, folder))
 
 
-@query("topic_batch_inferred", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events")
+@query(
+    "topic_batch_inferred",
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events""",
+)
 def _topic_batch_inferred(spark, folder):
-    topic = replace(events_topic(spark, folder), schema=None)
     # Without a schema a timestamp is a text.
-    return read(spark, topic)
+    return read(spark, replace(events_topic(spark, folder), schema=None))
 
 
 @query("topic_publish_json", "SELECT *, NULL::VARCHAR AS key FROM events")
@@ -662,15 +667,52 @@ def _stream_available_now(spark, folder):
     return read(spark, target)
 
 
+def followed_live(spark, folder, mode) -> DataFrame:
+    """The events as a table that a running stream fills while they are published in two parts."""
+    topic = events_topic(spark, folder)
+    target = RelationalTable("events", folder=f"{topic.folder}/tables")
+    source = replace(topic, mode=mode, checkpoint=f"{topic.folder}/checkpoint")
+    running = run_route(spark, Route(source, target, save_mode="append")).query
+    try:
+        running.processAllAvailable()
+        write(table(spark, folder, "events"), topic)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return read(spark, target)
+
+
+@query("stream_timed", "SELECT * FROM events UNION ALL SELECT * FROM events")
+def _stream_timed(spark, folder):
+    return followed_live(spark, folder, Timed(0.5))
+
+
+@query("stream_continuous", "SELECT * FROM events UNION ALL SELECT * FROM events")
+def _stream_continuous(spark, folder):
+    return followed_live(spark, folder, Continuous())
+
+
+@query("stream_latest", "SELECT * FROM events WHERE event_type = 'purchase'")
+def _stream_latest(spark, folder):
+    topic = events_topic(spark, folder)
+    target = RelationalTable("events", folder=f"{topic.folder}/tables")
+    route = Route(follow(topic, offset="latest"), target, save_mode="append")
+    run_route(spark, route)
+    write(table(spark, folder, "events").where("event_type = 'purchase'"), topic)
+    run_route(spark, route)
+    return read(spark, target)
+
+
 @query("stream_quarantine", "SELECT text AS value FROM conversations")
 def _stream_quarantine(spark, folder):
     topic = events_topic(spark, folder)
-    bad = table(spark, folder, "conversations").select(F.lit(None).cast("string").alias("key"), F.col("text").alias("value"))
+    no_key = F.lit(None).cast("string").alias("key")
+    bad = table(spark, folder, "conversations").select(no_key, F.col("text").alias("value"))
     topics.publish(bad, topic)
     source = follow(topic, malformed=f"{topic.folder}/malformed")
     target = RelationalTable("events", folder=f"{topic.folder}/tables")
     run_route(spark, Route(source, target, save_mode="append"))
-    return read(spark, File(Json(), source.malformed, schema=table(spark, folder, "conversations").selectExpr("text AS value").schema))
+    return read(spark, File(Json(), source.malformed, schema=bad.select("value").schema))
 
 
 # --- routes between all kinds of endpoints ---------------------------------

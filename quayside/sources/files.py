@@ -85,7 +85,8 @@ def load(spark: SparkSession, endpoint: File, stream: bool = False) -> DataFrame
         rows = (reader if schema is None else reader.schema(schema)).load(endpoint.path)
         file_path = _decoded(F.col("_metadata.file_path"))
     if endpoint.datasets:
-        rows = rows.withColumn("dataset", dataset_of(file_path, storage.qualified(spark, endpoint.path)))
+        root = storage.qualified(spark, endpoint.path)
+        rows = rows.withColumn("dataset", dataset_of(file_path, root, per_file=isinstance(fmt, Xlsx)))
     return rows.drop(xlsx.FILE_COLUMN)
 
 
@@ -93,18 +94,19 @@ def _decoded(text: Column) -> Column:
     return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
 
-def dataset_of(path: Column, root: str) -> Column:
-    """Folder of a file relative to the root; ``.`` for the root itself.
+def dataset_of(path: Column, root: str, per_file: bool = False) -> Column:
+    """Folder of a file relative to the root, ``.`` for the root itself.
 
-    A folder written per dataset (``dataset=name``), by a stream also per batch
+    The bare name of the file is added where each file is a dataset. A folder written per dataset (``dataset=name``), by a stream also per batch
     (``batch-…``), gives that name back.
     """
     below_root = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
     base = root.partition(":")[2] if ":" in root else root
     start = len("/" + base.strip("/")) + 2
-    folder = F.regexp_replace(F.substr(below_root, F.lit(start)), r"/?[^/]*$", "")
-    name = F.regexp_replace(folder, r"^batch-[^/]*(/|$)", "")
-    written = F.regexp_extract(name, "^dataset=(.*)$", 1)
+    relative = F.regexp_replace(F.substr(below_root, F.lit(start)), r"^batch-[^/]*/", "")
+    folder = F.regexp_replace(relative, r"/?[^/]*$", "")
+    written = F.regexp_extract(folder, "^dataset=(.*)$", 1)
+    name = F.regexp_replace(relative, r"\.[^./]*$", "") if per_file else folder
     return F.when(written != "", _decoded(written)).when(name == "", F.lit(".")).otherwise(name)
 
 

@@ -91,8 +91,10 @@ def test_malformed_topic_fails_or_keeps(spark, folder):
 
 
 def test_mapping_casts_named_fields(spark):
-    frame = spark.createDataFrame([("1", "2.5", "2024-05-06 07:08:09", "x", "true")], "a string, b string, c string, d string, e string")
-    mapping = {"properties": {"a": {"type": "long"}, "b": {"type": "float"}, "c": {"type": "date"}, "e": {"type": "boolean"}}}
+    values = [("1", "2.5", "2024-05-06 07:08:09", "x", "true")]
+    frame = spark.createDataFrame(values, "a string, b string, c string, d string, e string")
+    kinds = {"a": "long", "b": "float", "c": "date", "e": "boolean"}
+    mapping = {"properties": {name: {"type": kind} for name, kind in kinds.items()}}
     typed = apply_mapping(frame, mapping)
     assert typed.dtypes == [("a", "bigint"), ("b", "float"), ("c", "timestamp"), ("d", "string"), ("e", "boolean")]
     assert typed.first()["c"] == dt.datetime(2024, 5, 6, 7, 8, 9)

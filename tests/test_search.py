@@ -32,7 +32,10 @@ ROWS = [
     ("4", "blue sky, red sea", None, 10, 2.5, ["y"], ("north east", 3)),
     ("5", "", "New", 7, 9.0, ["z"], ("west", None)),
 ]
-SCHEMA = "_id string, text string, status string, n int, score double, tags array<string>, place struct<name: string, no: int>"
+SCHEMA = (
+    "_id string, text string, status string, n int, score double, tags array<string>, "
+    "place struct<name: string, no: int>"
+)
 MAPPING = {"properties": {"status": {"type": "keyword"}, "tags": {"type": "keyword"}}}
 
 
@@ -196,7 +199,8 @@ def test_complements(spark):
     [
         ("events", Term("event_type", "view"), "EqualTo(event_type,view)"),
         ("events", Terms("event_type", ["view", "click"]), "In(event_type, [click,view])"),
-        ("events", Range("float", "value", gte="1", lte="2"), "GreaterThanOrEqual(value,1.0), LessThanOrEqual(value,2.0)"),
+        ("events", Range("float", "value", gte="1"), "GreaterThanOrEqual(value,1.0)"),
+        ("events", Range("float", "value", lte="2"), "LessThanOrEqual(value,2.0)"),
         ("events", Ids(["1", "2"]), "In(event_id, [1,2])"),
         ("events", Exists("value"), "IsNotNull(value)"),
         ("events", Prefix("event_type", "vi"), "StringStartsWith(event_type,vi)"),

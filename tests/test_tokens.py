@@ -88,7 +88,10 @@ def aligned_distance(a: str, b: str) -> int:
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(word=st.text("abcé", min_size=1, max_size=7), others=st.lists(st.text("abcé", max_size=8), min_size=40, max_size=80))
+@given(
+    word=st.text("abcé", min_size=1, max_size=7),
+    others=st.lists(st.text("abcé", max_size=8), min_size=40, max_size=80),
+)
 def test_within_edits_is_aligned_distance(spark, word, others):
     swapped = [word[:i] + word[i : i + 2][::-1] + word[i + 2 :] for i in range(len(word))]
     values = sorted({*others, word, *swapped, *(s[1:] for s in swapped), *(s[::-1] for s in swapped)})
