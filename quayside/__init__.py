@@ -24,7 +24,8 @@ from quayside.endpoints import (
     Xml,
 )
 from quayside.operators.search import search
-from quayside.plans.route import Route, run_route
+from quayside.plans.route import Route, RouteResult
+from quayside.plans.run import run_route
 from quayside.sources.registry import read, write
 
 __all__ = [
@@ -41,6 +42,7 @@ __all__ = [
     "Parquet",
     "RelationalTable",
     "Route",
+    "RouteResult",
     "Timed",
     "Topic",
     "Xlsx",

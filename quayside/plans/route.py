@@ -1,20 +1,19 @@
-"""Routes: read, filter, type, write, as one Spark plan."""
+"""Routes: what they may be, and the rows they move."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.endpoints import SAVE_MODES, AvailableNow, Endpoint, File, Index, KeyedTable, RelationalTable, Topic
+from quayside.endpoints import SAVE_MODES, Endpoint, File, Index, KeyedTable, RelationalTable, Topic
 from quayside.functions.mapping import apply_mapping, stringify
 from quayside.operators.search import SearchQuery, search
-from quayside.sources import storage, topics
 from quayside.sources.indexes import ID, search_index
-from quayside.sources.registry import read, set_aside_malformed, write
+from quayside.sources.registry import read, set_aside_malformed
 
 
 @dataclass(frozen=True)
@@ -92,60 +91,3 @@ def shape(frame: DataFrame, route: Route) -> DataFrame:
     if route.mapping is not None:
         frame = apply_mapping(frame, route.mapping)
     return stringify(frame) if route.stringify else frame
-
-
-def _location(spark: SparkSession, endpoint: Endpoint) -> str | None:
-    """Folder that an overwrite of the endpoint would delete, or that reading it needs."""
-    if isinstance(endpoint, File):
-        return storage.qualified(spark, endpoint.path)
-    if isinstance(endpoint, RelationalTable):
-        where = endpoint.url or storage.qualified(spark, endpoint.folder)
-        return f"{where}/{endpoint.table}"
-    if isinstance(endpoint, KeyedTable):
-        where = endpoint.hosts or storage.qualified(spark, endpoint.folder)
-        return f"{where}/{endpoint.keyspace}.{endpoint.table}"
-    where = getattr(endpoint, "folder", None)
-    return None if where is None else f"{storage.qualified(spark, where)}/{endpoint.name}"
-
-
-def _check_overwrite(spark: SparkSession, route: Route) -> None:
-    source, target = _location(spark, route.input), _location(spark, route.output)
-    if route.save_mode == "overwrite" and source and target:
-        if f"{source}/".startswith(f"{target}/") or f"{target}/".startswith(f"{source}/"):
-            raise ValueError("a route cannot overwrite what it reads")
-
-
-def _rows_read(query: StreamingQuery) -> int | None:
-    """Rows of all batches; unknown once Spark has dropped the progress of early ones."""
-    progress = query.recentProgress
-    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-    return sum(p["numInputRows"] for p in progress) if len(progress) < kept else None
-
-
-def run_route(spark: SparkSession, route: Route) -> RouteResult:
-    """Run a route. Streams that end by themselves are waited for, others are returned running."""
-    from quayside.streaming.routes import start_stream
-
-    summaries = {"input": route.input.summary(), "output": route.output.summary()}
-    if route.streaming:
-        query = start_stream(spark, route)
-        if isinstance(route.input, File) or isinstance(route.input.mode, AvailableNow):
-            query.awaitTermination()
-            return RouteResult(**summaries, rows=_rows_read(query), query=query)
-        return RouteResult(**summaries, query=query)
-
-    _check_overwrite(spark, route)
-    if route.is_mirror:
-        frame = mirror_pairs(topics.read_messages(spark, route.input), route)
-    else:
-        frame = shape(selected(spark, route), route)
-    # Rows are counted while they are written; a skipped write counts nothing.
-    counted = route.save_mode != "ignore"
-    observation = Observation()
-    if counted:
-        frame = frame.observe(observation, F.count(F.lit(1)).alias("rows"))
-    if route.is_mirror:
-        topics.publish(frame, route.output)
-    else:
-        write(frame, route.output, route.save_mode)
-    return RouteResult(**summaries, rows=observation.get["rows"] if counted else None)

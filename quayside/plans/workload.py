@@ -56,7 +56,8 @@ from quayside.operators.search import (
     sample_documents,
     search,
 )
-from quayside.plans.route import Route, run_route
+from quayside.plans.route import Route
+from quayside.plans.run import run_route
 from quayside.sources import topics
 from quayside.sources.registry import read, write
 from quayside.sources.storage import scratch_folder
@@ -254,7 +255,8 @@ freq AS (
   UNION ALL
   SELECT 'lang', word, count(*) FROM likes JOIN documents ON list_contains({TOKENS.format("lang")}, word)
   GROUP BY word HAVING count(*) >= 2),
-chosen AS (SELECT count(*) AS n, list(word) FILTER (field = 'text') AS texts, list(word) FILTER (field = 'lang') AS langs
+chosen AS (
+  SELECT count(*) AS n, list(word) FILTER (field = 'text') AS texts, list(word) FILTER (field = 'lang') AS langs
   FROM freq)
 SELECT documents.* FROM documents, chosen
 WHERE len(list_intersect({TEXT_TOKENS}, texts)) + len(list_intersect({TOKENS.format("lang")}, langs))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -97,7 +99,8 @@ def _decoded(text: Column) -> Column:
 def dataset_of(path: Column, root: str, per_file: bool = False) -> Column:
     """Folder of a file relative to the root, ``.`` for the root itself.
 
-    The bare name of the file is added where each file is a dataset. A folder written per dataset (``dataset=name``), by a stream also per batch
+    The bare name of the file is added where each file is a dataset. A folder
+    written per dataset (``dataset=name``), by a stream also per batch
     (``batch-…``), gives that name back.
     """
     below_root = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
@@ -116,24 +119,45 @@ def _check_flat(frame: DataFrame, fmt: FileFormat) -> None:
         raise TypeError(f"{type(fmt).__name__} cannot hold nested columns: {', '.join(nested)}")
 
 
+def _existing_datasets(spark: SparkSession, path: str) -> list[str]:
+    if not storage.exists(spark, path):
+        return []
+    return [unquote(n.removeprefix("dataset=")) for n in storage.sub_folders(spark, path) if n.startswith("dataset=")]
+
+
+def _new_datasets(frame: DataFrame, endpoint: File, mode: str) -> tuple[DataFrame, str]:
+    """Each dataset is saved on its own: the rows to write and the mode that is left to Spark."""
+    existing = _existing_datasets(frame.sparkSession, endpoint.path)
+    if mode in ("overwrite", "append"):
+        return frame, mode
+    exists = F.col("dataset").isin(existing)
+    if mode == "ignore":
+        return frame.where(~exists), "append"
+    refusal = F.raise_error(F.concat(F.lit("dataset already exists: "), "dataset")).cast("string")
+    return frame.withColumn("dataset", F.when(exists, refusal).otherwise(F.col("dataset"))), "append"
+
+
 def write(frame: DataFrame, endpoint: File, mode: str) -> None:
+    """Write the rows as files; with datasets the save mode holds for each of them."""
     fmt = endpoint.format
     _check_flat(frame, fmt)
     if endpoint.single_file:
         frame = frame.coalesce(1)
     elif endpoint.rebalance:
         frame = frame.hint("rebalance", *(["dataset"] if endpoint.datasets else []))
+    if endpoint.datasets:
+        frame, mode = _new_datasets(frame, endpoint, mode)
     if isinstance(fmt, Xlsx):
         _write_workbooks(frame, endpoint, mode)
         return
     writer = frame.write.format(source_name(fmt)).options(**write_options(fmt))
     if endpoint.datasets:
-        writer = writer.partitionBy("dataset")
+        writer = writer.partitionBy("dataset").option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).save(endpoint.path)
 
 
 def _write_workbooks(frame: DataFrame, endpoint: File, mode: str) -> None:
-    if storage.exists(frame.sparkSession, endpoint.path):
+    if not endpoint.datasets and storage.exists(frame.sparkSession, endpoint.path):
         if mode == "ignore":
             return
         if mode == "errorifexists":

@@ -84,7 +84,10 @@ def task_writer(stage: str, suffix: str, rows_per_file: int, by: str | None, ope
 def write_part_files(
     frame: DataFrame, path: str, overwrite: bool, suffix: str, rows_per_file: int, by: str | None, open_part: Callable
 ) -> None:
-    """Write the rows as part files; only the names of the files reach the driver."""
+    """Write the rows as part files; only the names of the files reach the driver.
+
+    With ``by``, an overwrite replaces the sub-folders that get rows and leaves the rest.
+    """
     spark = frame.sparkSession
     root = storage.qualified(spark, path)
     stage = f"{root}/_staging-{uuid.uuid4().hex}"
@@ -92,8 +95,11 @@ def write_part_files(
         task = task_writer(stage, suffix, rows_per_file, by, open_part)
         names = [row["name"] for row in frame.mapInArrow(task, "name string").collect()]
         storage.make_folder(spark, root)
-        if overwrite:
+        if overwrite and by is None:
             storage.delete_visible(spark, root)
+        elif overwrite:
+            for folder in {name.rpartition("/")[0] for name in names}:
+                storage.delete(spark, f"{root}/{folder}")
         for name in names:
             storage.move(spark, f"{stage}/{name}", f"{root}/{name}")
     finally:

@@ -121,6 +121,28 @@ def test_datasets_keep_their_relative_folder(spark, folder, fmt):
         assert same_rows(read(spark, target), found)
 
 
+@pytest.mark.parametrize("fmt", [Json(), Xlsx()])
+def test_save_mode_of_each_dataset(spark, folder, fmt):
+    schema = "id int, dataset string"
+    target = File(fmt, f"{folder}/out", schema=spark.createDataFrame([], "id int").schema, datasets=True)
+
+    def rows(*values):
+        return spark.createDataFrame(list(values), schema)
+
+    def found():
+        return sorted(tuple(r) for r in read(spark, target).collect())
+
+    write(rows((1, "a"), (2, "b/c")), target, "errorifexists")
+    write(rows((3, "d")), target, "errorifexists")
+    with pytest.raises(Exception, match="already exists"):
+        write(rows((9, "e"), (9, "b/c")), target, "errorifexists")
+    assert found() == [(1, "a"), (2, "b/c"), (3, "d")]
+    write(rows((9, "a"), (4, "f")), target, "ignore")
+    write(rows((5, "b/c")), target, "overwrite")
+    write(rows((6, "a")), target, "append")
+    assert found() == [(1, "a"), (3, "d"), (4, "f"), (5, "b/c"), (6, "a")]
+
+
 def test_dataset_of_any_file_system(spark):
     paths = [("hdfs://host:9000/data/in/a/part-0", "a"), ("hdfs://host:9000/data/in/part-0", ".")]
     frame = spark.createDataFrame(paths, "path string, want string")
