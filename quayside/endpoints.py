@@ -138,7 +138,9 @@ class File:
 class RelationalTable:
     """A relational table over JDBC (``url``) or kept in a ``folder``.
 
-    ``partition_column`` splits a JDBC read into ``num_partitions`` ranges.
+    ``partition_column`` splits a JDBC read into ``num_partitions`` ranges, and a
+    write uses at most as many connections. ``properties`` are further connector
+    options (user, driver, truncate, ...).
     """
 
     table: str

@@ -8,9 +8,9 @@ is only cut into an array of tokens where a predicate must look at each one.
 
 from __future__ import annotations
 
+import json
 import unicodedata
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 from operator import and_, or_
 
 from pyspark.sql import Column
@@ -47,12 +47,20 @@ def tokens(text: Column, shortest: int = 1, longest: int | None = None) -> Colum
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
+def _joined(conditions: Sequence[Column], join: Callable) -> Column:
+    """Conditions joined pairwise, so that many of them do not make a deep expression."""
+    while len(conditions) > 1:
+        pairs = [join(*conditions[i : i + 2]) for i in range(0, len(conditions) - 1, 2)]
+        conditions = pairs + list(conditions[len(pairs) * 2 :])
+    return conditions[0]
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(or_, conditions) if conditions else F.lit(False)
+    return _joined(conditions, or_) if conditions else F.lit(False)
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(and_, conditions) if conditions else F.lit(True)
+    return _joined(conditions, and_) if conditions else F.lit(True)
 
 
 def negate(condition: Column) -> Column:
@@ -60,8 +68,9 @@ def negate(condition: Column) -> Column:
     return ~F.coalesce(condition, F.lit(False))
 
 
-def _string_array(values: Sequence[str]) -> Column:
-    return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
+def string_array(values: Sequence[str]) -> Column:
+    """A constant array, one literal however many values there are."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
 
 
 def has_phrase(text: Column, words: Sequence[str]) -> Column:
@@ -78,7 +87,7 @@ def has_any_token(text: Column, words: Sequence[str]) -> Column:
     """At least one of the words is a token of the text."""
     usable = [word for word in dict.fromkeys(words) if is_token(word)]
     if len(usable) > FEW_WORDS:
-        return F.arrays_overlap(tokens(text), _string_array(usable))
+        return F.arrays_overlap(tokens(text), string_array(usable))
     return any_of([has_phrase(text, [word]) for word in usable])
 
 

@@ -84,8 +84,9 @@ class Field:
             return self._any_value(lambda value: value.isin(list(values)))
         return self._any_value(lambda value: value.isin([F.lit(v).try_cast(self.value_type) for v in values]))
 
-    def match(self, text: str) -> Column:
-        return self.any_term(self.analysed(text))
+    def match(self, *texts: str) -> Column:
+        """The field shares a term with one of the texts."""
+        return self.any_term([term for text in texts for term in self.analysed(text)])
 
     def phrase(self, text: str) -> Column:
         if self.is_text:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,10 +81,14 @@ def _fold(pattern: re.Pattern, text: str, part: Callable, combine: Callable, str
     return combine(levels[0])
 
 
+def _unescaped(word: str) -> str:
+    return re.sub(r"\\(.)", r"\1", word)
+
+
 def _word(field: Field, word: str) -> Column:
     """A bare word on one field: plain, with wildcards or with ``~``."""
     fuzzy = re.fullmatch(r"(.+?)~(\d?)", word)
-    plain = re.sub(r"\\(.)", r"\1", fuzzy[1] if fuzzy else word)
+    plain = _unescaped(fuzzy[1] if fuzzy else word)
     term = plain.lower() if field.is_text else plain
     if fuzzy:
         return field.fuzzy(term, int(fuzzy[2]) if fuzzy[2] else None)
@@ -105,7 +110,14 @@ def _range(field: Field, low: str, high: str, open_low: bool, open_high: bool) -
     return field.between(bound(low), bound(high), open_low, open_high)
 
 
-def _query_part(found: re.Match, docs: Documents) -> Column:
+@dataclass(frozen=True)
+class PlainWord:
+    """A word to be found in any field, kept as a word so that many can be looked up at once."""
+
+    text: str
+
+
+def _query_part(found: re.Match, docs: Documents) -> Column | PlainWord:
     if found["field"] == "_exists_" and found["word"]:
         return docs.field(found["word"]).exists()
     if found["word"] == "*" and found["field"] is None or found[0] == "*:*":
@@ -126,12 +138,18 @@ def _query_part(found: re.Match, docs: Documents) -> Column:
         is_open = len(found["compare"]) == 1
         ends = (found["bound"], "*") if found["compare"][0] == ">" else ("*", found["bound"])
         return tk.any_of([_range(f, *ends, is_open, is_open) for f in fields])
+    if found["field"] is None and not re.search(r"(?<!\\)[*?~]", found["word"]):
+        return PlainWord(_unescaped(found["word"]))
     return tk.any_of([_word(f, found["word"]) for f in fields])
 
 
-def _join_clauses(parts: list) -> Column:
+def _any_word(words: list[PlainWord], docs: Documents) -> Column:
+    return tk.any_of([f.match(*[word.text for word in words]) for f in docs.searchable()])
+
+
+def _join_clauses(parts: list, docs: Documents) -> Column:
     """Required, prohibited and optional parts of one level."""
-    clauses: list[tuple[str, Column]] = []
+    clauses: list[tuple[str, Column | PlainWord]] = []
     mark = joined = ""
     for part in parts:
         if not isinstance(part, str):
@@ -145,18 +163,24 @@ def _join_clauses(parts: list) -> Column:
                 clauses[-1] = ("+", clauses[-1][1])
         elif operator in "+-":
             mark = operator
-    required = [c for m, c in clauses if m == "+"]
-    prohibited = [tk.negate(c) for m, c in clauses if m == "-"]
-    optional = [c for m, c in clauses if m == ""]
     if not clauses:
         return F.lit(False)
+    words = [c for m, c in clauses if m == "" and isinstance(c, PlainWord)]
+    optional = [c for m, c in clauses if m == "" and not isinstance(c, PlainWord)]
+    if words:
+        optional.append(_any_word(words, docs))
+    whole = [(m, _any_word([c], docs) if isinstance(c, PlainWord) else c) for m, c in clauses if m]
+    required = [c for m, c in whole if m == "+"]
+    prohibited = [tk.negate(c) for m, c in whole if m == "-"]
     if optional and not required:
         required = [tk.any_of(optional)]
     return tk.all_of(required + prohibited)
 
 
 def query_string(text: str, docs: Documents) -> Column:
-    return _fold(_QUERY_PART, text, lambda found: _query_part(found, docs), _join_clauses, strict=True)
+    return _fold(
+        _QUERY_PART, text, lambda found: _query_part(found, docs), lambda parts: _join_clauses(parts, docs), strict=True
+    )
 
 
 # --- simple_string ---------------------------------------------------------

@@ -9,6 +9,7 @@ single row is as long as the query text.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -77,7 +78,7 @@ class CommonTerms:
         limit = F.ceil(F.count(F.lit(1)) * F.lit(self.cutoff))
         held = [F.count_if(field.any_term([word])) for word in words]
         rare = F.array_compact(F.array(*[F.when(n <= limit, F.lit(w)) for n, w in zip(held, words)]))
-        every = F.array(*map(F.lit, words))
+        every = tk.string_array(words)
         chosen = docs.frame.agg(F.when(F.size(rare) > 0, rare).otherwise(every).alias("words")).scalar()
         return tk.any_of([F.array_contains(chosen, F.lit(w)) & field.any_term([w]) for w in words])
 
@@ -183,7 +184,7 @@ class MoreLikeThis:
         term_type = "array<struct<field:int,word:string>>"
         held = []
         for i, (field, counts) in enumerate(wanted.values()):
-            words = F.array_intersect(field.token_array(), F.array(*map(F.lit, counts)))
+            words = F.array_intersect(field.token_array(), tk.string_array(list(counts)))
             held.append(F.coalesce(_numbered(words, i), F.array().cast(term_type)))
         frequencies = (
             docs.frame.select(F.explode(F.concat(*held)).alias("term"))
@@ -194,7 +195,7 @@ class MoreLikeThis:
         n_docs = docs.frame.agg(F.count(F.lit(1))).scalar()
         in_like = F.lit(None).cast("int")
         for i, (_, counts) in enumerate(wanted.values()):
-            table = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+            table = F.from_json(F.lit(json.dumps(counts)), "map<string,int>")
             in_like = F.when(F.col("field") == i, F.element_at(table, F.col("word"))).otherwise(in_like)
         weight = F.round(in_like * (1 + F.log((n_docs + 1) / (F.col("n") + 1))), 9)
         best = (
@@ -309,7 +310,7 @@ SearchQuery = (
 
 
 # More values than this are joined instead of listed in the plan.
-LONGEST_LIST = 50_000
+LONGEST_LIST = 10_000
 
 
 def _semi_join(docs: Documents, name: str, values: Sequence[str]) -> DataFrame:

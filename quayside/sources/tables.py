@@ -23,7 +23,9 @@ def table_path(endpoint: RelationalTable) -> str:
 
 
 def jdbc_options(endpoint: RelationalTable) -> dict:
-    return {"url": endpoint.url, "dbtable": endpoint.table, "batchsize": endpoint.batch_size, **endpoint.properties}
+    # Rows are fetched and sent in batches; drivers may otherwise hold a whole result in memory.
+    sizes = {"batchsize": endpoint.batch_size, "fetchsize": endpoint.batch_size}
+    return {"url": endpoint.url, "dbtable": endpoint.table, **sizes, **endpoint.properties}
 
 
 def jdbc_partition_options(endpoint: RelationalTable, low, high) -> dict:
@@ -53,7 +55,9 @@ def write_relational(frame: DataFrame, endpoint: RelationalTable, mode: str) ->
     if endpoint.folder is not None:
         frame.write.mode(mode).parquet(table_path(endpoint))
         return
-    frame.write.format("jdbc").options(**jdbc_options(endpoint)).mode(mode).save()
+    # At most this many connections write at a time.
+    options = jdbc_options(endpoint) | {"numPartitions": endpoint.num_partitions}
+    frame.write.format("jdbc").options(**options).mode(mode).save()
 
 
 # --- keyed -----------------------------------------------------------------

@@ -1,6 +1,8 @@
 """Search semantics on small frames: absent fields, keywords, arrays, structs, plans."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from quayside.operators.search import (
     BoolMatchPhrase,
@@ -148,6 +150,48 @@ def test_members(docs, query, want):
     assert ids(docs, query) == want
 
 
+WORDS = ["red", "apple", "sky", "new", "zzz"]
+
+
+def has(row, word):
+    return any(word in (row[i] or "").lower().replace(",", "").split() for i in (1, 2))
+
+
+def queries(depth):
+    """Random query texts with a plain Python test of a row."""
+    word = st.sampled_from(WORDS).map(lambda w: (w, lambda row: has(row, w)))
+    if depth == 0:
+        return word
+    inner = queries(depth - 1)
+
+    def both(parts, joiner, test):
+        texts = [f"({text})" for text, _ in parts]
+        return joiner.join(texts), lambda row: test(check(row) for _, check in parts)
+
+    some = st.lists(inner, min_size=2, max_size=3)
+    return st.one_of(
+        word,
+        some.map(lambda parts: both(parts, " AND ", all)),
+        some.map(lambda parts: both(parts, " OR ", any)),
+        some.map(lambda parts: both(parts, " ", any)),
+        inner.map(lambda part: (f"NOT ({part[0]})", lambda row: not part[1](row))),
+        st.tuples(inner, inner).map(
+            lambda ab: (f"+({ab[0][0]}) -({ab[1][0]})", lambda row: ab[0][1](row) and not ab[1][1](row))
+        ),
+    )
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(query=queries(3))
+def test_query_string_against_python(docs, query):
+    text, check = query
+    want = "".join(row[0] for row in ROWS if check(row))
+    assert ids(docs.select("_id", "text", "status"), QueryString(text), {}) == want
+    simple = text.replace(" AND ", " + ").replace(" OR ", " | ").replace("NOT (", "-(")
+    if "+(" not in text:  # there, a plus sign means something else
+        assert ids(docs.select("_id", "text", "status"), SimpleString(simple), {}) == want
+
+
 def test_unbalanced_query_string_raises(docs):
     for text in ("(red", "red)"):
         with pytest.raises(ValueError):
