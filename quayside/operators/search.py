@@ -13,13 +13,14 @@ import json
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import tokens as tk
 from quayside.operators import query_text
-from quayside.operators.fields import Documents
+from quayside.operators.fields import Documents, Field
 
 
 @dataclass(frozen=True)
@@ -75,12 +76,30 @@ class CommonTerms:
         words = list(dict.fromkeys(field.analysed(self.value)))
         if field.type is None or not words:
             return F.lit(False)
+        if len(words) > tk.FEW_WORDS:
+            return F.arrays_overlap(field.token_array(), self._choose_among_many(docs, field, words))
+        chosen = self._choose_among_few(docs, field, words)
+        return tk.any_of([F.array_contains(chosen, F.lit(w)) & field.any_term([w]) for w in words])
+
+    def _choose_among_few(self, docs: Documents, field: Field, words: list[str]) -> Column:
+        """One-row subquery: the words to match on, each counted by its own test."""
         limit = F.ceil(F.count(F.lit(1)) * F.lit(self.cutoff))
         held = [F.count_if(field.any_term([word])) for word in words]
         rare = F.array_compact(F.array(*[F.when(n <= limit, F.lit(w)) for n, w in zip(held, words)]))
-        every = tk.string_array(words)
-        chosen = docs.frame.agg(F.when(F.size(rare) > 0, rare).otherwise(every).alias("words")).scalar()
-        return tk.any_of([F.array_contains(chosen, F.lit(w)) & field.any_term([w]) for w in words])
+        return docs.frame.agg(F.when(F.size(rare) > 0, rare).otherwise(tk.string_array(words))).scalar()
+
+    def _choose_among_many(self, docs: Documents, field: Field, words: list[str]) -> Column:
+        """The same from one count per word and document, reduced in each task."""
+        listed = tk.string_array(words)
+        n_docs = docs.frame.agg(F.count(F.lit(1))).scalar()
+        common = (
+            docs.frame.select(F.explode(F.array_intersect(field.token_array(), listed)).alias("word"))
+            .groupBy("word")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > F.ceil(n_docs * F.lit(self.cutoff)))
+        )
+        rare = F.array_except(listed, F.collect_list("word"))
+        return common.agg(F.when(F.size(rare) > 0, rare).otherwise(listed)).scalar()
 
 
 @dataclass(frozen=True)
@@ -119,14 +138,11 @@ class MultiMatch:
         return tk.any_of([QueryString(value).condition(docs) for value in self.values])
 
     def apply(self, docs: Documents) -> DataFrame:
-        if self.dedupe and self.hits_per_value is None:
+        if not self.values or (self.dedupe and self.hits_per_value is None):
             return docs.frame.where(self.condition(docs))
         conditions = [QueryString(value).condition(docs) for value in self.values]
         if self.hits_per_value is not None:
-            parts = [docs.frame.where(c).limit(self.hits_per_value) for c in conditions]
-            hits = parts[0]
-            for part in parts[1:]:
-                hits = hits.unionByName(part)
+            hits = reduce(DataFrame.union, [docs.frame.where(c).limit(self.hits_per_value) for c in conditions])
             return hits.dropDuplicates() if self.dedupe else hits
         # One scan: every row is repeated as often as values match it.
         met = [F.when(c, F.lit(i)) for i, c in enumerate(conditions)]

@@ -210,6 +210,29 @@ def test_result_window_per_value(docs):
     assert sorted(r["_id"] for r in whole.collect()) == ["1", "1", "2", "4"]
 
 
+@pytest.mark.parametrize("few", [0, 1, 8])
+@pytest.mark.parametrize(
+    "field, text, cutoff, want",
+    [
+        ("text", "apple sky", 0.2, "4"),
+        ("text", "red apple", 0.2, "124"),
+        ("text", "red apple nowhere", 0.2, ""),
+        ("text", "apple", 0.0, "12"),
+        ("text", "sky pie green", 0.2, "124"),
+        ("status", "new", 0.2, "13"),
+        ("tags", "z", 0.2, "5"),
+        ("text", "...", 0.2, ""),
+    ],
+)
+def test_common_terms_either_way(docs, monkeypatch, few, field, text, cutoff, want):
+    monkeypatch.setattr("quayside.functions.tokens.FEW_WORDS", few)
+    assert ids(docs, CommonTerms(field, text, cutoff)) == want
+
+
+def test_no_values(docs):
+    assert ids(docs, MultiMatch([])) == "" and ids(docs, MultiMatch([], hits_per_value=3)) == ""
+
+
 def test_long_lists_are_joined(spark):
     frame = spark.range(200_000).selectExpr("id AS _id", "IF(id % 3 = 0, 'hot', CAST(id AS string)) AS tag")
     many = [str(i) for i in range(100_000)]
