@@ -5,6 +5,7 @@ import glob
 import os
 import subprocess
 import sys
+import zipfile
 from itertools import permutations
 
 import pytest
@@ -189,6 +190,45 @@ def test_workbook_limits(spark, folder):
     assert not glob.glob(f"{folder}/long/*.xlsx")
 
 
+FOREIGN = {
+    "xl/workbook.xml": '<workbook xmlns="{main}" xmlns:r="{rels}"><sheets><sheet name="Data" sheetId="7" r:id="rId9"/>'
+    '<sheet name="Other" sheetId="8" r:id="rId8"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+    '<Relationship Id="rId8" Target="worksheets/none.xml"/><Relationship Id="rId9" Target="/xl/worksheets/data.xml"/>'
+    "</Relationships>",
+    "xl/sharedStrings.xml": '<sst xmlns="{main}"><si><t>when</t></si><si><r><t>na</t></r><r><t>me</t></r></si>'
+    '<si><t xml:space="preserve"> a &amp; b </t></si></sst>',
+    "xl/styles.xml": '<styleSheet xmlns="{main}"><numFmts count="1"><numFmt numFmtId="170" formatCode="0.00 &quot;days&quot;"/>'
+    '</numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/></cellXfs></styleSheet>',
+    "xl/worksheets/data.xml": '<?xml version="1.0"?><x:worksheet xmlns:x="{main}"><x:cols><x:col min="1" max="2"/></x:cols>'
+    '<x:sheetData><x:row r="1"><x:c r="A1" t="s"><x:v>0</x:v></x:c><x:c r="B1" t="s"><x:v>1</x:v></x:c>'
+    '<x:c r="D1" t="str"><x:v>flag</x:v></x:c><x:c r="E1" t="inlineStr"><x:is><x:t>days</x:t></x:is></x:c></x:row>'
+    '<x:row r="2"><x:c r="A2" s="1"><x:v>45292.5</x:v></x:c><x:c r="B2" t="s"><x:v>2</x:v></x:c>'
+    '<x:c r="D2" t="b"><x:v>1</x:v></x:c><x:c r="E2" s="2"><x:v>1.5E3</x:v></x:c></x:row>'
+    '<x:row r="3"><x:c r="C3"><x:v>99</x:v></x:c><x:c r="D3" t="e"><x:v>#N/A</x:v></x:c><x:c r="E3"><x:v>-2</x:v></x:c></x:row>'
+    '</x:sheetData><x:pageMargins left="1"/></x:worksheet>',
+}
+
+
+def test_workbook_of_another_program(spark, folder):
+    names = {"main": xlsx.SHEET_NS.strip("{}"), "rels": xlsx.RELS}
+    os.makedirs(f"{folder}/in")
+    with zipfile.ZipFile(f"{folder}/in/book.xlsx", "w") as book:
+        for part, text in FOREIGN.items():
+            book.writestr(part, text.format(**names))
+    found = read(spark, File(Xlsx(), f"{folder}/in"))
+    assert found.dtypes == [("when", "timestamp_ntz"), ("name", "string"), ("flag", "boolean"), ("days", "double")]
+    assert [tuple(r) for r in found.collect()] == [
+        (dt.datetime(2024, 1, 1, 12), " a & b ", True, 1500.0),
+        (None, None, None, -2.0),
+    ]
+    typed = spark.createDataFrame([], "when date, days int, absent string").schema
+    assert read(spark, File(Xlsx(), f"{folder}/in", schema=typed)).collect() == [
+        (dt.date(2024, 1, 1), 1500, None),
+        (None, -2, None),
+    ]
+
+
 def test_wide_workbook(spark, folder):
     frame = spark.range(3).selectExpr(*[f"id + {i} AS c{i}" for i in range(60)])
     assert same_rows(cycle(spark, folder, frame, Xlsx()), frame)
