@@ -1,14 +1,16 @@
 """Word-level predicates on text columns.
 
 A token is a run of letters, digits and underscores in the lower-cased text.
-Whole-token tests are regular expressions bounded by non-token characters,
-preceded by a plain substring test that rejects most rows cheaply; the text
-is only cut into an array of tokens where a predicate must look at each one.
+Whole-token tests are regular expressions that start with the literal word, so
+that Java searches for it as a plain string, and check its borders only where
+it occurs. The text is lower-cased once per test, and cut into an array of
+tokens only where a predicate must look at each one.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Sequence
 from operator import and_, or_
@@ -73,14 +75,22 @@ def string_array(values: Sequence[str]) -> Column:
     return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
 
 
+def _starting(word: str) -> str:
+    """Pattern of a word at the start of a token: the word, then a look back at what precedes it."""
+    return f"{word}(?<!{TOKEN_CHAR}{word})"
+
+
+def _whole(words: Sequence[str]) -> str:
+    """Pattern of whole tokens next to each other."""
+    gap = rf"[^{TOKEN_CHAR[1:-1]}]+"
+    return gap.join([_starting(words[0]), *words[1:]]) + NOT_AFTER
+
+
 def has_phrase(text: Column, words: Sequence[str]) -> Column:
     """The words occur next to each other in this order."""
     if not words or not all(map(is_token, words)):
         return F.lit(False)
-    low = F.lower(text)
-    gap = rf"[^{TOKEN_CHAR[1:-1]}]+"
-    present = [low.contains(word) for word in dict.fromkeys(words)]
-    return all_of(present) & low.rlike(NOT_BEFORE + gap.join(words) + NOT_AFTER)
+    return F.lower(text).rlike(_whole(words))
 
 
 def has_any_token(text: Column, words: Sequence[str]) -> Column:
@@ -88,14 +98,14 @@ def has_any_token(text: Column, words: Sequence[str]) -> Column:
     usable = [word for word in dict.fromkeys(words) if is_token(word)]
     if len(usable) > FEW_WORDS:
         return F.arrays_overlap(tokens(text), string_array(usable))
-    return any_of([has_phrase(text, [word]) for word in usable])
+    if len(usable) < 2:
+        return has_phrase(text, usable)
+    # A one-element array gives the lower-cased text a name, so that it is made once.
+    return F.exists(F.array(F.lower(text)), lambda low: any_of([low.rlike(_whole([word])) for word in usable]))
 
 
 def has_token_prefix(text: Column, prefix: str) -> Column:
-    if not is_token(prefix):
-        return F.lit(False)
-    low = F.lower(text)
-    return low.contains(prefix) & low.rlike(NOT_BEFORE + prefix)
+    return F.lower(text).rlike(_starting(prefix)) if is_token(prefix) else F.lit(False)
 
 
 def has_token_like(text: Column, wildcard: str) -> Column:
@@ -103,12 +113,11 @@ def has_token_like(text: Column, wildcard: str) -> Column:
     literal = wildcard.replace("*", "").replace("?", "")
     if not wildcard or (literal and not is_token(literal)):
         return F.lit(False)
-    pattern = wildcard.replace("*", f"{TOKEN_CHAR}*").replace("?", TOKEN_CHAR)
     if not wildcard.strip("*"):
-        pattern = f"{TOKEN_CHAR}+"
-    low = F.lower(text)
-    pieces = [p for p in wildcard.replace("?", "*").split("*") if p]
-    return all_of([low.contains(p) for p in pieces] + [low.rlike(NOT_BEFORE + pattern + NOT_AFTER)])
+        return F.lower(text).rlike(TOKEN_CHAR)
+    first = re.match(r"[^*?]*", wildcard)[0]
+    rest = wildcard[len(first) :].replace("*", f"{TOKEN_CHAR}*").replace("?", TOKEN_CHAR)
+    return F.lower(text).rlike((_starting(first) if first else NOT_BEFORE) + rest + NOT_AFTER)
 
 
 def full_match(value: Column, regex: str) -> Column:
