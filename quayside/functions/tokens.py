@@ -23,7 +23,7 @@ NOT_BEFORE = rf"(?<!{TOKEN_CHAR})"
 NOT_AFTER = rf"(?!{TOKEN_CHAR})"
 
 # Up to this many words are looked up one by one; more go through a hash set.
-FEW_WORDS = 8
+FEW_WORDS = 12
 
 
 def _is_token_char(char: str) -> bool:

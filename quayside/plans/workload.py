@@ -226,7 +226,7 @@ def common_words(name: str, text: str) -> None:
 
 common_words("common_terms", "in the achach")
 common_words("common_terms_all", "in the")
-common_words("common_terms_many", "in the of anat ering ble by thre ouen achach achen nowhere")
+common_words("common_terms_many", "in the of anat ering ble by thre ouen achach achen nowhere else")
 
 LIKE = [
     "achach achen in the of anat nteres onheed ering thre",

@@ -47,7 +47,7 @@ def test_analyse_agrees_with_spark(spark):
 def test_any_token_few_and_many(spark):
     rows = frame(spark)
     few = ["fox", "café", "日本語", "not there", "e_f"]
-    many = few + ["a", "b", "c", "d", "x1", "14", "end"]
+    many = few + ["a", "b", "c", "d", "x1", "14", "end", "lazy", "2", "jumped_over", "zzz"]
     for words in (few, many, [], ["THE"], ["brown-fox"]):
         assert found(rows, tk.has_any_token(F.col("text"), words)) == expected(lambda t: set(words) & set(t))
 
