@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -73,33 +72,46 @@ def class_counts(text: str) -> np.ndarray:
     return counts
 
 
-def distance(p: np.ndarray, q: np.ndarray) -> float:
-    """Jensen-Shannon distance, base 2, of two histograms."""
-    p, q = p / max(p.sum(), 1e-12), q / max(q.sum(), 1e-12)
-    middle = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        left = np.where(p > 0, p * np.log2(p / middle), 0).sum()
-        right = np.where(q > 0, q * np.log2(q / middle), 0).sum()
-    return float(np.sqrt(max(0.0, (left + right) / 2)))
-
-
-@dataclass
-class Reference:
-    """Of one language: the character classes, and the common words with their share, all other words together last."""
-
-    classes: np.ndarray
-    places: dict[str, int]
-    words: np.ndarray
-
-    def word_histogram(self, words: Counter, total: int) -> np.ndarray:
-        out = np.zeros(len(self.words))
-        for word, place in self.places.items():
-            out[place] = words.get(word, 0)
-        out[-1] = total - out.sum()
-        return out
-
-
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Reference]:
+def distances(counts: np.ndarray, models: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distances, base 2, of histograms from models, row by row."""
+    p = counts / np.maximum(counts.sum(-1, keepdims=True), 1e-12)
+    q = models / np.maximum(models.sum(-1, keepdims=True), 1e-12)
+    middle = np.maximum((p + q) / 2, 1e-300)
+    parts = p * np.log2(np.maximum(p, 1e-300) / middle) + q * np.log2(np.maximum(q, 1e-300) / middle)
+    return np.sqrt(np.maximum(parts.sum(-1) / 2, 0.0))
+
+
+class References:
+    """Of every language: the character classes, and the common words with their counts, all other words together last."""
+
+    def __init__(self, classes: dict[str, np.ndarray], words: dict[str, list[tuple[str, int]]], totals: dict[str, int]):
+        self.languages = sorted(classes)
+        self.classes = np.array([classes[x] for x in self.languages])
+        self.words = np.zeros((len(self.languages), WORDS + 1))
+        self.places: dict[str, int] = {}  # of every common word, from 1 on
+        self.columns = np.zeros((len(self.languages), WORDS), np.int64)
+        for row, name in enumerate(self.languages):
+            for column, (word, n) in enumerate(words.get(name, [])):
+                self.words[row, column] = n
+                self.columns[row, column] = self.places.setdefault(word, len(self.places) + 1)
+            self.words[row, -1] = max(0, totals[name] - self.words[row].sum())
+
+    def divergences(self, text: str) -> tuple[float | None, float | None]:
+        """The least distances of character classes and of words from any language; null below the minimum lengths."""
+        classes = words = None
+        if self.languages and len(text) >= LEAST_CHARS:
+            classes = float(distances(class_counts(text)[None], self.classes).min())
+            found = WORD.findall(text.lower())
+            if len(found) >= LEAST_WORDS:
+                common = np.bincount(list(filter(None, map(self.places.get, found))), minlength=len(self.places) + 1)
+                counts = np.zeros(self.words.shape)
+                counts[:, :-1] = np.where(self.columns > 0, common[self.columns], 0)
+                counts[:, -1] = len(found) - counts.sum(1)
+                words = float(distances(counts, self.words).min())
+        return classes, words
+
+
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
     """Counts over all documents with a language; each batch of rows is summed before it leaves its task."""
 
     def summed(batches):
@@ -124,17 +136,14 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     sums = named.mapInArrow(summed, "lang string, slot int, word string, n long").groupBy("lang", "slot", "word").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang", "slot").orderBy(F.desc("n"), "word")
     rows = sums.withColumn("place", F.row_number().over(order)).where((F.col("slot") != -2) | (F.col("place") <= WORDS)).collect()
-    found: dict[str, Reference] = {}
-    for name, total in {r.lang: r.n for r in rows if r.slot == -1}.items():
-        own = [r for r in rows if r.lang == name]
-        top = sorted((r.place, r.word, r.n) for r in own if r.slot == -2)
-        classes = np.zeros(len(CLASSES))
-        for r in own:
-            if r.slot >= 0:
-                classes[r.slot] = r.n
-        words = np.array([*(n for _, _, n in top), max(0, total - sum(n for _, _, n in top))], float)
-        found[name] = Reference(classes, {w: i for i, (_, w, _) in enumerate(top)}, words)
-    return found
+    totals = {r.lang: r.n for r in rows if r.slot == -1}
+    classes, words = {x: np.zeros(len(CLASSES)) for x in totals}, defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.place):
+        if r.slot >= 0:
+            classes[r.lang][r.slot] = r.n
+        elif r.slot == -2:
+            words[r.lang].append((r.word, r.n))
+    return References(classes, words, totals)
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -156,25 +165,13 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(hashes), len(text) - blanks, sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)), repeated
 
 
-def divergences(text: str, models: dict[str, Reference]) -> tuple[float | None, float | None]:
-    """The least distances of character classes and of words from any reference; null below the minimum lengths."""
-    classes = words = None
-    if models and len(text) >= LEAST_CHARS:
-        counts = class_counts(text)
-        classes = min(distance(counts, m.classes) for m in models.values())
-        found = Counter(WORD.findall(text.lower()))
-        if (total := found.total()) >= LEAST_WORDS:
-            words = min(distance(m.word_histogram(found, total), m.words) for m in models.values())
-    return classes, words
-
-
-def judged(docs: DataFrame, models: dict[str, Reference], text: str = "text") -> DataFrame:
+def judged(docs: DataFrame, models: References, text: str = "text") -> DataFrame:
     """The rows with the base counts, the two distances, base_failed and kept."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance")
 
     @F.arrow_udf(", ".join(f"{n} {'double' if 'distance' in n else 'long'}" for n in names))
     def judge(texts: pa.Array) -> pa.Array:
-        rows = [base_counts(t) + (divergences(t, models) if t else (None, None)) for t in (x.as_py() for x in texts)]
+        rows = [base_counts(t) + (models.divergences(t) if t else (None, None)) for t in (x.as_py() for x in texts)]
         columns = list(zip(*rows, strict=True)) or [[]] * len(names)
         arrays = [pa.array(c, pa.float64() if "distance" in n else pa.int64()) for n, c in zip(names, columns, strict=True)]
         return pa.StructArray.from_arrays(arrays, names=list(names))
