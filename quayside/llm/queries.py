@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.language import op5_language_id
 from quayside.llm.quality import op8_quality_rules
+from quayside.llm.secrets import op10_secret_scans
 from quayside.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op10_secret_scans": op10_secret_scans,
 }
 
 SQL: dict[str, str] = {}
