@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.language import op5_language_id
 from quayside.llm.mixing import op1_mixing
+from quayside.llm.packing import op3_packing
 from quayside.llm.quality import op8_quality_rules
 from quayside.llm.secrets import op10_secret_scans
 from quayside.llm.toxicity import op4_toxicity
@@ -16,6 +17,7 @@ from quayside.llm.urls import op2_url_filters
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
+    "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op8_quality_rules": op8_quality_rules,
