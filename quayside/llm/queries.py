@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm.embeddings import op6_embedding_dedup
+from quayside.llm.jaccard import op9_jaccard_join
 from quayside.llm.language import op5_language_id
 from quayside.llm.mixing import op1_mixing
 from quayside.llm.packing import op3_packing
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scans": op10_secret_scans,
 }
 
