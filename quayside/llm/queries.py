@@ -13,6 +13,7 @@ from quayside.llm.mixing import op1_mixing
 from quayside.llm.packing import op3_packing
 from quayside.llm.quality import op8_quality_rules
 from quayside.llm.secrets import op10_secret_scans
+from quayside.llm.substrings import op7_substring_dedup
 from quayside.llm.toxicity import op4_toxicity
 from quayside.llm.urls import op2_url_filters
 
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scans": op10_secret_scans,
