@@ -13,10 +13,13 @@ one. Other columns of the documents are carried along until the last stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import jaccard, language, mixing, packing, secrets
-from quayside.llm.common import kept
+from quayside.llm.common import kept, ship
 
 
 def clear_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -47,12 +50,23 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return packing.pack(docs)
 
 
+def _shipped(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, run where the executors have the package."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, folder)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", clear_language),
-    ("near_duplicates", one_of_each_group),
-    ("secret_scans", without_secrets),
-    ("mixing", weighted_mix),
-    ("packing", packed_sequences),
+    ("language_id", _shipped(clear_language)),
+    ("near_duplicates", _shipped(one_of_each_group)),
+    ("secret_scans", _shipped(without_secrets)),
+    ("mixing", _shipped(weighted_mix)),
+    ("packing", _shipped(packed_sequences)),
 ]
 
 #: Trained models and tokenizers have no SQL; tests compare the stages with brute force.

@@ -2,21 +2,49 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import quayside
 from quayside.sources.storage import scratch_folder
 
 #: The characters that separate words, x20 and x09 to x0D.
 SEPARATORS = " \t\n\x0b\x0c\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per context; those that join later get it too."""
+    name = "quayside-package.zip"
+    if any(path.endswith(name) for path in spark.sparkContext.listFiles):
+        return
+    root = Path(quayside.__file__).parent
+    package = Path(tempfile.mkdtemp()) / name  # of the driver, which serves it
+    with zipfile.ZipFile(package, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(package))
 
 
-def kept(frame: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """The frame as a written table in the shared scratch folder: computed once, read by every executor."""
-    folder = scratch_folder(frame.sparkSession, name)
-    frame.write.partitionBy(*partition_by).parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table in the shared scratch folder: computed once, read by every executor.
+
+    Its shuffle files go when it is written, not when the driver happens to collect its garbage.
+    """
+    spark = frame.sparkSession
+    folder = scratch_folder(spark, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -82,7 +110,9 @@ def _hashes_of_piece(data: np.ndarray) -> np.ndarray:
     if len(data) >= len(_POWER):
         size = 1 << (len(data) + 1).bit_length()
         _POWER, _INVERSE = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
-    edge = np.flatnonzero(np.diff(_IS_SEPARATOR[data], prepend=True, append=True))
+    blank = np.ones(len(data) + 2, bool)
+    _IS_SEPARATOR.take(data, out=blank[1:-1])
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
     first, last = edge[::2], edge[1::2]
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWER[: len(data)], out=total[1:])

@@ -20,6 +20,11 @@ def _star(pairs: DataFrame) -> DataFrame:
     return pairs.join(least.select("u", F.least("u", "least").alias("least")), "u")
 
 
+def _mark(edges: DataFrame):
+    """The number of links and a sum over them, to see whether they change."""
+    return edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) as decimal(38, 0)))")).first()
+
+
 def components(links: DataFrame, one: str, other: str) -> DataFrame:
     """Rows of node and component, its least node, for every node that has a link to another one.
 
@@ -27,15 +32,12 @@ def components(links: DataFrame, one: str, other: str) -> DataFrame:
     """
     links = links.select(F.greatest(one, other).alias("u"), F.least(one, other).alias("v"))
     edges = kept(links.where("u is not null and v is not null and u > v").distinct(), "links")
-    mark = None
-    while True:
+    last, mark = None, _mark(edges)
+    while mark != last and mark[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small = _star(large.distinct())
         moved = small.select(F.col("v").alias("u"), F.col("least").alias("v")).where("u > v")
         edges = kept(small.select("u", F.col("least").alias("v")).union(moved).distinct(), "links")
-        last, mark = mark, edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) as decimal(38, 0)))")).first()
-        if mark == last:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                edges.select(F.col("v"), F.col("v")).distinct()
-            )
+        last, mark = mark, _mark(edges)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v"), F.col("v")).distinct())

@@ -34,6 +34,8 @@ from quayside.llm.components import components
 
 #: Shingles whose order is by their frequency; all others come before them, by hash. Any order gives the same links.
 FREQUENT = 1 << 16
+#: A neighbour is tried first if it shares one in so many shingles of a set in the prefix.
+LEAST_NEAR = 16
 #: Sets of one batch that must share a shingle before it is counted as frequent.
 LEAST_SHARED = 4
 
@@ -46,8 +48,8 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def set_hash(tokens: np.ndarray) -> int:
-    total = np.array([len(tokens)], np.uint64) + mixed(tokens).sum(dtype=np.uint64)
-    return int(mixed(total ^ np.bitwise_xor.reduce(mixed(tokens + np.uint64(1)))).view(np.int64)[0])
+    total = (tokens * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64) + np.uint64(len(tokens))
+    return int(mixed(np.array([total ^ (np.bitwise_xor.reduce(tokens) << np.uint64(1))])).view(np.int64)[0])
 
 
 def _described(batches):
@@ -142,13 +144,25 @@ def _overlap(one: pa.Array, other: pa.Array) -> pa.Array:
     return pa.array(out, pa.int64())
 
 
-def compared(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """Pairs (x, y) with their sizes nx and ny and their overlap."""
+def compared(pairs: DataFrame, docs: DataFrame, first: DataFrame, name: str) -> DataFrame:
+    """Pairs (x, y) with their sizes nx and ny and their overlap; ``first`` has a document of every set."""
+
+    def tokens(batches):  # an id that several texts have is looked up by the set
+        for batch in batches:
+            found = [shingles(t.as_py()) for t in batch.column(2)]
+            right = [len(t) > 0 and set_hash(t) == name.as_py() for t, name in zip(found, batch.column(0), strict=True)]
+            columns = [batch.column(0), batch.column(1), pa.array([t.tobytes() for t in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", "tokens"]).filter(pa.array(right))
+
+    pairs = kept(pairs, f"{name}-pairs")
+    wanted = pairs.select(F.col("x").alias("set_id")).union(pairs.select("y")).distinct().join(first, "set_id")
+    own = docs.join(wanted.withColumnRenamed("first_id", "doc_id"), "doc_id").select("set_id", "n", "text")
+    sets = kept(own.mapInArrow(tokens, "set_id long, n int, tokens binary"), f"{name}-sets")
     left = sets.select(F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("_x"))
     right = sets.select(F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("_y"))
     overlap = F.arrow_udf(_overlap, "long")
-    both = pairs.select("x", "y").join(left, "x").join(right, "y")
-    return kept(both.withColumn("overlap", overlap("_x", "_y")).drop("_x", "_y"), name)
+    both = pairs.join(left, "x").join(right, "y").withColumn("overlap", overlap("_x", "_y")).drop("_x", "_y")
+    return kept(both.distinct(), name)
 
 
 def linked(pairs: DataFrame) -> DataFrame:
@@ -165,52 +179,54 @@ def clusters(links: DataFrame, sizes: DataFrame) -> DataFrame:
     members = members.join(leaders, "leader", "left_semi")
     groups = components(links, "x", "y").withColumnRenamed("node", "set_id")
     found = sizes.join(members, "set_id", "left").join(groups, "set_id", "left")
-    return kept(
-        found.select(
-            "set_id",
-            "n",
-            F.coalesce("leader", "set_id").alias("leader"),
-            F.coalesce("excess", F.lit(0)).cast("long").alias("excess"),
-            F.coalesce("component", "set_id").alias("component"),
-        ),
-        "jaccard-clusters",
+    found = found.select(
+        "set_id",
+        "n",
+        F.coalesce("leader", "set_id").alias("leader"),
+        F.coalesce("excess", F.lit(0)).cast("long").alias("excess"),
+        F.coalesce("component", "set_id").alias("component"),
+    )
+    spans = found.groupBy("leader").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("excess").alias("most_excess"), F.count("*").alias("members")
     )
+    return kept(found.join(spans, "leader"), "jaccard-clusters")
 
 
 def candidates(entries: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of leaders of different components whose clusters meet in an index list and could link by size and position."""
-    own = entries.join(groups.drop("n"), "set_id").groupBy("token", "leader", "component")
-    own = own.agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("position")).alias("rest"))
+    """Pairs of leaders of different components whose clusters could hold a link.
+
+    They meet in index lists: once at least where what is behind both positions
+    still suffices, and as often as two prefixes must, since what they do not share
+    there has to be shared behind the one that ends first.
+    """
+    own = entries.join(groups.drop("n"), "set_id").groupBy("token", "leader", "component", "least", "most")
+    own = own.agg(F.min("n").alias("here"), F.max(F.col("n") - F.col("position")).alias("rest"))
     meeting = own.groupBy("token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b")
     own = kept(own.join(meeting.select("token"), "token", "left_semi"), "jaccard-lists")
-    one, other = own.alias("a"), own.alias("b")
-    could = (
-        (F.col("a.component") < F.col("b.component"))
-        & (F.col("a.most") * 4 >= F.col("b.least") * 3)
-        & (F.col("b.most") * 4 >= F.col("a.least") * 3)
-        & (F.least("a.rest", "b.rest") * 7 >= (F.col("a.least") + F.col("b.least")) * 3)
+    one, other = own.toDF("token", *(f"a_{c}" for c in own.columns[1:])), own.toDF("token", *(f"b_{c}" for c in own.columns[1:]))
+    pairs = one.join(other, "token").where("a_component < b_component and a_most * 4 >= b_least * 3 and b_most * 4 >= a_least * 3")
+    pairs = pairs.groupBy("a_leader", "b_leader", "a_least", "b_least", "a_most", "b_most").agg(
+        F.count("*").alias("met"), F.expr("bool_or(least(a_rest, b_rest) * 7 >= (a_here + b_here) * 3)").alias("reached")
     )
-    pairs = one.join(other, (F.col("a.token") == F.col("b.token")) & could)
-    return pairs.select(F.col("a.leader").alias("x"), F.col("b.leader").alias("y")).distinct()
+    behind = F.expr("greatest(a_most - a_most div 4 - 1, b_most - b_most div 4 - 1)")
+    pairs = pairs.where(F.col("reached") & ((F.col("met") + behind) * 7 >= (F.col("a_least") + F.col("b_least")) * 3))
+    return pairs.select(F.col("a_leader").alias("x"), F.col("b_leader").alias("y"))
 
 
 def members_of(leaders: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs of members, not both leaders, that could link by what their leaders have in common."""
-    spans = groups.groupBy("leader").agg(F.min("n").alias("least"), F.max("excess").alias("most"), F.count("*").alias("members"))
-    a, b = (spans.select(*(F.col(c).alias(f"{side}_{c}") for c in spans.columns)) for side in "ab")
+    spans = groups.where("set_id = leader").select("leader", "least", "most_excess", "members")
+    a, b = (spans.toDF(*(f"{side}_{c}" for c in spans.columns)) for side in "ab")
     open_pairs = leaders.join(a, F.col("x") == F.col("a_leader")).join(b, F.col("y") == F.col("b_leader"))
-    open_pairs = open_pairs.where("a_members + b_members > 2 and 7 * (overlap + a_most + b_most) >= 3 * (a_least + b_least)")
+    open_pairs = open_pairs.where("a_members + b_members > 2 and 7 * (overlap + a_most_excess + b_most_excess) >= 3 * (a_least + b_least)")
     open_pairs = open_pairs.select("x", "y", "overlap")
     a, b = (groups.select(*(F.col(c).alias(f"{side}_{c}") for c in ("leader", "set_id", "n", "excess"))) for side in "ab")
-    pairs = open_pairs.join(a, F.col("x") == F.col("a_leader")).join(
-        b,
-        (F.col("y") == F.col("b_leader"))
-        & (F.col("a_n") * 4 >= F.col("b_n") * 3)
-        & (F.col("b_n") * 4 >= F.col("a_n") * 3)
-        & (7 * (F.col("overlap") + F.col("a_excess") + F.col("b_excess")) >= 3 * (F.col("a_n") + F.col("b_n"))),
+    pairs = open_pairs.join(a, F.col("x") == F.col("a_leader")).join(b, F.col("y") == F.col("b_leader"))
+    pairs = pairs.where(
+        "a_n * 4 >= b_n * 3 and b_n * 4 >= a_n * 3 and 7 * (overlap + a_excess + b_excess) >= 3 * (a_n + b_n)"
+        " and not (a_set_id = x and b_set_id = y)"
     )
-    pairs = pairs.where("not (a_set_id = x and b_set_id = y)")
-    return pairs.select(F.col("a_set_id").alias("x"), F.col("b_set_id").alias("y")).distinct()
+    return pairs.select(F.col("a_set_id").alias("x"), F.col("b_set_id").alias("y"))
 
 
 def join(docs: DataFrame, text: str = "text", identity: str = "doc_id") -> DataFrame:
@@ -225,25 +241,15 @@ def join(docs: DataFrame, text: str = "text", identity: str = "doc_id") -> DataF
     named = docs.where("doc_id is not null")
     entries = kept(index_lists(named, frequent), "jaccard-index")
     first = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").cast("int").alias("n"))
-    sizes = first.join(entries.select("set_id").distinct(), "set_id", "left_semi")
-    sizes = kept(sizes.where("first_id is not null"), "jaccard-sizes")
-
-    def tokens(batches):  # an id that several texts have is looked up by the set
-        for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(2)]
-            right = [len(t) > 0 and set_hash(t) == name.as_py() for t, name in zip(found, batch.column(0), strict=True)]
-            columns = [batch.column(0), batch.column(1), pa.array([t.tobytes() for t in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", "tokens"]).filter(pa.array(right))
-
-    own = named.join(sizes.withColumnRenamed("first_id", "doc_id"), "doc_id").select("set_id", "n", "text")
-    sets = kept(own.mapInArrow(tokens, "set_id long, n int, tokens binary").dropDuplicates(["set_id"]), "jaccard-tokens")
-
-    nearest = entries.where("before is not null").groupBy("set_id", "before").count()
-    nearest = nearest.groupBy("set_id").agg(F.max_by("before", F.struct("count", "before")).alias("y"))
-    links = linked(compared(nearest.select(F.col("set_id").alias("x"), "y"), sets, "jaccard-nearest"))
-    groups = clusters(links, sizes.select("set_id", "n"))
-    leaders = compared(candidates(entries, groups), sets, "jaccard-leaders")
-    members = compared(members_of(leaders, groups), sets, "jaccard-members")
+    first = kept(first.where("first_id is not null"), "jaccard-first")
+    nearest = entries.where("before is not null").groupBy("set_id", "n", "before").count()
+    nearest = nearest.where(F.col("count") * LEAST_NEAR >= F.col("n")).groupBy("set_id")
+    nearest = nearest.agg(F.max_by("before", F.struct("count", "before")).alias("y")).select(F.col("set_id").alias("x"), "y")
+    links = linked(compared(nearest, named, first, "jaccard-nearest"))
+    sizes = entries.select("set_id", "n").distinct()
+    groups = clusters(links, sizes)
+    leaders = compared(candidates(entries, groups), named, first, "jaccard-leaders")
+    members = compared(members_of(leaders, groups), named, first, "jaccard-members")
     every = links.select("x", "y").union(linked(leaders).select("x", "y")).union(linked(members).select("x", "y"))
 
     name = first.select("set_id", "first_id")

@@ -30,7 +30,7 @@ WORDS = 150
 #: A word with this share of a batch's words is counted; rarer ones are never common. The counts miss at most this share.
 LEAST_SHARE = 1 / 1000
 #: Greatest distances from the nearest reference, and the lengths from which they are applied.
-FARTHEST_CLASSES, LEAST_CHARS = 0.45, 100
+FARTHEST_CLASSES, LEAST_CHARS = 0.3, 250
 FARTHEST_WORDS, LEAST_WORDS = 0.7, 100
 
 #: The symbols that the base rules count.

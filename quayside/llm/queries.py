@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm.common import ship
 from quayside.llm.embeddings import op6_embedding_dedup
 from quayside.llm.jaccard import op9_jaccard_join
 from quayside.llm.language import op5_language_id
@@ -17,17 +19,31 @@ from quayside.llm.substrings import op7_substring_dedup
 from quayside.llm.toxicity import op4_toxicity
 from quayside.llm.urls import op2_url_filters
 
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, run where the executors have this package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_mixing": op1_mixing,
-    "op2_url_filters": op2_url_filters,
-    "op3_packing": op3_packing,
-    "op4_toxicity": op4_toxicity,
-    "op5_language_id": op5_language_id,
-    "op6_embedding_dedup": op6_embedding_dedup,
-    "op7_substring_dedup": op7_substring_dedup,
-    "op8_quality_rules": op8_quality_rules,
-    "op9_jaccard_join": op9_jaccard_join,
-    "op10_secret_scans": op10_secret_scans,
+    query.__name__: shipped(query)
+    for query in (
+        op1_mixing,
+        op2_url_filters,
+        op3_packing,
+        op4_toxicity,
+        op5_language_id,
+        op6_embedding_dedup,
+        op7_substring_dedup,
+        op8_quality_rules,
+        op9_jaccard_join,
+        op10_secret_scans,
+    )
 }
 
 SQL: dict[str, str] = {}

@@ -2,9 +2,9 @@
 
 A byte goes if a string of 100 bytes that covers it also starts earlier, in a smaller
 doc_id or before it in the same document. Not every suffix is sorted: anchors are the
-positions whose 16 bytes have the least hash within some string of 100 bytes, so two
+positions whose 32 bytes have the least hash within some string of 100 bytes, so two
 equal strings have the same anchor at the same distance, and the suffixes of anchors
-stand for all. Only anchors whose 16 bytes occur elsewhere go on.
+stand for all. Only anchors whose 32 bytes occur elsewhere go on.
 
 A task sorts the suffixes of its anchors, each with the bytes before it turned round,
 and sends them on front-coded, as the length shared with the one before and the rest.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import kept, mixed
 
-LENGTH, GRAM = 100, 16
+LENGTH, GRAM = 100, 32
 BEFORE = LENGTH - GRAM
 WIDTH = LENGTH + BEFORE
 #: Anchors that a task sorts at a time, and that a merging task gets, about.
@@ -234,7 +234,8 @@ def _merge(table: pa.Table) -> pa.Table:
     rank[by_place] = np.arange(len(doc))
     begins = np.flatnonzero(known < WIDTH)
     least_rank = np.minimum.reduceat(rank, begins)
-    repeat = rank != least_rank[which]
+    first = by_place[least_rank][which]
+    repeat = (doc != doc[first]) | (place != place[first])
     rows = np.frombuffer(b"".join(runs[order[i][0]][0][order[i][1]] for i in begins), np.uint8).reshape(-1, WIDTH)
     behind = (rows[:, :LENGTH] != END[0]).sum(1)
     before = (rows[:, LENGTH:] != BEGINNING[0]).sum(1)
@@ -259,14 +260,16 @@ def _runs(groups: int):
             waiting.sort()
             by_group: dict[int, list] = {}
             spans = []
-            last = None
+            last, at = None, None
             for key, doc, place, group in waiting:
                 if key == last:
+                    if (doc, place) == at:  # the row itself, repeated
+                        continue
                     behind, before = LENGTH - key[:LENGTH].count(END), BEFORE - key[LENGTH:].count(BEGINNING)
                     if behind + before >= LENGTH:
                         spans.append((doc, place - before, place + behind))
                     continue
-                last = key
+                last, at = key, (doc, place)
                 by_group.setdefault(group, []).append((key, doc, place))
             waiting.clear()
             out = []
@@ -358,7 +361,7 @@ def without_repeats(docs: DataFrame, text: str = "text", identity: str = "doc_id
 
     docs = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text"))
     spans = repeated_spans(docs.where("doc_id is not null"))
-    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = kept(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "substring-spans")
     found = docs.join(spans, "doc_id", "left").select("doc_id", rest.asNondeterministic()("text", "spans").alias("_rest"))
     return found.select("doc_id", "_rest.*")
 

@@ -1,0 +1,283 @@
+"""Jaccard join, embeddings and repeated substrings, against brute force."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quayside.llm import embeddings, jaccard, substrings
+from tests.llm import cases
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+# --- sets ------------------------------------------------------------------
+
+
+def shingle_set(text):
+    words = cases.words((text or "").translate(LOWER))
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute_groups(rows):
+    sets = {key: shingle_set(text) for key, text in rows}
+    keys = sorted(sets)
+    links = [
+        (a, b)
+        for i, a in enumerate(keys)
+        for b in keys[i + 1 :]
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    return {k: len(s) for k, s in sets.items()}, cases.components(keys, links)
+
+
+def check_join(spark, rows):
+    found = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sizes, groups = brute_groups(rows)
+    assert {r.doc_id: r.n_shingles for r in found} == sizes
+    assert {r.doc_id: r.component_id for r in found} == groups
+    return groups
+
+
+def edited(text, random_, share):
+    words = text.split()
+    for i in range(len(words)):
+        if random_.random() < share:
+            words[i] = f"x{random_.randint(0, 10**6)}"
+    return " ".join(words)
+
+
+def test_join_of_documents(spark):
+    rows = [(r.doc_id, r.text) for r in cases.documents(spark).collect()]
+    groups = check_join(spark, rows)
+    assert len({*groups.values()}) < len(groups)
+
+
+def test_families_that_link_through_chains_and_share_passages(spark):
+    """Copies edited again and again, so that links are near the bound and clusters meet only through members."""
+    random_ = random.Random(4)
+    passage = cases.prose(50, 40)
+    rows = []
+    for family in range(6):
+        text = cases.prose(100 + family, 90)
+        for _ in range(14):
+            text = edited(text, random_, random_.choice([0.005, 0.02, 0.035]))
+            rows.append((len(rows), text if family % 2 else f"{passage} {text}"))
+    for _ in range(30):
+        rows.append((len(rows), f"{passage} {cases.prose(1000 + len(rows), random_.randint(5, 60))}"))
+    rows += [(len(rows) + i, passage) for i in range(5)]
+    random_.shuffle(rows)
+    groups = check_join(spark, rows)
+    assert len({*groups.values()}) > 10
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_small_sets_around_the_bound(spark, seed):
+    random_ = random.Random(seed)
+    base = [cases.prose(seed * 7 + i, random_.randint(1, 14)).split() for i in range(5)]
+    rows = []
+    for key in range(120):
+        words = list(random_.choice(base))
+        for _ in range(random_.randint(0, 2)):
+            if random_.random() < 0.5:
+                words.append(random_.choice("abc"))
+            elif words:
+                words.pop(random_.choice([0, -1]))
+        rows.append((key, " ".join(words)))
+    check_join(spark, rows)
+
+
+def test_join_edges(spark):
+    docs = cases.edge_documents(spark)
+    found = jaccard.join(docs).collect()
+    assert len(found) == len(cases.rows())
+    sizes, groups = brute_groups(list(enumerate(cases.texts())))
+    for r in found:
+        if r.doc_id is None:
+            assert r.component_id is None and r.n_shingles == sizes[0]
+        else:
+            assert (r.n_shingles, r.component_id) == (sizes[r.doc_id], groups[r.doc_id])
+    assert jaccard.join(cases.no_documents(spark)).count() == 0
+    assert [(r.n_shingles, r.component_id) for r in jaccard.join(cases.null_documents(spark)).collect()] == [(0, None)] * 3
+    one_id = spark.createDataFrame([(1, cases.prose(1, 30)), (1, cases.prose(2, 30)), (2, cases.prose(2, 30)), (2, cases.prose(2, 30) + " z")], "doc_id long, text string")
+    assert {r.component_id for r in jaccard.join(one_id).collect()} == {1}
+
+
+# --- vectors ---------------------------------------------------------------
+
+
+def brute_vectors(rows, threshold=embeddings.THRESHOLD):
+    usable = [
+        i
+        for i, (key, vector, label) in enumerate(rows)
+        if key is not None and label is not None and vector and all(x is not None and math.isfinite(x) for x in vector) and any(vector)
+    ]
+    links = []
+    for n, i in enumerate(usable):
+        for j in usable[n + 1 :]:
+            (_, a, x), (_, b, y) = rows[i], rows[j]
+            if x == y and len(a) == len(b):
+                a, b = np.array(a, np.float32)[None], np.array(b, np.float32)[None]
+                if embeddings.cosines(a, b)[0] >= threshold:
+                    links.append((i, j))
+    return links
+
+
+def check_vectors(spark, rows, **options):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = embeddings.near_duplicates(frame, **options).collect()
+    links = brute_vectors(rows)
+    count = {i: sum(i in link for link in links) for i in range(len(rows))}
+    groups = cases.components({r[0] for r in rows if r[0] is not None}, [(rows[i][0], rows[j][0]) for i, j in links])
+    expected = [(str(rows[i][0]), count[i], str(groups.get(rows[i][0]))) for i in range(len(rows))]
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in found) == sorted(expected)
+    assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in found)
+    return links
+
+
+def family(seed, size, spread, dimensions=16):
+    random_ = np.random.default_rng(seed)
+    centre = random_.normal(size=dimensions)
+    return [(centre + spread * random_.normal(size=dimensions)).astype(np.float32).tolist() for _ in range(size)]
+
+
+@pytest.mark.parametrize("tile", [4, 2048])
+def test_vectors_around_the_threshold(spark, tile):
+    rows = []
+    for seed, spread in enumerate((0.1, 0.26, 0.28, 0.3)):
+        rows += [(len(rows) + i, v, seed % 2) for i, v in enumerate(family(seed, 25, spread))]
+    rows += [(len(rows) + i, rows[3][1], 1) for i in range(6)]
+    assert len(check_vectors(spark, rows, tile=tile)) > 50
+
+
+def test_vector_edges(spark):
+    vector = [1.0, 2.0, -3.0]
+    rows = [
+        (1, vector, 0),
+        (2, [2.0, 4.0, -6.0], 0),
+        (3, vector, 1),
+        (4, vector, None),
+        (5, None, 0),
+        (6, [], 0),
+        (7, [0.0, 0.0, 0.0], 0),
+        (8, [1.0, None, 2.0], 0),
+        (9, [1.0, float("nan"), 2.0], 0),
+        (10, [1.0, float("inf"), 2.0], 0),
+        (11, [1.0, 2.0], 0),
+        (12, [1e-30, 2e-30, -3e-30], 0),
+        (13, [1e30, 2e30, -3e30], 0),
+        (None, vector, 0),
+        (14, vector, 0),
+        (15, vector, 0),
+    ]
+    check_vectors(spark, rows)
+    schema = "vec_id long, embedding array<float>, label int"
+    assert embeddings.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+    extra = spark.createDataFrame([(1, vector, "a", 7, 8)] * 3, "vec_id long, embedding array<float>, label string, n_links int, times int")
+    assert [(r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(extra).collect()] == [(2, 1, True)] * 3
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 40))
+def test_quantisation_bounds_hold(seed, dimensions):
+    random_ = np.random.default_rng(seed)
+    vectors = random_.normal(size=(20, dimensions)) * random_.choice([1e-3, 1, 1e3], (20, dimensions))
+    unit, values, scale, off = embeddings.quantised(vectors)
+    near = (values.astype(float) @ values.T) * (scale[:, None] * scale[None])
+    bound = off[:, None] + off[None] + 3 * off[:, None] * off[None] + 1e-9
+    assert (np.abs(unit @ unit.T - near) <= bound).all()
+
+
+# --- substrings ------------------------------------------------------------
+
+
+def brute_rest(rows):
+    seen, out = set(), {}
+    for key, text in sorted(rows):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - substrings.LENGTH + 1):
+            part = data[i : i + substrings.LENGTH]
+            if part in seen:
+                gone[i : i + substrings.LENGTH] = b"\1" * substrings.LENGTH
+            seen.add(part)
+        spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(data)))
+        left = bytes(c for c, g in zip(data, gone, strict=True) if not g)
+        out[key] = (len(data), sum(gone), spans, hashlib.sha256(left).hexdigest())
+    return out
+
+
+def check_substrings(spark, rows, partitions=3):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substrings.without_repeats(frame).collect()}
+    assert found == brute_rest(rows)
+    return found
+
+
+def test_substrings_of_documents(spark):
+    rows = [(r.doc_id, r.text) for r in cases.documents(spark).collect()]
+    assert sum(r[1] for r in check_substrings(spark, rows).values()) > 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_edits_and_periods(spark, seed):
+    random_ = random.Random(seed)
+    passages = [cases.prose(seed * 10 + i, random_.randint(8, 60)) for i in range(6)] + ["ab" * 90, "z" * 230, "é" * 75]
+    rows = []
+    for key in range(60):
+        text = ""
+        for _ in range(random_.randint(0, 4)):
+            part = random_.choice(passages)
+            cut = random_.randint(0, len(part) // 2)
+            part = part[cut : len(part) - random_.randint(0, len(part) // 3)]
+            if random_.random() < 0.3:
+                part = edited(part, random_, 0.05)
+            text += part + random_.choice(["", " ", "\n", "Q"])
+        rows.append((key * 3 - 40, text))
+    rows += [(1000 + i, rows[i % 60][1]) for i in range(0, 60, 4)]
+    check_substrings(spark, rows)
+
+
+def test_substring_edges(spark):
+    docs = cases.edge_documents(spark).drop("token")
+    found = substrings.without_repeats(docs).collect()
+    assert len(found) == len(cases.rows())
+    expected = brute_rest(list(enumerate(cases.texts())))
+    for r in found:
+        if r.doc_id is None:
+            assert (r.n_removed, r.n_spans) == (0, 0)
+        else:
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected[r.doc_id]
+    assert substrings.without_repeats(cases.no_documents(spark)).count() == 0
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert [tuple(r)[1:5] for r in substrings.without_repeats(cases.null_documents(spark)).collect()] == [(0, 0, 0, nothing)] * 3
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.binary(min_size=2, max_size=6), max_size=12), min_size=1, max_size=7))
+def test_loser_trees_merge_sorted_runs(parts):
+    width = substrings.WIDTH
+    runs = [sorted(p.ljust(width, b"\xff") for p in part) for part in parts]
+    coded = [substrings.front_coded(r) if r else (b"", b"") for r in runs]
+    assert [substrings.decoded(*c) for c in coded] == runs
+    order, known = substrings.merged([(r, c[0]) for r, c in zip(runs, coded, strict=True)])
+    keys = [runs[r][i] for r, i in order]
+    assert keys == sorted(k for r in runs for k in r)
+    assert known[1:] == [substrings.shared(a, b) for a, b in zip(keys, keys[1:], strict=False)]
+    for r in range(len(runs)):
+        assert [i for own, i in order if own == r] == list(range(len(runs[r])))
+
+
+def test_anchors_of_long_texts_are_found_in_parts(monkeypatch):
+    data = np.frombuffer((cases.prose(1, 900) + "ab" * 300).encode(), np.uint8)
+    whole = substrings.anchors(data)
+    monkeypatch.setattr(substrings, "_PART", 137)
+    parts = substrings.anchors(data)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+    places = whole[0]
+    for start in range(len(data) - substrings.LENGTH + 1):
+        assert ((places >= start) & (places <= start + substrings.BEFORE)).any()

@@ -1,0 +1,77 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.llm import quality
+from tests.llm import cases
+
+
+def brute(text):
+    words = cases.words(text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    times = Counter(windows)
+    inside = {j for i, w in enumerate(windows) if times[w] > 1 for j in range(i, i + 5)}
+    lines = [line for line in (text or "").split("\n") if cases.words(line)]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    return len(words), sum(map(len, words)), symbols, len(lines) - len({*lines}), len(inside)
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def check(rows, text):
+    for r in rows:
+        found = tuple(r[c] for c in COUNTS)
+        assert found == brute(text[r.doc_id])
+        assert r.base_failed == (found[0] < 10 or 100 * found[4] > 20 * found[0])
+        assert not (r.base_failed and r.kept)
+
+
+def test_documents(spark):
+    text = {r.doc_id: r.text for r in cases.documents(spark).collect()}
+    rows = quality.op8_quality_rules(spark, cases.TABLES).collect()
+    assert len(rows) == len(text)
+    check(rows, text)
+    # symbols after every word are unusual, plain prose is not
+    for r in rows:
+        if not r.base_failed and r.n_words >= 50:
+            share = r.n_symbols / r.n_words
+            assert r.kept == (share < 2)
+
+
+def test_edges(spark):
+    docs = cases.edge_documents(spark)
+    text = dict(enumerate(cases.texts())) | {None: cases.texts()[0]}
+    for models in (quality.references(docs), quality.references(cases.null_documents(spark))):
+        rows = quality.judged(docs, models).collect()
+        assert len(rows) == len(cases.rows())
+        check(rows, text)
+    assert quality.judged(cases.no_documents(spark), quality.references(cases.no_documents(spark))).count() == 0
+    assert [r.base_failed for r in quality.judged(cases.null_documents(spark), models).collect()] == [True] * 3
+
+
+def test_references_count_all_documents(spark):
+    docs = cases.documents(spark)
+    models = quality.references(docs)
+    for place, name in enumerate(models.languages):
+        texts = [r.text for r in docs.where(F.col("lang") == name).collect()]
+        assert models.classes[place].sum() == sum(map(len, texts))
+        counts = Counter(w for t in texts for w in quality.WORD.findall(t.lower()))
+        assert models.words[place].sum() == counts.total()
+        top = counts.most_common(5)
+        assert [models.words[place, i] for i in range(5)] == pytest.approx([n for _, n in top], rel=0.05)
+
+
+def test_distances():
+    same = np.array([1.0, 3.0])
+    assert quality.distances(same, same * 7) == pytest.approx(0)
+    assert quality.distances(np.array([1.0, 0]), np.array([0, 2.0])) == pytest.approx(1)
+    assert np.isfinite(quality.distances(np.zeros(2), same))
+
+
+def test_short_texts_are_not_judged():
+    model = quality.References({"aa": np.array([90.0, 2, 0, 15, 2, 1, 0, 0])}, {}, {"aa": 0})
+    assert model.divergences("#### ####") == (None, None)
+    assert model.divergences("# " * 200)[0] > quality.FARTHEST_CLASSES
