@@ -28,15 +28,14 @@ class Json:
 class Csv:
     """Delimited text.
 
-    ``multiline`` keeps line breaks inside quoted values whole, at the price
-    of one task per file; switch it off for huge files without such values so
-    that Spark can split them.
+    Spark splits large files. ``multiline`` keeps line breaks inside quoted
+    values whole, at the price of one task per file.
     """
 
     separator: str = ","
     header: bool = True
     infer_schema: bool = False
-    multiline: bool = True
+    multiline: bool = False
 
 
 @dataclass(frozen=True)
@@ -64,7 +63,7 @@ class Xml:
 class Xlsx:
     """Workbooks with a header row; one workbook per writing task and row cap."""
 
-    sheet: str = "My Sheet"
+    sheet: str = "rows"
     rows_per_workbook: int = 1_000_000
 
 
@@ -102,6 +101,16 @@ ConsumerMode = Batch | Timed | Continuous | AvailableNow
 # --- endpoints -------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class End:
+    """One end of a route: the kind of endpoint, where it is, what is read or written there, and how."""
+
+    kind: str
+    place: str
+    name: str
+    detail: str = ""
+
+
 def _one_backend(**backends: str | None) -> None:
     if sum(value is not None for value in backends.values()) != 1:
         raise ValueError(f"set exactly one of {', '.join(backends)}")
@@ -130,8 +139,8 @@ class File:
     archive: str | None = None
     files_per_batch: int | None = None
 
-    def summary(self) -> str:
-        return f"File: Path '{self.path}' in '{type(self.format).__name__.lower()}' format"
+    def end(self) -> End:
+        return End("file", self.path, self.path.rstrip("/").rpartition("/")[2], type(self.format).__name__.lower())
 
 
 @dataclass(frozen=True)
@@ -140,7 +149,8 @@ class RelationalTable:
 
     ``partition_column`` splits a JDBC read into ``num_partitions`` ranges, and a
     write uses at most as many connections. ``properties`` are further connector
-    options (user, driver, truncate, ...).
+    options (user, driver, truncate, ...). ``bounds`` are the ends of the ranges;
+    unset, the database is asked for them.
     """
 
     table: str
@@ -148,14 +158,15 @@ class RelationalTable:
     folder: str | None = None
     properties: Mapping[str, str] = field(default_factory=dict, compare=False)
     partition_column: str | None = None
+    bounds: tuple | None = None
     num_partitions: int = 8
     batch_size: int = 10_000
 
     def __post_init__(self):
         _one_backend(url=self.url, folder=self.folder)
 
-    def summary(self) -> str:
-        return f"Relational: '{self.url or self.folder}' - Table '{self.table}'"
+    def end(self) -> End:
+        return End("relational", self.url or self.folder, self.table)
 
 
 @dataclass(frozen=True)
@@ -179,8 +190,8 @@ class KeyedTable:
         if self.folder is not None and not self.keys:
             raise ValueError("a keyed table in a folder needs its keys")
 
-    def summary(self) -> str:
-        return f"Keyed: Keyspace '{self.keyspace}' - Table '{self.table}'"
+    def end(self) -> End:
+        return End("keyed", self.hosts or self.folder, self.table, self.keyspace)
 
 
 @dataclass(frozen=True)
@@ -200,8 +211,8 @@ class Index:
     def __post_init__(self):
         _one_backend(nodes=self.nodes, folder=self.folder)
 
-    def summary(self) -> str:
-        return f"Index: '{self.name}'"
+    def end(self) -> End:
+        return End("index", self.nodes or self.folder, self.name)
 
 
 @dataclass(frozen=True)
@@ -237,9 +248,8 @@ class Topic:
     def streaming(self) -> bool:
         return not isinstance(self.mode, Batch)
 
-    def summary(self) -> str:
-        prefix = "Trigger Streaming job - " if isinstance(self.mode, (Timed, Continuous)) else ""
-        return f"{prefix}Topic: '{self.name}'"
+    def end(self) -> End:
+        return End("topic", self.brokers or self.folder, self.name, type(self.mode).__name__.lower())
 
 
 Endpoint = File | RelationalTable | KeyedTable | Index | Topic

@@ -65,10 +65,11 @@ class Field:
         return tk.analyse(value) if self.is_text else [value]
 
     def token_array(self) -> Column:
-        values = self.column if isinstance(self.type, ArrayType) else F.array(self.column)
+        """All terms of the field; NULL elements of an array have none."""
+        if not isinstance(self.type, ArrayType):
+            return tk.tokens(self.column) if self.is_text else F.array(self._as_string(self.column))
+        values = F.filter(self.column, lambda value: value.isNotNull())
         if self.is_text:
-            if not isinstance(self.type, ArrayType):
-                return tk.tokens(self.column)
             return F.flatten(F.transform(values, lambda value: tk.tokens(value)))
         return F.transform(values, lambda value: self._as_string(value))
 

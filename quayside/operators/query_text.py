@@ -3,19 +3,21 @@
 Two small notations, both over all searchable fields unless a field is named:
 
 ``query_string``
-    words, ``"phrases"``, ``field:word``, ``wild*c?rd``, ``fuzzy~`` and
-    ``fuzzy~1``, ``[a TO b]`` / ``{a TO b}``, ``field:>=a``, ``/regex/``,
+    words, ``"phrases"``, ``field:word``, ``field:(several words)``,
+    ``wild*c?rd``, ``fuzzy~`` and ``fuzzy~1`` (two edits at most),
+    ``[a TO b]`` / ``{a TO b}``, ``field:>=a``, ``/regex/``,
     ``_exists_:field``, joined by AND/OR/NOT (``&&``, ``||``, ``!``), ``+``,
     ``-`` and parentheses. Within one pair of parentheses every part is
     required, prohibited or optional: AND requires both its sides, ``+``
     requires, ``-`` and NOT prohibit, the rest is optional, and one optional
     part must hold only where nothing is required. Unbalanced parentheses
-    raise ``ValueError``.
+    and phrases with gaps (``"a b"~2``) raise ``ValueError``.
 
 ``simple_string``
     words, ``"phrases"``, ``prefix*``, ``fuzzy~1``, ``+`` (and), ``|`` (or),
     ``-`` (not) and parentheses, taken from left to right, or by default; it
-    never raises.
+    never raises. A gap behind a phrase is not evaluated: its words must be
+    next to each other.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from quayside.operators.fields import Documents, Field
 
 _QUERY_PART = re.compile(
     r"""
-    (?P<open>\() | (?P<close>\)) | \^[\d.]+
+    (?:(?P<of>[\w.]+):)?(?P<open>\() | (?P<close>\)) | \^[\d.]+
     | (?P<operator>(?:AND|OR|NOT)(?=[\s()]|$) | && | \|\| | [+!-])
     | (?:(?P<field>[\w.]+):)?
       (?: "(?P<phrase>[^"]*)"(?:~(?P<slop>\d+))?
@@ -59,20 +61,23 @@ _SAME_OPERATOR = {"&&": "AND", "||": "OR", "!": "-", "NOT": "-"}
 def _fold(pattern: re.Pattern, text: str, part: Callable, combine: Callable, strict: bool) -> Column:
     """Turn the parts of a text into conditions, joining each parenthesis when it closes."""
     levels: list[list] = [[]]
+    fields: list[str | None] = [None]  # of each parenthesis, the field it is about
     for found in pattern.finditer(text):
         if found["open"]:
             levels.append([])
+            fields.append(found.groupdict().get("of") or fields[-1])
         elif found["close"]:
             if len(levels) == 1:
                 if strict:
                     raise ValueError(f"unexpected ')' in query {text!r}")
                 continue
+            fields.pop()
             group = combine(levels.pop())
             levels[-1].append(group)
         elif found["operator"]:
             levels[-1].append(found["operator"])
         elif found.lastgroup:
-            levels[-1].append(part(found))
+            levels[-1].append(part(found, fields[-1]))
     if strict and len(levels) > 1:
         raise ValueError(f"missing ')' in query {text!r}")
     while len(levels) > 1:
@@ -87,11 +92,11 @@ def _unescaped(word: str) -> str:
 
 def _word(field: Field, word: str) -> Column:
     """A bare word on one field: plain, with wildcards or with ``~``."""
-    fuzzy = re.fullmatch(r"(.+?)~(\d?)", word)
+    fuzzy = re.fullmatch(r"(.+?)~(\d*)", word)
     plain = _unescaped(fuzzy[1] if fuzzy else word)
     term = plain.lower() if field.is_text else plain
     if fuzzy:
-        return field.fuzzy(term, int(fuzzy[2]) if fuzzy[2] else None)
+        return field.fuzzy(term, min(2, int(fuzzy[2])) if fuzzy[2] else None)
     if re.search(r"(?<!\\)[*?]", word):
         return field.wildcard(term)
     return field.match(plain)
@@ -117,12 +122,13 @@ class PlainWord:
     text: str
 
 
-def _query_part(found: re.Match, docs: Documents) -> Column | PlainWord:
+def _query_part(found: re.Match, docs: Documents, group: str | None) -> Column | PlainWord:
+    name = found["field"] or group
     if found["field"] == "_exists_" and found["word"]:
         return docs.field(found["word"]).exists()
-    if found["word"] == "*" and found["field"] is None or found[0] == "*:*":
+    if found["word"] == "*" and name is None or found[0] == "*:*":
         return F.lit(True)
-    fields = [docs.field(found["field"])] if found["field"] else docs.searchable()
+    fields = [docs.field(name)] if name else docs.searchable()
     if found["word"] == "*":
         return fields[0].exists()
     if found["phrase"] is not None:
@@ -138,7 +144,7 @@ def _query_part(found: re.Match, docs: Documents) -> Column | PlainWord:
         is_open = len(found["compare"]) == 1
         ends = (found["bound"], "*") if found["compare"][0] == ">" else ("*", found["bound"])
         return tk.any_of([_range(f, *ends, is_open, is_open) for f in fields])
-    if found["field"] is None and not re.search(r"(?<!\\)[*?~]", found["word"]):
+    if name is None and not re.search(r"(?<!\\)[*?~]", found["word"]):
         return PlainWord(_unescaped(found["word"]))
     return tk.any_of([_word(f, found["word"]) for f in fields])
 
@@ -179,7 +185,7 @@ def _join_clauses(parts: list, docs: Documents) -> Column:
 
 def query_string(text: str, docs: Documents) -> Column:
     return _fold(
-        _QUERY_PART, text, lambda found: _query_part(found, docs), lambda parts: _join_clauses(parts, docs), strict=True
+        _QUERY_PART, text, lambda found, group: _query_part(found, docs, group), lambda parts: _join_clauses(parts, docs), strict=True
     )
 
 
@@ -211,4 +217,4 @@ def _join_left_to_right(parts: list) -> Column:
 
 
 def simple_string(text: str, docs: Documents) -> Column:
-    return _fold(_SIMPLE_PART, text, lambda found: _simple_part(found, docs), _join_left_to_right, strict=False)
+    return _fold(_SIMPLE_PART, text, lambda found, _: _simple_part(found, docs), _join_left_to_right, strict=False)

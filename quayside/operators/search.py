@@ -13,10 +13,10 @@ import json
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from quayside.functions import tokens as tk
 from quayside.operators import query_text
@@ -53,8 +53,10 @@ class Term:
 
 @dataclass(frozen=True)
 class Terms:
+    """Any of several terms; a frame of terms, in its first column, is joined instead of listed."""
+
     field: str
-    values: Sequence[str]
+    values: Sequence[str] | DataFrame
 
     def condition(self, docs: Documents) -> Column:
         return docs.field(self.field).any_term(list(self.values))
@@ -76,31 +78,16 @@ class CommonTerms:
         words = list(dict.fromkeys(field.analysed(self.value)))
         if field.type is None or not words:
             return F.lit(False)
-        if len(words) > tk.FEW_WORDS:
-            return F.arrays_overlap(field.token_array(), self._choose_among_many(docs, field, words))
-        chosen = self._choose_among_few(docs, field, words)
+        chosen = self._chosen(docs, field, words)
         return tk.any_of([F.array_contains(chosen, F.lit(w)) & field.any_term([w]) for w in words])
 
-    def _choose_among_few(self, docs: Documents, field: Field, words: list[str]) -> Column:
+    def _chosen(self, docs: Documents, field: Field, words: list[str]) -> Column:
         """One-row subquery: the words to match on, each counted by its own test."""
         limit = F.ceil(F.count(F.lit(1)) * F.lit(self.cutoff))
         held = [F.count_if(field.any_term([word])) for word in words]
         rare = F.array_compact(F.array(*[F.when(n <= limit, F.lit(w)) for n, w in zip(held, words)]))
         return docs.frame.agg(F.when(F.size(rare) > 0, rare).otherwise(tk.string_array(words))).scalar()
 
-    def _choose_among_many(self, docs: Documents, field: Field, words: list[str]) -> Column:
-        """The same from one count per word and document, reduced in each task."""
-        listed = tk.string_array(words)
-        n_docs = docs.frame.agg(F.count(F.lit(1))).scalar()
-        common = (
-            docs.frame.select(F.explode(F.array_intersect(field.token_array(), listed)).alias("word"))
-            .groupBy("word")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > F.ceil(n_docs * F.lit(self.cutoff)))
-        )
-        rare = F.array_except(listed, F.collect_list("word"))
-        return common.agg(F.when(F.size(rare) > 0, rare).otherwise(listed)).scalar()
-
 
 @dataclass(frozen=True)
 class QueryString:
@@ -126,24 +113,19 @@ class SimpleString:
 class MultiMatch:
     """One query text per value; a document is returned once per value it meets.
 
-    ``dedupe`` returns it once. ``hits_per_value`` keeps any so many documents
-    per value, as a result window does; unset, results are whole.
+    ``dedupe`` returns it once.
     """
 
     values: Sequence[str]
     dedupe: bool = False
-    hits_per_value: int | None = None
 
     def condition(self, docs: Documents) -> Column:
         return tk.any_of([QueryString(value).condition(docs) for value in self.values])
 
     def apply(self, docs: Documents) -> DataFrame:
-        if not self.values or (self.dedupe and self.hits_per_value is None):
+        if not self.values or self.dedupe:
             return docs.frame.where(self.condition(docs))
         conditions = [QueryString(value).condition(docs) for value in self.values]
-        if self.hits_per_value is not None:
-            hits = reduce(DataFrame.union, [docs.frame.where(c).limit(self.hits_per_value) for c in conditions])
-            return hits.dropDuplicates() if self.dedupe else hits
         # One scan: every row is repeated as often as values match it.
         met = [F.when(c, F.lit(i)) for i, c in enumerate(conditions)]
         copies = F.explode(F.array_compact(F.array(*met))).alias("__value")
@@ -293,7 +275,9 @@ class Fuzzy:
 
 @dataclass(frozen=True)
 class Ids:
-    ids: Sequence[str]
+    """Documents by id; a frame of ids, in its first column, is joined instead of listed."""
+
+    ids: Sequence[str] | DataFrame
 
     def condition(self, docs: Documents) -> Column:
         return docs.field(docs.id_column).any_value(list(self.ids))
@@ -325,15 +309,14 @@ SearchQuery = (
 )
 
 
-# More values than this are joined instead of listed in the plan.
-LONGEST_LIST = 10_000
-
-
-def _semi_join(docs: Documents, name: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose field is one of many values; Spark picks the join by their size."""
+def _semi_join(docs: Documents, name: str, values: DataFrame) -> DataFrame:
+    """Rows whose field is one of the values of a frame; Spark picks the join by what it knows of their sizes."""
     field = docs.field(name)
-    listed = docs.frame.sparkSession.createDataFrame([(value,) for value in set(values)], "__listed string")
-    listed = listed.select(F.col("__listed").try_cast(field.type).alias("__listed"))
+    if field.type is None:
+        return docs.frame.where(F.lit(False))
+    listed = values.select(F.col(f"`{values.columns[0]}`").cast("string").try_cast(field.value_type).alias("__listed"))
+    if isinstance(field.type, ArrayType):
+        raise TypeError(f"{name} is an array; list the values instead")
     return docs.frame.join(listed, field.column == F.col("__listed"), "left_semi")
 
 
@@ -342,9 +325,11 @@ def search(frame: DataFrame, query: SearchQuery, mapping: Mapping | None = None,
     docs = Documents(frame, mapping, id_column)
     if isinstance(query, MultiMatch):
         return query.apply(docs)
-    if isinstance(query, Ids) and len(query.ids) > LONGEST_LIST:
+    if isinstance(query, Ids) and isinstance(query.ids, DataFrame):
         return _semi_join(docs, id_column, query.ids)
-    if isinstance(query, Terms) and len(query.values) > LONGEST_LIST and docs.field(query.field).is_keyword:
+    if isinstance(query, Terms) and isinstance(query.values, DataFrame):
+        if docs.field(query.field).is_text:
+            raise TypeError(f"{query.field} is text; a frame of terms needs a field that is compared whole")
         return _semi_join(docs, query.field, query.values)
     return frame.where(query.condition(docs))
 

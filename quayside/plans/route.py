@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.endpoints import SAVE_MODES, Endpoint, File, Index, KeyedTable, RelationalTable, Topic
+from quayside.endpoints import SAVE_MODES, End, Endpoint, File, Index, KeyedTable, RelationalTable, Topic
+from quayside.functions import messages
 from quayside.functions.mapping import apply_mapping, stringify
 from quayside.operators.search import SearchQuery, search
 from quayside.sources.indexes import ID, search_index
-from quayside.sources.registry import read, set_aside_malformed
+from quayside.sources.registry import read, sets_aside
 
 
 @dataclass(frozen=True)
@@ -64,20 +65,24 @@ class Route:
 class RouteResult:
     """What a route did; ``rows`` is unknown while a stream runs or a save mode may skip the write."""
 
-    input: str
-    output: str
+    input: End
+    output: End
     rows: int | None = None
     query: StreamingQuery | None = field(default=None, compare=False)
 
 
-def selected(spark: SparkSession, route: Route) -> DataFrame:
-    """The rows of a batch route that its search selects."""
+def source_rows(spark: SparkSession, route: Route) -> DataFrame:
+    """All rows of a batch route's input; of an index those that its search selects."""
     if isinstance(route.input, Index):
         return search_index(spark, route.input, route.search, route.mapping).drop(ID)
-    frame = read(spark, route.input)
-    if isinstance(route.input, Topic):
-        frame = set_aside_malformed(frame, route.input)
-    return frame if route.search is None else search(frame, route.search, route.mapping)
+    return read(spark, route.input)
+
+
+def selected(frame: DataFrame, route: Route) -> DataFrame:
+    """The rows of a batch route to be moved: well-formed ones that its search selects."""
+    if sets_aside(route.input):
+        frame = messages.well_formed(frame)
+    return frame if route.search is None or isinstance(route.input, Index) else search(frame, route.search, route.mapping)
 
 
 def mirror_pairs(raw: DataFrame, route: Route) -> DataFrame:

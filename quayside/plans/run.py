@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.endpoints import AvailableNow, Endpoint, File, KeyedTable, RelationalTable
-from quayside.plans.route import Route, RouteResult, mirror_pairs, selected, shape
+from quayside.plans.route import Route, RouteResult, mirror_pairs, selected, shape, source_rows
 from quayside.sources import storage, topics
-from quayside.sources.registry import write
+from quayside.sources.registry import set_aside_malformed, sets_aside, write
 from quayside.streaming.routes import start_stream
 
 
@@ -43,26 +43,36 @@ def _rows_read(query: StreamingQuery) -> int | None:
 
 def run_route(spark: SparkSession, route: Route) -> RouteResult:
     """Run a route. Streams that end by themselves are waited for, others are returned running."""
-    summaries = {"input": route.input.summary(), "output": route.output.summary()}
+    ends = {"input": route.input.end(), "output": route.output.end()}
     if route.streaming:
         query = start_stream(spark, route)
         if isinstance(route.input, File) or isinstance(route.input.mode, AvailableNow):
             query.awaitTermination()
-            return RouteResult(**summaries, rows=_rows_read(query), query=query)
-        return RouteResult(**summaries, query=query)
+            return RouteResult(**ends, rows=_rows_read(query), query=query)
+        return RouteResult(**ends, query=query)
 
     _check_overwrite(spark, route)
+    source = None
     if route.is_mirror:
         frame = mirror_pairs(topics.read_messages(spark, route.input), route)
     else:
-        frame = shape(selected(spark, route), route)
+        source = source_rows(spark, route)
+        if sets_aside(route.input):
+            source.persist()  # parsed once for both writes
+        frame = shape(selected(source, route), route)
     # Rows are counted while they are written; a skipped write counts nothing.
     counted = route.save_mode != "ignore"
     observation = Observation()
     if counted:
         frame = frame.observe(observation, F.count(F.lit(1)).alias("rows"))
-    if route.is_mirror:
-        topics.publish(frame, route.output)
-    else:
-        write(frame, route.output, route.save_mode)
-    return RouteResult(**summaries, rows=observation.get["rows"] if counted else None)
+    try:
+        if route.is_mirror:
+            topics.publish(frame, route.output)
+        else:
+            write(frame, route.output, route.save_mode)
+        if sets_aside(route.input) and source is not None:  # only once the target has taken the rest
+            set_aside_malformed(source, route.input)
+    finally:
+        if source is not None:
+            source.unpersist()
+    return RouteResult(**ends, rows=observation.get["rows"] if counted else None)

@@ -273,6 +273,36 @@ search_query(
     " OR ".join(sql_everywhere(word) for word in ("achach", "en", "thre")),
 )
 
+
+
+def odd_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """As a frame of values: the ids of one event in ten, and some that are none."""
+    return table(spark, folder, "events").where("event_id % 10 = 3").selectExpr("CAST(event_id - 5 AS string) AS id")
+
+
+@query("search_ids_frame", "SELECT * FROM events WHERE event_id IN (SELECT event_id - 5 FROM events WHERE event_id % 10 = 3)")
+def _ids_frame(spark, folder):
+    return search(table(spark, folder, "events"), Ids(odd_ids(spark, folder)), id_column="event_id")
+
+
+@query("search_terms_frame", "SELECT * FROM customer WHERE c_mktsegment IN (SELECT c_mktsegment FROM customer WHERE c_acctbal > 9950)")
+def _terms_frame(spark, folder):
+    customers = table(spark, folder, "customer")
+    wanted = customers.where("c_acctbal > 9950").select("c_mktsegment")
+    return search(customers, Terms("c_mktsegment", wanted), {"c_mktsegment": "keyword"}, "c_custkey")
+
+
+search_query(
+    "query_string_group",
+    QueryString("text:(en OR fr) AND lang:(en)"),
+    f"{sql_any(['en', 'fr'])} AND {sql_any(['en'], 'lang')}",
+)
+search_query(
+    "simple_fuzzy",
+    SimpleString("achach~7"),
+    " OR ".join(sql_exists(f"damerau_levenshtein({ONE_BYTE}, 'achach') <= 2", field) for field in ("text", "lang", "source")),
+)
+
 LABELLED_SQL = "documents LEFT JOIN labels USING (doc_id)"
 
 
@@ -291,9 +321,16 @@ def _not_null_safe(spark, folder):
     return search(labelled(spark, folder), QueryString("-toxic:1"), id_column="doc_id")
 
 
-@query("sample_docs")
+@query(
+    "sample_docs",
+    "SELECT least(10, count(*))::BIGINT AS sampled, least(10, count(*))::BIGINT AS documents FROM documents",
+)
 def _sample_docs(spark, folder):
-    return sample_documents(table(spark, folder, "documents"))
+    """How many samples there are, and how many of them are whole documents of the table."""
+    documents = table(spark, folder, "documents")
+    known = documents.select([F.col(c).cast("string").alias(c) for c in documents.columns]).withColumn("known", F.lit(1))
+    found = sample_documents(documents).join(known, documents.columns, "left")
+    return found.agg(F.count(F.lit(1)).alias("sampled"), F.count("known").alias("documents"))
 
 
 # --- file formats and save modes -------------------------------------------
@@ -310,7 +347,7 @@ def round_trip(name: str, fmt, source: str) -> None:
 
 for _name, _fmt, _source in [
     ("fmt_json", Json(), "orders"),
-    ("fmt_csv", Csv(), "documents"),
+    ("fmt_csv", Csv(multiline=True), "documents"),
     ("fmt_csv_semicolon", Csv(separator=";"), "events"),
     ("fmt_parquet_snappy", Parquet("snappy"), "lineitem"),
     ("fmt_parquet_gzip", Parquet("gzip"), "lineitem"),
@@ -337,14 +374,15 @@ def _xlsx_inferred(spark, folder):
     return read(spark, target)
 
 
-@query("fmt_csv_inferred", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("fmt_csv_inferred", "SELECT * FROM orders")
 def _csv_inferred(spark, folder):
-    rows = table(spark, folder, "orders").drop("o_orderdate")
+    rows = table(spark, folder, "orders")
     target = File(Csv(infer_schema=True), f"{scratch_folder(spark, 'csv')}/out")
     write(rows, target, "errorifexists")
     found = read(spark, target)
-    keys = {name: found[name].cast("bigint") for name in ("o_orderkey", "o_custkey")}
-    return found.withColumns(keys)
+    # Inference knows the least type that holds all values; the table's keys are wider.
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderdate": "timestamp_ntz"}
+    return found.withColumns({name: found[name].cast(kind) for name, kind in types.items()})
 
 
 def two_writes(spark, folder, first: str, second: str, mode: str) -> DataFrame:
@@ -441,6 +479,16 @@ def _keyed_upsert(spark, folder):
     return read(spark, target)
 
 
+@query("keyed_after_empty", "SELECT * FROM nation")
+def _keyed_after_empty(spark, folder):
+    """A table whose first write has no rows, then a third of them, then all."""
+    nations = table(spark, folder, "nation")
+    target = KeyedTable("shop", "nation", folder=scratch_folder(spark, "keyed"), keys=("n_nationkey",))
+    for rows in (nations.limit(0), nations.where("n_nationkey % 3 = 0").withColumn("n_name", F.lower("n_name")), nations):
+        write(rows, target, "append")
+    return read(spark, target)
+
+
 def written_twice(spark, folder) -> DataFrame:
     """All documents of an index that took every document two times."""
     documents = table(spark, folder, "documents")

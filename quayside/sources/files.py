@@ -157,7 +157,7 @@ def write(frame: DataFrame, endpoint: File, mode: str) -> None:
 
 
 def _write_workbooks(frame: DataFrame, endpoint: File, mode: str) -> None:
-    if not endpoint.datasets and storage.exists(frame.sparkSession, endpoint.path):
+    if not endpoint.datasets and storage.has_visible(frame.sparkSession, endpoint.path):
         if mode == "ignore":
             return
         if mode == "errorifexists":

@@ -46,11 +46,11 @@ def search_index(spark: SparkSession, index: Index, query: SearchQuery, mapping:
     """Documents that meet the query; a cluster evaluates it itself."""
     if index.folder is not None:
         return search(read_index(spark, index), query, mapping, ID)
+    if isinstance(getattr(query, "ids", getattr(query, "values", None)), DataFrame):
+        return search(_read_cluster(spark, index, None), query, mapping, ID)
     if not isinstance(query, MultiMatch):
         return _read_cluster(spark, index, query)
     hits = [_read_cluster(spark, index, QueryString(value)) for value in query.values]
-    if query.hits_per_value is not None:
-        hits = [part.limit(query.hits_per_value) for part in hits]
     every = reduce(DataFrame.unionByName, hits)
     return every.dropDuplicates([ID]) if query.dedupe else every
 

@@ -1,9 +1,10 @@
 """Writing a format that Spark has no writer for: part files by Python tasks.
 
 Spark partitions the rows; each task streams its own part files into a hidden
-staging folder on the target's file system and returns their names; the driver
-moves the returned files into place once all tasks have succeeded. A task that
-is lost or runs twice leaves only staged files that nobody names.
+staging folder on the target's file system and returns their names. Once all
+tasks have succeeded, a second job moves the named files into place. A task that
+is lost or runs twice leaves only staged files that nobody names, and a write
+that fails leaves no trace.
 """
 
 from __future__ import annotations
@@ -47,40 +48,57 @@ def task_writer(stage: str, suffix: str, rows_per_file: int, by: str | None, ope
     """Function from batches of rows to batches of the names of the part files that hold them.
 
     ``open_part(stream)`` gives an object with ``write(batch)`` and ``close()``.
+    Rows come sorted by their folder, so one part file is open at a time.
     """
 
     def write(batches):
         fs, root = file_system(stage)
         names: list[str] = []
-        parts: dict[str, list] = {}
+        part, stream, at, size = None, None, None, 0
 
-        def close(part: list) -> None:
-            part[0].close()
-            part[1].close()
+        def close() -> None:
+            if part is not None:
+                part.close()
+                stream.close()
 
         for batch in batches:
             for folder, rows in _by_folder(batch, by):
                 done = 0
                 while done < rows.num_rows:
-                    if folder not in parts:
+                    if part is None or folder != at or size == rows_per_file:
+                        close()
                         names.append(f"{folder}part-{uuid.uuid4().hex}{suffix}")
                         fs.create_dir(f"{root}/{folder}", recursive=True)
                         stream = fs.open_output_stream(f"{root}/{names[-1]}", compression=None)
-                        parts[folder] = [open_part(stream), stream, 0]
-                    part = parts[folder]
-                    take = min(rows_per_file - part[2], rows.num_rows - done)
-                    part[0].write(rows.slice(done, take))
-                    part[2] += take
+                        part, at, size = open_part(stream), folder, 0
+                    take = min(rows_per_file - size, rows.num_rows - done)
+                    part.write(rows.slice(done, take))
+                    size += take
                     done += take
-                    if part[2] == rows_per_file:
-                        close(parts.pop(folder))
-        for part in parts.values():
-            close(part)
+        close()
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
 
     return write
 
 
+def task_mover(stage: str, target: str) -> Callable:
+    """Function that moves named files into place; one that is there already was moved by a lost task."""
+
+    def move(batches):
+        fs, source = file_system(stage)
+        _, root = file_system(target)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if fs.get_file_info(f"{source}/{name}").type == pafs.FileType.NotFound:
+                    if fs.get_file_info(f"{root}/{name}").type != pafs.FileType.NotFound:
+                        continue
+                fs.create_dir(f"{root}/{name}".rpartition("/")[0], recursive=True)
+                fs.move(f"{source}/{name}", f"{root}/{name}")
+            yield batch
+
+    return move
+
+
 def write_part_files(
     frame: DataFrame, path: str, overwrite: bool, suffix: str, rows_per_file: int, by: str | None, open_part: Callable
 ) -> None:
@@ -90,6 +108,9 @@ def write_part_files(
     """
     spark = frame.sparkSession
     root = storage.qualified(spark, path)
+    was_there = storage.exists(spark, root)
+    if by is not None:
+        frame = frame.sortWithinPartitions(by)
     stage = f"{root}/_staging-{uuid.uuid4().hex}"
     try:
         task = task_writer(stage, suffix, rows_per_file, by, open_part)
@@ -100,7 +121,12 @@ def write_part_files(
         elif overwrite:
             for folder in {name.rpartition("/")[0] for name in names}:
                 storage.delete(spark, f"{root}/{folder}")
-        for name in names:
-            storage.move(spark, f"{stage}/{name}", f"{root}/{name}")
+        if names:
+            listed = spark.createDataFrame(pa.table({"name": pa.array(names, pa.string())}))
+            moved = listed.repartition(min(len(names), 200)).mapInArrow(task_mover(stage, root), "name string")
+            moved.write.format("noop").mode("overwrite").save()
+        was_there = True
     finally:
         storage.delete(spark, stage)
+        if not was_there:
+            storage.delete(spark, root)

@@ -47,9 +47,11 @@ def write(frame: DataFrame, endpoint: Endpoint, mode: str | None = None) -> None
         raise TypeError(f"not an endpoint: {endpoint!r}")
 
 
-def set_aside_malformed(parsed: DataFrame, topic: Topic, folder: str = "", mode: str = "append") -> DataFrame:
-    """Write malformed messages to the topic's folder for them, if it names one; give the rest."""
-    if topic.malformed in ("fail", "keep"):
-        return parsed
-    messages.malformed(parsed).write.mode(mode).json(topic.malformed + folder)
-    return messages.well_formed(parsed)
+def sets_aside(endpoint: Endpoint) -> bool:
+    """Does the endpoint name a folder for its malformed messages?"""
+    return isinstance(endpoint, Topic) and endpoint.malformed not in ("fail", "keep")
+
+
+def set_aside_malformed(parsed: DataFrame, topic: Topic, folder: str = "") -> None:
+    """Write the malformed messages to the topic's folder for them, in place of what is there."""
+    messages.malformed(parsed).write.mode("overwrite").json(topic.malformed + folder)

@@ -32,6 +32,28 @@ def sub_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith((".", "_")))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole: readers find all of it or none."""
+    target, fs = hadoop_path(spark, path)
+    part = f"{path}.{uuid.uuid4().hex}.tmp"
+    stream = hadoop_path(spark, part)[1].create(hadoop_path(spark, part)[0])
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.rename(hadoop_path(spark, part)[0], target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.option("wholetext", True).text(path).first()[0]
+
+
+def has_visible(spark: SparkSession, path: str) -> bool:
+    """Does the folder exist and hold anything that Spark would read?"""
+    target, fs = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return False
+    return any(not s.getPath().getName().startswith((".", "_")) for s in fs.listStatus(target))
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     target, fs = hadoop_path(spark, path)
     fs.mkdirs(target)

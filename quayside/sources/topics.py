@@ -1,4 +1,4 @@
-"""Message topics: a broker's, or a log kept as Parquet with the same columns."""
+"""Message topics: a broker's, or their messages kept as Parquet with key, value and time."""
 
 from __future__ import annotations
 
@@ -19,9 +19,6 @@ MESSAGE_SCHEMA = T.StructType(
     [
         T.StructField("key", T.BinaryType()),
         T.StructField("value", T.BinaryType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
     ]
 )
@@ -69,12 +66,22 @@ def stream_messages(spark: SparkSession, topic: Topic) -> DataFrame:
         return spark.readStream.format("kafka").options(**stream_read_options(topic)).load()
     reader = spark.readStream.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", True)
     arriving = reader.parquet(log_path(topic))
-    resumed = topic.checkpoint is not None and storage.exists(spark, f"{topic.checkpoint}/commits")
-    if topic.offset == "latest" and not resumed:
-        return arriving.where(F.col("timestamp") >= F.lit(datetime.now(timezone.utc)))
+    if topic.offset == "latest":
+        return arriving.where(F.col("_metadata.file_modification_time") >= F.lit(_started(spark, topic)))
     return arriving
 
 
+def _started(spark: SparkSession, topic: Topic) -> datetime:
+    """When the stream was first started; written beside its checkpoint, so that a restart goes on from there."""
+    now = datetime.now(timezone.utc)
+    if topic.checkpoint is None:
+        return now
+    path = f"{topic.checkpoint.rstrip('/')}/first-start"
+    if not storage.exists(spark, path):
+        storage.write_text(spark, path, now.isoformat())
+    return datetime.fromisoformat(storage.read_text(spark, path))
+
+
 def texts(raw: DataFrame) -> DataFrame:
     """Keys and values as strings."""
     return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
@@ -105,14 +112,11 @@ def to_messages(frame: DataFrame, topic: Topic) -> DataFrame:
     return frame.select(_key_column(topic.key).alias("key"), messages.row_to_json(frame).alias("value"))
 
 
-def as_log(pairs: DataFrame, topic: Topic) -> DataFrame:
-    """Key and value with the other columns of a topic, numbered within each writing task."""
+def as_log(pairs: DataFrame) -> DataFrame:
+    """Key and value with the time of the write."""
     return pairs.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
-        F.lit(topic.name).alias("topic"),
-        F.spark_partition_id().alias("partition"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
 
@@ -120,6 +124,6 @@ def as_log(pairs: DataFrame, topic: Topic) -> DataFrame:
 def publish(pairs: DataFrame, topic: Topic) -> None:
     """Append key/value pairs to the topic."""
     if topic.folder is not None:
-        as_log(pairs, topic).write.mode("append").parquet(log_path(topic))
+        as_log(pairs).write.mode("append").parquet(log_path(topic))
         return
     pairs.write.format("kafka").options(**write_options(topic)).save()

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from quayside.endpoints import AvailableNow, Endpoint, File, Index, KeyedTable, RelationalTable, Timed, Topic
+from quayside.functions import messages
 from quayside.plans.route import Route, mirror_pairs, shape
 from quayside.sources import indexes, tables, topics
-from quayside.sources.registry import read_stream, set_aside_malformed, write
+from quayside.sources.registry import read_stream, set_aside_malformed, sets_aside, write
 
 
 def _triggered(writer: DataStreamWriter, source: File | Topic) -> DataStreamWriter:
@@ -47,7 +48,7 @@ def write_batch(frame: DataFrame, output: Endpoint, folder: str) -> None:
     elif isinstance(output, Index) and output.folder is not None:
         indexes.with_ids(frame, output).write.mode("overwrite").parquet(indexes.index_path(output) + folder)
     elif isinstance(output, Topic):
-        pairs = topics.as_log(frame, output)
+        pairs = topics.as_log(frame)
         pairs.write.mode("overwrite").parquet(topics.log_path(output) + folder)
     else:
         write(frame, output, "append" if isinstance(output, RelationalTable) else None)
@@ -59,7 +60,7 @@ def start_stream(spark: SparkSession, route: Route) -> StreamingQuery:
         rows = mirror_pairs(topics.stream_messages(spark, source), route)
     else:
         rows = read_stream(spark, source)
-        if not isinstance(source, Topic) or source.malformed in ("fail", "keep"):
+        if not sets_aside(source):
             rows = shape(rows, route)
     to_pairs = isinstance(output, Topic) and not route.is_mirror
 
@@ -70,11 +71,19 @@ def start_stream(spark: SparkSession, route: Route) -> StreamingQuery:
 
     def handle(frame: DataFrame, batch_id: int) -> None:
         folder = _batch_folder(frame, batch_id)
-        if isinstance(source, Topic) and not route.is_mirror and source.malformed not in ("fail", "keep"):
-            frame = shape(set_aside_malformed(frame, source, folder, "overwrite"), route)
+        parsed = None
+        if sets_aside(source) and not route.is_mirror:
+            parsed = frame.persist()  # parsed once for both writes
+            frame = shape(messages.well_formed(parsed), route)
         if to_pairs:
             frame = topics.to_messages(frame, output)
-        write_batch(frame, output, folder)
+        try:
+            write_batch(frame, output, folder)
+            if parsed is not None:
+                set_aside_malformed(parsed, source, folder)
+        finally:
+            if parsed is not None:
+                parsed.unpersist()
 
     writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", source.checkpoint)
     return _triggered(writer, source).start()

@@ -19,7 +19,7 @@ from tests.conftest import same_rows
 
 FORMATS = {
     "json": Json(),
-    "csv": Csv(separator=";"),
+    "csv": Csv(separator=";", multiline=True),
     "parquet": Parquet("snappy"),
     "orc": Orc("zlib"),
     "avro": Avro(),
@@ -154,6 +154,39 @@ def test_rebalanced_writers_leave_few_files(spark, folder):
     assert len(glob.glob(f"{folder}/sets/dataset=*/part-*")) == 2
 
 
+def test_large_csv_files_are_split(spark, folder):
+    write(spark.range(20_000).selectExpr("id", "repeat('x', 50) AS text"), File(Csv(), f"{folder}/one", single_file=True), "append")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        schema = spark.createDataFrame([], "id long, text string").schema
+        found = read(spark, File(Csv(), f"{folder}/one", schema=schema))
+        assert found.rdd.getNumPartitions() > 4 and found.count() == 20_000
+        assert read(spark, File(Csv(multiline=True), f"{folder}/one", schema=schema)).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_failed_workbook_leaves_no_trace(spark, folder):
+    target = File(Xlsx(), f"{folder}/books")
+    with pytest.raises(Exception):
+        write(spark.createDataFrame([("x" * 40_000,)], "text string"), target, "errorifexists")
+    assert not os.path.exists(f"{folder}/books")
+    good = spark.createDataFrame([("fine",)], "text string")
+    write(good, target, "ignore")
+    assert [r["text"] for r in read(spark, target).collect()] == ["fine"]
+    os.makedirs(f"{folder}/empty")
+    write(good, File(Xlsx(), f"{folder}/empty"), "errorifexists")
+    assert read(spark, File(Xlsx(), f"{folder}/empty")).count() == 1
+
+
+def test_many_datasets_of_one_task(spark, folder):
+    frame = spark.range(1000).coalesce(1).selectExpr("id", "concat('set ', id % 500) AS dataset")
+    target = File(Xlsx(), f"{folder}/books", datasets=True)
+    write(frame, target, "append")
+    assert len(glob.glob(f"{folder}/books/dataset=*/part-*.xlsx")) == 500
+    assert read(spark, target).count() == 1000
+
+
 def test_malformed_typed_records_fail(spark, folder):
     spark.createDataFrame([('{"id": 1}',), ("{oops",)], "value string").write.text(f"{folder}/in")
     schema = spark.createDataFrame([], "id int").schema

@@ -33,6 +33,7 @@ from quayside.operators.search import MatchAll, Term
 from quayside.sources import topics
 from quayside.sources.files import dataset_of
 from quayside.sources.storage import scratch_folder
+from quayside.endpoints import End
 from tests.conftest import same_rows
 
 FILE = File(Json(), "/x/in")
@@ -61,11 +62,10 @@ def test_refused_routes(arguments):
         Route(**arguments)
 
 
-def test_summaries():
-    assert FILE.summary() == "File: Path '/x/in' in 'json' format"
-    assert STREAM.summary() == "Trigger Streaming job - Topic: 't'"
-    assert TOPIC.summary() == "Topic: 't'"
-    assert KeyedTable("k", "t", hosts="h").summary() == "Keyed: Keyspace 'k' - Table 't'"
+def test_ends():
+    assert FILE.end() == End("file", "/x/in", "in", "json")
+    assert STREAM.end().kind == "topic" and STREAM.end().name == "t"
+    assert KeyedTable("k", "t", hosts="h").end() == End("keyed", "h", "t", "k")
 
 
 def test_a_route_cannot_overwrite_its_input(spark, folder):
@@ -250,7 +250,7 @@ def test_running_stream_follows_a_topic(spark, folder, mode):
     target = RelationalTable("t", folder=f"{folder}/tables")
     result = run_route(spark, Route(replace(topic, mode=mode), target, save_mode="append"))
     try:
-        assert result.rows is None and result.input.startswith("Trigger Streaming job")
+        assert result.rows is None and result.input.detail == type(mode).__name__.lower()
         result.query.processAllAvailable()
         write(numbers(spark, 5, 8), replace(topic, checkpoint=None))
         time.sleep(0.1)
@@ -270,6 +270,36 @@ def test_latest_offset_skips_older_messages(spark, folder):
     assert same_rows(read(spark, target), numbers(spark, 5, 8))
 
 
+def test_latest_offset_holds_after_a_failed_first_batch(spark, folder):
+    topic = source_topic(spark, folder, numbers(spark, 0, 5), offset="latest")
+    target = RelationalTable("t", folder=f"{folder}/tables")
+    with open(f"{folder}/blocked", "w"):
+        pass  # a file where the table's folder should be
+    for _ in range(2):
+        with pytest.raises(Exception):
+            run_route(spark, Route(topic, RelationalTable("t", folder=f"{folder}/blocked"), save_mode="append"))
+    write(numbers(spark, 6, 8), replace(topic, checkpoint=None))
+    run_route(spark, Route(topic, target, save_mode="append"))
+    assert same_rows(read(spark, target), numbers(spark, 6, 8))
+
+
+def test_a_refused_route_sets_nothing_aside(spark, folder):
+    schema = numbers(spark, 0, 1).schema
+    topic = Topic("t", folder=f"{folder}/topic", schema=schema, malformed=f"{folder}/bad")
+    write(numbers(spark, 0, 3), topic)
+    topics.publish(spark.createDataFrame([("k", "oops")], "key string, value string"), topic)
+    target = File(Json(), f"{folder}/out", schema=schema)
+    write(numbers(spark, 0, 1), target, "append")
+    for _ in range(2):
+        with pytest.raises(Exception):
+            run_route(spark, Route(topic, target, save_mode="errorifexists"))
+    assert not glob.glob(f"{folder}/bad/*")
+    for _ in range(2):
+        run_route(spark, Route(topic, target, save_mode="overwrite"))
+        assert [r["value"] for r in read(spark, File(Json(), f"{folder}/bad")).collect()] == ["oops"]
+    assert same_rows(read(spark, target), numbers(spark, 0, 3))
+
+
 def test_batch_read_ignores_latest(spark, folder):
     topic = source_topic(spark, folder, numbers(spark, 0, 5), offset="latest")
     assert read(spark, replace(topic, mode=Topic("x", folder="/").mode)).count() == 5

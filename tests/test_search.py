@@ -1,5 +1,6 @@
 """Search semantics on small frames: absent fields, keywords, arrays, structs, plans."""
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -203,14 +204,11 @@ def test_bad_bool_filter_raises(docs):
         search(docs, BoolMatchPhrase("maybe", [("text", "red")]))
 
 
-def test_result_window_per_value(docs):
-    hits = search(docs, MultiMatch(["apple", "red"], hits_per_value=1))
-    assert hits.count() == 2
-    whole = search(docs, MultiMatch(["apple", "red"], hits_per_value=10))
+def test_every_value_counts(docs):
+    whole = search(docs, MultiMatch(["apple", "red"]))
     assert sorted(r["_id"] for r in whole.collect()) == ["1", "1", "2", "4"]
 
 
-@pytest.mark.parametrize("few", [0, 1, 8])
 @pytest.mark.parametrize(
     "field, text, cutoff, want",
     [
@@ -224,22 +222,77 @@ def test_result_window_per_value(docs):
         ("text", "...", 0.2, ""),
     ],
 )
-def test_common_terms_either_way(docs, monkeypatch, few, field, text, cutoff, want):
-    monkeypatch.setattr("quayside.functions.tokens.FEW_WORDS", few)
+def test_common_terms(docs, field, text, cutoff, want):
+    more = " ".join(f"absent{i}" for i in range(13))
+    if field == "text" and want and cutoff < 1 and "nowhere" not in text:
+        found = {r["_id"] for r in search(docs, CommonTerms(field, f"{text} {more}", 1.0)).collect()}
+        assert found == {r["_id"] for r in search(docs, CommonTerms(field, text, 1.0)).collect()}
     assert ids(docs, CommonTerms(field, text, cutoff)) == want
 
 
 def test_no_values(docs):
-    assert ids(docs, MultiMatch([])) == "" and ids(docs, MultiMatch([], hits_per_value=3)) == ""
-
-
-def test_long_lists_are_joined(spark):
-    frame = spark.range(200_000).selectExpr("id AS _id", "IF(id % 3 = 0, 'hot', CAST(id AS string)) AS tag")
-    many = [str(i) for i in range(100_000)]
-    by_id = search(frame, Ids([*many, "none"]))
-    assert by_id.count() == 100_000 and "LeftSemi" in plan_of(by_id)
-    by_tag = search(frame, Terms("tag", [*many, "hot"]), {"tag": "keyword"})
-    assert by_tag.count() == sum(i % 3 == 0 or i < 100_000 for i in range(200_000))
+    assert ids(docs, MultiMatch([])) == ""
+
+
+def test_many_words_find_what_few_do(spark):
+    """NULL elements of arrays, and one word more than are looked up one by one."""
+    frame = spark.createDataFrame([("1", ["achach", None]), ("2", ["achach"]), ("3", [None]), ("4", None)], "_id string, tags array<string>")
+    for more in (0, 11, 12, 40):
+        text = " ".join(["achach", *(f"absent{i}" for i in range(more))])
+        for query in (CommonTerms("tags", text, 1.0), Match("tags", text), Terms("tags", text.split())):
+            assert sorted(r["_id"] for r in search(frame, query).collect()) == ["1", "2"]
+    like = MoreLikeThis(["tags"], ["achach"], min_doc_freq=1)
+    assert sorted(r["_id"] for r in search(frame, like).collect()) == ["1", "2"]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(["red", "apple", "sky", "no", "..."]), max_size=4), st.integers(0, 16))
+def test_word_lists_of_any_length_agree(docs, words, more):
+    wanted = [*words, *(f"absent{i}" for i in range(more))]
+    one_by_one = {r["_id"] for w in wanted for r in search(docs, Term("text", w)).collect()}
+    assert {r["_id"] for r in search(docs, Terms("text", wanted)).collect()} == one_by_one
+
+
+def test_lists_of_any_length(spark):
+    frame = spark.range(30_000).selectExpr("id AS _id", "IF(id % 3 = 0, 'hot', CAST(id AS string)) AS tag")
+    for n in (2, 10_000, 10_001):
+        many = [*map(str, range(n)), "none"]
+        by_id = search(frame, Ids(many))
+        assert by_id.count() == n and "Exchange" not in plan_of(by_id)
+        by_tag = search(frame, Terms("tag", [*many, "hot"]), {"tag": "keyword"})
+        assert by_tag.count() == sum(i % 3 == 0 or i < n for i in range(30_000))
+        assert search(frame, Ids(many), id_column="absent").count() == 0
+
+
+def test_frames_of_values_are_joined(spark):
+    frame = spark.range(30_000).selectExpr("id AS _id", "IF(id % 3 = 0, 'hot', CAST(id AS string)) AS tag", "'x y' AS text")
+    listed = spark.createDataFrame(pa.table({"v": [str(i) for i in range(10_001)] + ["hot", "none", None]}))
+    found = search(frame, Ids(listed))
+    assert found.count() == 10_001
+    assert "BroadcastHashJoin" in plan_of(found) and "Exchange hashpartitioning" not in plan_of(found)
+    by_tag = search(frame, Terms("tag", listed), {"tag": "keyword"})
+    assert by_tag.count() == sum(i % 3 == 0 or i <= 10_000 for i in range(30_000))
+    assert search(frame, Ids(listed), id_column="absent").count() == 0
+    with pytest.raises(TypeError):
+        search(frame, Terms("text", listed))
+
+
+def test_field_groups(docs):
+    group = ids(docs, QueryString("text:(apple OR sky)"))
+    assert group == ids(docs, QueryString("text:apple OR text:sky")) != ""
+    assert ids(docs, QueryString("status:(new)")) == ids(docs, QueryString("status:new"))
+    assert ids(docs, QueryString("text:(red AND (apple OR sky))")) == ids(docs, QueryString("text:red AND (text:apple OR text:sky)"))
+
+
+def test_more_than_two_edits_are_two(docs):
+    for query in (QueryString, SimpleString):
+        assert ids(docs, query("appla~5")) == ids(docs, query("appla~2")) == ids(docs, query("appla~12"))
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.text(alphabet='ab ~"()+|-*?\\/:[]{}^19', max_size=14))
+def test_simple_string_never_raises(docs, text):
+    search(docs, SimpleString(text))
 
 
 def test_sample_is_strings(docs):
