@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import quayside
-from quayside.sources.storage import scratch_folder
+from quayside.sources.storage import delete, scratch_folder
 
 #: The characters that separate words, x20 and x09 to x0D.
 SEPARATORS = " \t\n\x0b\x0c\r"
@@ -44,7 +44,15 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(folder)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(frame.schema).parquet(folder)
+    table = spark.read.schema(frame.schema).parquet(folder)
+    table.scratch_folder = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``kept`` that nothing reads any more, not even a plan that is still to run."""
+    for table in tables:
+        delete(table.sparkSession, table.scratch_folder)
 
 
 def held_out(key: str = "doc_id") -> Column:

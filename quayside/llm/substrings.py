@@ -15,7 +15,8 @@ distance of an anchor from the start of a string, which strings are equal, and t
 first of each keeps its bytes.
 
 Whole copies of a document of 100 bytes or more are found by their digest; a task
-sends on one of its copies of a text. Equal suffixes of a run are sent once.
+sends on one of its copies of a text. Suffixes that repeat inside a text, or in a run,
+are sent once.
 
 Defined results: a null text is empty, and empty and shorter texts keep all. A row
 without an id keeps all and removes nothing elsewhere. Rows that share an id are one
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import kept, mixed
+from quayside.llm.common import discard, kept, mixed
 
 LENGTH, GRAM = 100, 32
 BEFORE = LENGTH - GRAM
@@ -76,16 +77,32 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, np.concatenate(hashes)[first]
 
 
+def repeated_inside(data: bytes, places: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which anchors of a text have the same suffix as an earlier one, and the spans that repeat there."""
+    again, spans = np.zeros(len(places), bool), []
+    _, which, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    seen: set[bytes] = set()
+    for i in np.flatnonzero(times[which] > 1).tolist():
+        place = int(places[i])
+        around = data[max(0, place - BEFORE) : place + LENGTH]
+        if place >= BEFORE and len(around) == WIDTH:
+            if around in seen:
+                again[i] = True
+                spans.append((place - BEFORE, place + LENGTH))
+            seen.add(around)
+    return again, spans
+
+
 def _bytes(text: pa.StringScalar) -> bytes:
     return text.as_buffer().to_pybytes() if text.is_valid else b""
 
 
 def _found(batches):
-    """Of every text its digest, and the anchors of one copy of each text of a task, the first."""
+    """Of every text its digest; of one copy of each text of a task, the first, its anchors and what repeats inside it."""
     least: dict[bytes, int] = {}
     for batch in batches:
         rows = [[np.empty(0, np.int64)] * 3]
-        digests = []
+        digests, spans = [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             data = _bytes(text)
             if len(data) < LENGTH:
@@ -95,18 +112,23 @@ def _found(batches):
             if least.get(digest, key + 1) > key:
                 least[digest] = key
                 place, value = anchors(np.frombuffer(data, np.uint8))
-                rows.append([np.full(len(place), key), place, value.view(np.int64)])
+                again, inside = repeated_inside(data, place, value)
+                rows.append([np.full(len(place) - len(inside), key), place[~again], value[~again].view(np.int64)])
+                spans += [(key, start, end) for start, end in inside]
         columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
-        many, few = len(columns[0]), len(digests)
+        many = len(columns[0])
+        others = [(d, None, None, digest, n) for d, digest, n in digests] + [(d, start, None, None, end) for d, start, end in spans]
+        doc, place, _, digest, size = zip(*others, strict=True) if others else [()] * 5
+        few = len(others)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([pa.array(columns[0]), pa.array([d[0] for d in digests], pa.int64())]),
-                pa.concat_arrays([pa.array(columns[1].astype(np.int32)), pa.nulls(few, pa.int32())]),
+                pa.concat_arrays([pa.array(columns[0]), pa.array(doc, pa.int64())]),
+                pa.concat_arrays([pa.array(columns[1].astype(np.int32)), pa.array(place, pa.int32())]),
                 pa.concat_arrays([pa.array(columns[2]), pa.nulls(few, pa.int64())]),
-                pa.concat_arrays([pa.nulls(many, pa.binary()), pa.array([d[1] for d in digests], pa.binary())]),
-                pa.concat_arrays([pa.nulls(many, pa.int64()), pa.array([d[2] for d in digests], pa.int64())]),
+                pa.concat_arrays([pa.nulls(many, pa.binary()), pa.array(digest, pa.binary())]),
+                pa.concat_arrays([pa.nulls(many, pa.int64()), pa.array(size, pa.int64())]),
             ],
-            names=["doc_id", "place", "gram", "digest", "n_bytes"],
+            names=["doc_id", "place", "gram", "digest", "end"],
         )
 
 
@@ -279,7 +301,7 @@ def _runs(groups: int):
             if spans:
                 doc, start, end = zip(*spans, strict=True)
                 out.append((-1, doc, start, end, None, None))
-            kinds = [pa.int32(), *[pa.list_(pa.int64())] * 3, pa.binary(), pa.binary()]
+            kinds = [pa.int32(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 2, pa.binary(), pa.binary()]
             columns = list(zip(*out, strict=True)) or [[]] * 6
             names = ["group", "docs", "places", "ends", "lengths", "rest"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
@@ -299,27 +321,33 @@ def _runs(groups: int):
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, start, end) that cover what is repeated; ``docs`` has doc_id, not null, and text."""
-    found = kept(docs.mapInArrow(_found, "doc_id long, place int, gram long, digest binary, n_bytes long"), "substring-anchors")
-    texts = found.where("digest is not null").select("doc_id", "digest", "n_bytes")
+    """One row per doc_id with ``spans`` that cover what is repeated; ``docs`` has doc_id, not null, and text."""
+    found = kept(docs.mapInArrow(_found, "doc_id long, place int, gram long, digest binary, `end` long"), "substring-anchors")
+    texts = found.where("digest is not null").select("doc_id", "digest", "end")
     first = texts.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    copies = texts.join(first, "digest").where("doc_id > first_id")
-    copies = copies.select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
+    copies = texts.join(first, "digest").where("doc_id > first_id").select("doc_id", F.lit(0).cast("long").alias("start"), "end")
+    inside = found.where("digest is null and gram is null")
+    alone = kept(copies.union(inside.select("doc_id", F.col("place").cast("long").alias("start"), "end")), "substring-copies")
 
     same = Window.partitionBy("gram").orderBy("doc_id", "place")
     grams = found.where("gram is not null").select("doc_id", "place", "gram")
     grams = grams.withColumns({"_last": F.lag("place").over(same), "_next": F.lead("place").over(same)})
     grams = grams.where("_last is not null or _next is not null").drop("_last", "_next")
     grams = kept(grams, "substring-grams")
+    discard(found)
     groups = max(1, -(-grams.count() // GROUP))
     own = grams.groupBy("doc_id").agg(F.collect_list(F.struct("place", "gram")).alias("found"))
     own = docs.join(own, "doc_id").select("doc_id", "text", "found")
-    schema = "group int, docs array<long>, places array<long>, ends array<long>, lengths binary, rest binary"
+    schema = "group int, docs array<long>, places array<int>, ends array<int>, lengths binary, rest binary"
     runs = kept(own.mapInArrow(_runs(groups), schema), "substring-runs")
+    discard(grams)
     inside = runs.where("group < 0").select(F.explode(F.arrays_zip("docs", "places", "ends")).alias("s"))
-    inside = inside.select(F.col("s.docs").alias("doc_id"), F.col("s.places").alias("start"), F.col("s.ends").alias("end"))
+    inside = inside.select(F.col("s.docs").alias("doc_id"), F.col("s.places").cast("long").alias("start"), F.col("s.ends").cast("long").alias("end"))
     between = runs.where("group >= 0").groupBy("group").applyInArrow(_merge, "doc_id long, start long, end long")
-    return inside.union(between).union(copies)
+    spans = inside.union(between).union(alone).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = kept(spans, "substring-spans")
+    discard(runs, alone)
+    return spans
 
 
 def _left(data: bytes, own: pa.StructScalar) -> tuple[bytes, int, int]:
@@ -361,7 +389,6 @@ def without_repeats(docs: DataFrame, text: str = "text", identity: str = "doc_id
 
     docs = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text"))
     spans = repeated_spans(docs.where("doc_id is not null"))
-    spans = kept(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "substring-spans")
     found = docs.join(spans, "doc_id", "left").select("doc_id", rest.asNondeterministic()("text", "spans").alias("_rest"))
     return found.select("doc_id", "_rest.*")
 
