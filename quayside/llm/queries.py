@@ -46,4 +46,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {}
+#: Least node that a node reaches over links (x, y), both ways.
+REACHED = """
+    edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reached AS (
+        SELECT node, node AS least FROM nodes
+        UNION SELECT edges.y, reached.least FROM reached JOIN edges ON edges.x = reached.node WHERE reached.least < edges.y
+    ),
+    groups AS (SELECT node, min(least) AS component_id FROM reached GROUP BY node)"""
+
+SQL: dict[str, str] = {
+    "op6_embedding_dedup": f"""
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    nodes AS (SELECT DISTINCT vec_id AS node FROM embeddings),
+    links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+        ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+    ),{REACHED},
+    counts AS (SELECT x, count(*) AS n FROM edges GROUP BY x)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN groups ON node = vec_id LEFT JOIN counts ON x = vec_id""",
+    "op9_jaccard_join": rf"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+        FROM documents
+    ),
+    shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s
+        FROM texts
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b
+        ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+    ),
+    nodes AS (SELECT DISTINCT doc_id AS node FROM documents),
+    links AS (
+        SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)
+    ),{REACHED}
+    SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM documents JOIN groups ON node = doc_id LEFT JOIN sizes USING (doc_id)""",
+}
