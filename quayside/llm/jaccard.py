@@ -8,13 +8,15 @@ Skipping in the index: an entry stays in its list only if the entry of the neare
 size before or behind it could be similar in size, and a pair of entries counts
 only if what stands behind both positions can still reach the wanted overlap.
 
-Skipping in the answers: every set is first compared with the neighbour it shares
-most of its prefix with. Sets that link become clusters around a leader, with the
-number of shingles by which a member exceeds its leader. What a member has in
-common with any other set is at most what the leaders have in common plus these
-excesses, so for two clusters that are not connected yet only the leaders are
-compared, and members only where that bound leaves a link possible. Pairs within
-a connected component are never looked at again. No link between components is lost.
+Skipping in the answers: every set is first compared with a few neighbours in lists
+sorted by a sketch. Sets that link become clusters around a leader, with the number of shingles by
+which a member exceeds its leader. What a member has in common with any other set
+is at most what the leaders have in common plus these excesses, so for two clusters
+that are not connected yet only the leaders are compared, and members only where
+that bound leaves a link possible. Pairs within a connected component are never
+looked at again. Before sets are fetched, parities of hashed shingles bound how far
+two sets differ: each bit that differs is a shingle that only one of them has. No
+link between components is lost.
 
 Defined results: texts that are null or without words have no set, and are a
 component of their own; a row without an id is in none. Fewer words than five
@@ -34,8 +36,10 @@ from quayside.llm.components import components
 
 #: Shingles whose order is by their frequency; all others come before them, by hash. Any order gives the same links.
 FREQUENT = 1 << 16
-#: A neighbour is tried first if it shares one in so many shingles of a set in the prefix.
-LEAST_NEAR = 16
+#: Neighbours that a set is compared with first.
+NEIGHBOURS = 3
+#: Long numbers of parities per set.
+PARITIES = 16
 #: Sets of one batch that must share a shingle before it is counted as frequent.
 LEAST_SHARED = 4
 
@@ -52,6 +56,25 @@ def set_hash(tokens: np.ndarray) -> int:
     return int(mixed(np.array([total ^ (np.bitwise_xor.reduce(tokens) << np.uint64(1))])).view(np.int64)[0])
 
 
+def parities(tokens: np.ndarray) -> list[int]:
+    """Of hashed shingles, whether the number of those with each hash is odd."""
+    odd = np.bincount((tokens % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
+_BINS = np.arange(16, dtype=np.uint64) << np.uint64(59)
+
+
+def sketches(tokens: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For the lists of some shingles, numbers that are close for similar sets: the least shingles of eight of 16 ranges."""
+    place = np.searchsorted(tokens, _BINS)
+    least = tokens[np.minimum(place, len(tokens) - 1)] & np.uint64(255)
+    ring = np.concatenate([least, least])
+    shifts = np.uint64(8) * np.arange(8, dtype=np.uint64)[::-1]
+    packed = np.array([(ring[i : i + 8] << shifts).sum(dtype=np.uint64) for i in range(16)], np.uint64)
+    return packed[(of % np.uint64(16)).astype(np.int64)]
+
+
 def _described(batches):
     """Of every document its set's size and hash; of every batch the shingles that several of its sets share."""
     for batch in batches:
@@ -68,7 +91,7 @@ def _described(batches):
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = shingles(text.as_py())
             name = set_hash(tokens) if len(tokens) else None
-            rows.append((key, len(tokens), name, None, None))
+            rows.append((key, len(tokens), name, parities(tokens) if len(tokens) else None, None, None))
             if name is not None and name not in seen:
                 seen.add(name)
                 held.append(tokens)
@@ -77,10 +100,11 @@ def _described(batches):
                     count()
                     size = 0
         count()
-        rows += [(None, None, None, token, times) for token, times in frequent]
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        names = ["doc_id", "n", "set_id", "token", "times"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+        rows += [(None, None, None, None, token, times) for token, times in frequent]
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
+        names = ["doc_id", "n", "set_id", "parities", "token", "times"]
+        kinds = [pa.list_(pa.int64()) if name == "parities" else pa.int64() for name in names]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 class Order:
@@ -101,7 +125,7 @@ class Order:
 
 
 def index_lists(docs: DataFrame, frequent) -> DataFrame:
-    """Entries (token, set_id, n, position) of the prefixes that have a neighbour of a similar size, with the one before."""
+    """Entries (token, set_id, n, position, sketch) of the prefixes that have a neighbour of a similar size in their list."""
 
     def prefixes(batches):
         order, seen = Order(frequent.value), set()
@@ -113,7 +137,7 @@ def index_lists(docs: DataFrame, frequent) -> DataFrame:
                     continue
                 seen.add(name)
                 first = order.sorted(tokens)[: len(tokens) // 4 + 1]
-                parts.append((first, name, len(tokens)))
+                parts.append((first, name, len(tokens), sketches(tokens, first)))
             if parts:
                 count = [len(p[0]) for p in parts]
                 columns = [
@@ -121,16 +145,41 @@ def index_lists(docs: DataFrame, frequent) -> DataFrame:
                     np.repeat(np.array([p[1] for p in parts], np.int64), count),
                     np.repeat(np.array([p[2] for p in parts], np.int32), count),
                     np.concatenate([np.arange(c, dtype=np.int32) for c in count]),
+                    np.concatenate([p[3] for p in parts]).view(np.int64),
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "set_id", "n", "position"])
+                names = ["token", "set_id", "n", "position", "sketch"]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    entries = docs.select("text").mapInArrow(prefixes, "token long, set_id long, n int, position int")
+    entries = docs.select("text").mapInArrow(prefixes, "token long, set_id long, n int, position int, sketch long")
     by_size = Window.partitionBy("token").orderBy("n", "set_id")
     entries = entries.withColumn("_same", F.lag("set_id").over(by_size)).where("_same is null or _same != set_id").drop("_same")
-    near = entries.withColumns({"_before": F.lag("n").over(by_size), "before": F.lag("set_id").over(by_size), "_behind": F.lead("n").over(by_size)})
-    has_before = F.coalesce(F.col("_before") * 4 >= F.col("n") * 3, F.lit(False))
-    near = near.where(has_before | (F.col("n") * 4 >= F.col("_behind") * 3))
-    return near.select("token", "set_id", "n", "position", F.when(has_before, F.col("before")).alias("before"))
+    near = entries.withColumns({"_before": F.lag("n").over(by_size), "_behind": F.lead("n").over(by_size)})
+    near = near.where((F.col("_before") * 4 >= F.col("n") * 3) | (F.col("n") * 4 >= F.col("_behind") * 3))
+    return near.drop("_before", "_behind")
+
+
+def _sided(frame: DataFrame, side: str, *but: str) -> DataFrame:
+    """The frame with a prefix to all columns but some."""
+    return frame.toDF(*(c if c in but else f"{side}_{c}" for c in frame.columns))
+
+
+#: How many parities of a set a and a set b differ.
+DIFFER = " + ".join(f"bit_count(a_p{i} ^ b_p{i})" for i in range(PARITIES))
+
+
+def neighbours(entries: DataFrame, first: DataFrame) -> DataFrame:
+    """Pairs (x, y) of every set with those it stands next to in most lists, as far as they are not too different."""
+    by_sketch = Window.partitionBy("token").orderBy("sketch", "set_id")
+    near = entries.select(F.col("set_id").alias("x"), F.lag("set_id").over(by_sketch).alias("y"), "n", F.lag("n").over(by_sketch).alias("_n"))
+    near = near.where("n * 4 >= _n * 3 and _n * 4 >= n * 3").select("x", "y")
+    near = near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).groupBy("x", "y").count()
+    sets = first.drop("first_id")
+    near = near.join(_sided(sets, "a"), F.col("x") == F.col("a_set_id")).join(_sided(sets, "b"), F.col("y") == F.col("b_set_id"))
+    near = near.where(f"a_n + b_n >= 7 * ({DIFFER})").select("x", "y", "count")
+    both = near.union(near.select("y", "x", "count"))
+    place = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("count"), "y"))
+    both = both.withColumn("_place", place).where(F.col("_place") <= NEIGHBOURS)
+    return both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def _overlap(one: pa.Array, other: pa.Array) -> pa.Array:
@@ -155,7 +204,8 @@ def compared(pairs: DataFrame, docs: DataFrame, first: DataFrame, name: str) ->
             yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", "tokens"]).filter(pa.array(right))
 
     pairs = kept(pairs, f"{name}-pairs")
-    wanted = pairs.select(F.col("x").alias("set_id")).union(pairs.select("y")).distinct().join(first, "set_id")
+    wanted = pairs.select(F.col("x").alias("set_id")).union(pairs.select("y")).distinct()
+    wanted = wanted.join(first.select("set_id", "first_id", "n"), "set_id")
     own = docs.join(wanted.withColumnRenamed("first_id", "doc_id"), "doc_id").select("set_id", "n", "text")
     sets = kept(own.mapInArrow(tokens, "set_id long, n int, tokens binary"), f"{name}-sets")
     left = sets.select(F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("_x"))
@@ -169,7 +219,7 @@ def linked(pairs: DataFrame) -> DataFrame:
     return pairs.where("100 * overlap >= 75 * (nx + ny - overlap)")
 
 
-def clusters(links: DataFrame, sizes: DataFrame) -> DataFrame:
+def clusters(links: DataFrame, sizes: DataFrame, groups: DataFrame) -> DataFrame:
     """Of every set in an index list its leader, by how much it exceeds it, and its component so far."""
     both = links.select("x", "y", "nx", "overlap").union(links.select("y", "x", "ny", "overlap"))
     least = both.groupBy("x").agg(F.min(F.struct("y", "overlap")).alias("_least"), F.min("nx").alias("nx"))
@@ -177,7 +227,6 @@ def clusters(links: DataFrame, sizes: DataFrame) -> DataFrame:
     members = least.where(F.col("x") > F.col("_least.y"))
     members = members.select(F.col("x").alias("set_id"), F.col("_least.y").alias("leader"), (F.col("nx") - F.col("_least.overlap")).alias("excess"))
     members = members.join(leaders, "leader", "left_semi")
-    groups = components(links, "x", "y").withColumnRenamed("node", "set_id")
     found = sizes.join(members, "set_id", "left").join(groups, "set_id", "left")
     found = found.select(
         "set_id",
@@ -192,19 +241,23 @@ def clusters(links: DataFrame, sizes: DataFrame) -> DataFrame:
     return kept(found.join(spans, "leader"), "jaccard-clusters")
 
 
-def candidates(entries: DataFrame, groups: DataFrame) -> DataFrame:
+def candidates(entries: DataFrame, groups: DataFrame, first: DataFrame) -> DataFrame:
     """Pairs of leaders of different components whose clusters could hold a link.
 
     They meet in index lists: once at least where what is behind both positions
     still suffices, and as often as two prefixes must, since what they do not share
-    there has to be shared behind the one that ends first.
+    there has to be shared behind the one that ends first. And by their parities the
+    leaders do not differ by more than a link and the excesses allow.
     """
-    own = entries.join(groups.drop("n"), "set_id").groupBy("token", "leader", "component", "least", "most")
+    own = entries.join(groups.drop("n"), "set_id").groupBy("token", "leader", "component", "least", "most", "most_excess")
     own = own.agg(F.min("n").alias("here"), F.max(F.col("n") - F.col("position")).alias("rest"))
     meeting = own.groupBy("token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b")
-    own = kept(own.join(meeting.select("token"), "token", "left_semi"), "jaccard-lists")
-    one, other = own.toDF("token", *(f"a_{c}" for c in own.columns[1:])), own.toDF("token", *(f"b_{c}" for c in own.columns[1:]))
-    pairs = one.join(other, "token").where("a_component < b_component and a_most * 4 >= b_least * 3 and b_most * 4 >= a_least * 3")
+    own = own.join(meeting.select("token"), "token", "left_semi")
+    own = kept(own.join(first.drop("first_id").withColumnRenamed("set_id", "leader"), "leader"), "jaccard-lists")
+    could = f"""a_component < b_component and a_most * 4 >= b_least * 3 and b_most * 4 >= a_least * 3
+        and 7 * (a_n + b_n - ({DIFFER}) + 2 * (a_most_excess + b_most_excess)) >= 6 * (a_least + b_least)"""
+    one, other = _sided(own, "a"), _sided(own, "b")
+    pairs = one.join(other, (F.col("a_token") == F.col("b_token")) & F.expr(could))
     pairs = pairs.groupBy("a_leader", "b_leader", "a_least", "b_least", "a_most", "b_most").agg(
         F.count("*").alias("met"), F.expr("bool_or(least(a_rest, b_rest) * 7 >= (a_here + b_here) * 3)").alias("reached")
     )
@@ -216,11 +269,11 @@ def candidates(entries: DataFrame, groups: DataFrame) -> DataFrame:
 def members_of(leaders: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs of members, not both leaders, that could link by what their leaders have in common."""
     spans = groups.where("set_id = leader").select("leader", "least", "most_excess", "members")
-    a, b = (spans.toDF(*(f"{side}_{c}" for c in spans.columns)) for side in "ab")
+    a, b = (_sided(spans, side) for side in "ab")
     open_pairs = leaders.join(a, F.col("x") == F.col("a_leader")).join(b, F.col("y") == F.col("b_leader"))
     open_pairs = open_pairs.where("a_members + b_members > 2 and 7 * (overlap + a_most_excess + b_most_excess) >= 3 * (a_least + b_least)")
     open_pairs = open_pairs.select("x", "y", "overlap")
-    a, b = (groups.select(*(F.col(c).alias(f"{side}_{c}") for c in ("leader", "set_id", "n", "excess"))) for side in "ab")
+    a, b = (_sided(groups.select("leader", "set_id", "n", "excess"), side) for side in "ab")
     pairs = open_pairs.join(a, F.col("x") == F.col("a_leader")).join(b, F.col("y") == F.col("b_leader"))
     pairs = pairs.where(
         "a_n * 4 >= b_n * 3 and b_n * 4 >= a_n * 3 and 7 * (overlap + a_excess + b_excess) >= 3 * (a_n + b_n)"
@@ -232,23 +285,24 @@ def members_of(leaders: DataFrame, groups: DataFrame) -> DataFrame:
 def join(docs: DataFrame, text: str = "text", identity: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = kept(docs.mapInArrow(_described, "doc_id long, n long, set_id long, token long, times long"), "jaccard-sets")
+    schema = "doc_id long, n long, set_id long, parities array<long>, token long, times long"
+    described = kept(docs.mapInArrow(_described, schema), "jaccard-sets")
     often = described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     often = [r.token for r in often.orderBy(F.desc("times"), "token").limit(FREQUENT).collect()]
     frequent = docs.sparkSession.sparkContext.broadcast(often)
-    described = described.where("n is not null").select("doc_id", "n", "set_id")
+    described = described.where("n is not null")
 
     named = docs.where("doc_id is not null")
     entries = kept(index_lists(named, frequent), "jaccard-index")
-    first = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.min("n").cast("int").alias("n"))
+    bits = [F.max(F.get("parities", F.lit(i))).alias(f"p{i}") for i in range(PARITIES)]
+    first = described.where("set_id is not null").groupBy("set_id")
+    first = first.agg(F.min("doc_id").alias("first_id"), F.min("n").cast("int").alias("n"), *bits)
     first = kept(first.where("first_id is not null"), "jaccard-first")
-    nearest = entries.where("before is not null").groupBy("set_id", "n", "before").count()
-    nearest = nearest.where(F.col("count") * LEAST_NEAR >= F.col("n")).groupBy("set_id")
-    nearest = nearest.agg(F.max_by("before", F.struct("count", "before")).alias("y")).select(F.col("set_id").alias("x"), "y")
-    links = linked(compared(nearest, named, first, "jaccard-nearest"))
-    sizes = entries.select("set_id", "n").distinct()
-    groups = clusters(links, sizes)
-    leaders = compared(candidates(entries, groups), named, first, "jaccard-leaders")
+
+    links = linked(compared(neighbours(entries, first), named, first, "jaccard-near"))
+    groups = components(links, "x", "y").withColumnRenamed("node", "set_id")
+    groups = clusters(links, entries.select("set_id", "n").distinct(), groups)
+    leaders = compared(candidates(entries, groups, first), named, first, "jaccard-leaders")
     members = compared(members_of(leaders, groups), named, first, "jaccard-members")
     every = links.select("x", "y").union(linked(leaders).select("x", "y")).union(linked(members).select("x", "y"))
 
@@ -257,7 +311,7 @@ def join(docs: DataFrame, text: str = "text", identity: str = "doc_id") -> DataF
     found = components(every, "one", "other")
     first = first.join(found.withColumnRenamed("node", "first_id"), "first_id", "left")
     first = first.select("set_id", F.coalesce("component", "first_id").alias("component_id"))
-    rows = described.join(first, "set_id", "left")
+    rows = described.select("doc_id", "n", "set_id").join(first, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
