@@ -72,15 +72,6 @@ def delete_visible(spark: SparkSession, path: str) -> None:
             fs.delete(status.getPath(), True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Move a file to a name that is still free, making its folder."""
-    old, fs = hadoop_path(spark, source)
-    new, _ = hadoop_path(spark, target)
-    fs.mkdirs(new.getParent())
-    if not fs.rename(old, new):
-        raise OSError(f"could not move {source} to {target}")
-
-
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared area the cluster names in ``spark.checkpoint.dir``.
 
