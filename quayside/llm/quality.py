@@ -3,7 +3,9 @@
 For every language the corpus names, a reference holds the shares of character
 classes and of the most common words over all its documents. A document is
 compared with every reference by the Jensen-Shannon distance (base 2, 0 to 1)
-and kept if, against the nearest one, neither histogram is too far off. Texts
+and kept if, against the nearest one, neither histogram is too far off. How far
+words can be off depends on how much of a language its common words make up, so
+their bound is a share of the distance of a text that has none of them. Texts
 below a minimum length are not judged by a histogram, since few characters or
 words prove nothing. Plain base rules come first.
 
@@ -31,7 +33,10 @@ WORDS = 150
 LEAST_SHARE = 1 / 1000
 #: Greatest distances from the nearest reference, and the lengths from which they are applied.
 FARTHEST_CLASSES, LEAST_CHARS = 0.3, 250
-FARTHEST_WORDS, LEAST_WORDS = 0.7, 100
+#: Of words, the distance as a share of that of a text without a common word of the reference.
+FARTHEST_WORDS, LEAST_WORDS = 0.98, 100
+#: Where a reference lets fewer common words be expected, one speaks for a text; where fewer still, none is needed.
+EXPECTED, LEAST_EXPECTED = 40, 5
 
 #: The symbols that the base rules count.
 SYMBOLS = "#*$%&|<>"
@@ -95,10 +100,17 @@ class References:
                 self.words[row, column] = n
                 self.columns[row, column] = self.places.setdefault(word, len(self.places) + 1)
             self.words[row, -1] = max(0, totals[name] - self.words[row].sum())
+        self.share = self.words[:, :-1].sum(1) / np.maximum(self.words.sum(1), 1)
+        self.farthest = FARTHEST_WORDS * distances(np.eye(WORDS + 1)[-1], self.words)
 
     def divergences(self, text: str) -> tuple[float | None, float | None]:
         """The least distances of character classes and of words from any language; null below the minimum lengths."""
+        return self.verdict(text)[:2]
+
+    def verdict(self, text: str) -> tuple[float | None, float | None, bool]:
+        """The two distances, and whether the words may be of any of the languages."""
         classes = words = None
+        usual = True
         if self.languages and len(text) >= LEAST_CHARS:
             classes = float(distances(class_counts(text)[None], self.classes).min())
             found = WORD.findall(text.lower())
@@ -107,8 +119,11 @@ class References:
                 counts = np.zeros(self.words.shape)
                 counts[:, :-1] = np.where(self.columns > 0, common[self.columns], 0)
                 counts[:, -1] = len(found) - counts.sum(1)
-                words = float(distances(counts, self.words).min())
-        return classes, words
+                each = distances(counts, self.words)
+                words = float(each.min())
+                expected, some = len(found) * self.share, counts[:, :-1].any(1)
+                usual = bool(((each <= self.farthest) | (expected < EXPECTED) & some | (expected < LEAST_EXPECTED)).any())
+        return classes, words, usual
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
@@ -167,24 +182,25 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 def judged(docs: DataFrame, models: References, text: str = "text") -> DataFrame:
     """The rows with the base counts, the two distances, base_failed and kept."""
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "_usual_words")
+    kinds = ["long"] * 5 + ["double"] * 2 + ["boolean"]
 
-    @F.arrow_udf(", ".join(f"{n} {'double' if 'distance' in n else 'long'}" for n in names))
+    @F.arrow_udf(", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
     def judge(texts: pa.Array) -> pa.Array:
-        rows = [base_counts(t) + (models.divergences(t) if t else (None, None)) for t in (x.as_py() for x in texts)]
+        rows = [base_counts(t) + (models.verdict(t) if t else (None, None, True)) for t in (x.as_py() for x in texts)]
         columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-        arrays = [pa.array(c, pa.float64() if "distance" in n else pa.int64()) for n, c in zip(names, columns, strict=True)]
-        return pa.StructArray.from_arrays(arrays, names=list(names))
+        types = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()]
+        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
     found = docs.drop(*names, "base_failed", "kept").withColumn("_found", judge.asNondeterministic()(F.col(text)))
     found = found.select("*", "_found.*").drop("_found")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & usual())
+    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & usual()).drop("_usual_words")
 
 
 def usual() -> Column:
     near = F.coalesce(F.col("class_distance") <= FARTHEST_CLASSES, F.lit(True))
-    return near & F.coalesce(F.col("word_distance") <= FARTHEST_WORDS, F.lit(True))
+    return near & F.col("_usual_words")
 
 
 def op8_quality_rules(spark, folder: str) -> DataFrame:

@@ -75,3 +75,32 @@ def test_short_texts_are_not_judged():
     model = quality.References({"aa": np.array([90.0, 2, 0, 15, 2, 1, 0, 0])}, {}, {"aa": 0})
     assert model.divergences("#### ####") == (None, None)
     assert model.divergences("# " * 200)[0] > quality.FARTHEST_CLASSES
+
+
+def prose_of_a_language(seed, n):
+    """Half of the words from the 150 common ones of ``aa``, the rest seldom ones, every one new."""
+    random = np.random.default_rng(seed)
+    return " ".join(
+        f"c{chr(97 + i // 26)}{chr(97 + i % 26)}" if common else cases.prose(seed * 100_000 + at, 1) + "x" * 9
+        for at, (i, common) in enumerate(zip(random.integers(0, 150, n), random.random(n) < 0.5, strict=True))
+    )
+
+
+def test_long_texts_without_common_words_go(spark):
+    prose = [prose_of_a_language(seed, n) for seed, n in enumerate([150] * 20 + [1_500] * 20)]
+    salad = [" ".join(f"{w}zz" for w in cases.prose(seed, 600).split()) for seed in range(90, 95)]
+    rows = [(i, t, "aa") for i, t in enumerate(prose)] + [(100 + i, t, None) for i, t in enumerate(salad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = quality.judged(docs, quality.references(docs)).where("not base_failed").collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id for r in found if r.kept} == {*range(len(prose))}
+
+
+def test_sparse_references_do_not_reject_their_own():
+    # 150 words make up a twentieth: a hundred words may well hold two of them, and their distance is past the bound
+    words = {"aa": [(f"c{chr(97 + i // 26)}{chr(97 + i % 26)}", 10) for i in range(150)]}
+    model = quality.References({"aa": np.ones(len(quality.CLASSES))}, words, {"aa": 30_000})
+    seldom = [w + "zz" for w in cases.prose(5, 2_000).split()]
+    _, distance, usual = model.verdict(" ".join(seldom[:400] + ["caa", "cab"] * 3))
+    assert distance > model.farthest[0] and usual
+    assert not model.verdict(" ".join(seldom))[2]
