@@ -29,8 +29,8 @@ from quayside.llm.common import window_hashes, word_hashes
 
 #: Common words of a reference.
 WORDS = 150
-#: A word with this share of a batch's words is counted; rarer ones are never common. The counts miss at most this share.
-LEAST_SHARE = 1 / 1000
+#: Different words that a task counts before it sends their counts on.
+TASK_WORDS = 200_000
 #: Greatest distances from the nearest reference, and the lengths from which they are applied.
 FARTHEST_CLASSES, LEAST_CHARS = 0.3, 250
 #: Of words, the distance as a share of that of a text without a common word of the reference.
@@ -127,30 +127,39 @@ class References:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
-    """Counts over all documents with a language; each batch of rows is summed before it leaves its task."""
+    """Counts over all documents with a language; each task sums its words, and all sums are added up."""
+
+    def rows_of(classes: dict, words: dict) -> pa.RecordBatch:
+        rows = [(name, i, None, int(n)) for name, counts in classes.items() for i, n in enumerate(counts)]
+        rows += [(name, -1, None, counts.total()) for name, counts in words.items()]
+        rows += [(name, -2, w, n) for name, counts in words.items() for w, n in counts.items()]
+        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+        types = (pa.string(), pa.int32(), pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "slot", "word", "n"]
+        )
 
     def summed(batches):
+        classes, words, size = defaultdict(lambda: np.zeros(len(CLASSES))), defaultdict(Counter), 0
         for batch in batches:
-            classes, words = defaultdict(lambda: np.zeros(len(CLASSES))), defaultdict(Counter)
-            for value, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if value:
+            for value, name in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                if value := value.as_py():
                     classes[name] += class_counts(value)
+                    size -= len(words[name])
                     words[name].update(WORD.findall(value.lower()))
-            rows = [(name, i, None, int(n)) for name, counts in classes.items() for i, n in enumerate(counts)]
-            for name, counts in words.items():
-                total = counts.total()
-                rows.append((name, -1, None, total))
-                rows += [(name, -2, w, n) for w, n in counts.items() if n >= max(2, total * LEAST_SHARE)]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            types = (pa.string(), pa.int32(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "slot", "word", "n"]
-            )
+                    size += len(words[name])
+                    if size > TASK_WORDS:
+                        yield rows_of(classes, words)
+                        classes.clear()
+                        words.clear()
+                        size = 0
+        yield rows_of(classes, words)
 
     named = docs.select(F.col(text), F.col(lang).cast("string")).where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     sums = named.mapInArrow(summed, "lang string, slot int, word string, n long").groupBy("lang", "slot", "word").agg(F.sum("n").alias("n"))
+    # only words have more than one row a slot; the limit on the row number lets each task pass on its first ones alone
     order = Window.partitionBy("lang", "slot").orderBy(F.desc("n"), "word")
-    rows = sums.withColumn("place", F.row_number().over(order)).where((F.col("slot") != -2) | (F.col("place") <= WORDS)).collect()
+    rows = sums.withColumn("place", F.row_number().over(order)).where(F.col("place") <= WORDS).collect()
     totals = {r.lang: r.n for r in rows if r.slot == -1}
     classes, words = {x: np.zeros(len(CLASSES)) for x in totals}, defaultdict(list)
     for r in sorted(rows, key=lambda r: r.place):

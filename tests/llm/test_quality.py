@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import quality
+from tests.conftest import plan_of
 from tests.llm import cases
 
 
@@ -104,3 +105,26 @@ def test_sparse_references_do_not_reject_their_own():
     _, distance, usual = model.verdict(" ".join(seldom[:400] + ["caa", "cab"] * 3))
     assert distance > model.farthest[0] and usual
     assert not model.verdict(" ".join(seldom))[2]
+
+
+def test_references_are_exact_in_any_layout(spark, monkeypatch):
+    docs = cases.documents(spark)
+    exact = {}
+    for r in docs.where("lang is not null and text is not null").collect():
+        exact.setdefault(r.lang, Counter()).update(quality.WORD.findall(r.text.lower()))
+    for tasks, most in ((1, 200_000), (1, 300), (7, 200_000)):
+        monkeypatch.setattr(quality, "TASK_WORDS", most)
+        models = quality.references(docs.repartition(tasks))
+        assert models.languages == sorted(exact)
+        for place, name in enumerate(models.languages):
+            top = sorted(exact[name].items(), key=lambda w: (-w[1], w[0]))[: quality.WORDS]
+            assert models.words[place].tolist() == [n for _, n in top] + [exact[name].total() - sum(n for _, n in top)]
+            assert [models.columns[place, i] for i in range(len(top))] == [models.places[w] for w, _ in top]
+
+
+def test_each_task_passes_on_its_first_words_alone(spark, monkeypatch):
+    plans = []
+    collect = type(cases.no_documents(spark)).collect
+    monkeypatch.setattr(type(cases.no_documents(spark)), "collect", lambda frame: plans.append(plan_of(frame)) or collect(frame))
+    quality.references(cases.documents(spark))
+    assert any("WindowGroupLimit" in plan and "Partial" in plan for plan in plans)
