@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -42,6 +44,7 @@ _PART = 1 << 20
 #: A single blank between two other characters always begins a token.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ENCODINGS: dict = {}
+_ADDED: dict = {}
 
 
 def encoder(path: str | None = None):
@@ -68,6 +71,34 @@ def token_ids(text: str | None, path: str | None = None) -> np.ndarray:
     return np.concatenate([*parts, np.array([END_ID], np.uint32)])
 
 
+def added_tokens(path: str | None = None) -> dict[str, int]:
+    """The ids of the strings that the tokenizer of a rank file, described beside it, reads as one token wherever they stand."""
+    if path not in _ADDED:
+        import public_tokenizers
+
+        described = os.path.splitext(path or public_tokenizers.path(VOCABULARY))[0] + ".json"
+        tokens = []
+        if os.path.exists(described):
+            with open(described, encoding="utf-8") as file:
+                tokens = json.load(file).get("added_tokens", [])
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+            raise ValueError(f"{described}: added tokens that depend on what stands around them are not understood")
+        _ADDED[path] = {t["content"]: t["id"] for t in tokens}
+    return _ADDED[path]
+
+
+def document_ids(text: str | None, path: str | None = None) -> np.ndarray:
+    """The ids of a document as the public tokenizer reads it, added tokens included, and the end id."""
+    added = added_tokens(path)
+    if not text or not any(token in text for token in added):
+        return token_ids(text, path)
+    pattern = "|".join(map(re.escape, sorted(added, key=len, reverse=True)))
+    parts = []
+    for part in re.split(f"({pattern})", text):
+        parts.append(np.array([added[part]], np.uint32) if part in added else token_ids(part, path)[:-1])
+    return np.concatenate([*parts, np.array([END_ID], np.uint32)])
+
+
 def differencing(sizes: list[int], windows: int) -> list[tuple[int, list[int]]]:
     """The pieces of every filled window, with its sum, fullest first.
 
@@ -168,7 +199,7 @@ def pack(
 
         for batch in batches:
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = token_ids(value.as_py(), vocabulary)
+                ids = document_ids(value.as_py(), vocabulary)
                 for start, length in pieces_of(len(ids), capacity, piece):
                     own = (key, start, len(ids), ids[start : start + length])
                     if length == capacity:

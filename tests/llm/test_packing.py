@@ -90,3 +90,14 @@ def test_edges(spark, public):
     assert [(r.length, r.doc_tokens) for r in packing.pack(cases.null_documents(spark)).collect()] == [(1, 1)] * 3
     small = packing.pack(cases.edge_documents(spark), capacity=64, piece=16).collect()
     check(small, ids, capacity=64)
+
+
+def test_added_tokens_have_their_ids(spark):
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, end * 3, f"  x \n{end}\n\n y{end}", f"<{end}>", "<|endoftext|", f"{cases.prose(4, 900)} {end}{cases.prose(5, 900)}"]
+    ids = {i: ([*loaded.encode(t, add_special_tokens=False).ids, packing.END_ID], 1) for i, t in enumerate(texts)}
+    assert ids[0][0] == [64, 220, 50256, 275, packing.END_ID]
+    check(packing.pack(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect(), ids)
+    for text in [*cases.texts(), *ODD]:
+        assert packing.document_ids(text).tolist() == [*loaded.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
