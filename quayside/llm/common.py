@@ -55,6 +55,14 @@ def discard(*tables: DataFrame) -> None:
         delete(table.sparkSession, table.scratch_folder)
 
 
+def free_name(frame: DataFrame, wanted: str) -> str:
+    """A name like the wanted one that no column of the frame has, whatever its case."""
+    taken = {name.lower() for name in frame.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def held_out(key: str = "doc_id") -> Column:
     """True for the third of the ids that no model learns from; a null id is in neither part."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
@@ -127,14 +135,14 @@ def _hashes_of_piece(data: np.ndarray) -> np.ndarray:
     return mixed((total[last] - total[first]) * _INVERSE[first] + (last - first).astype(np.uint64))
 
 
-def word_hashes(text: str, lower: bool = False) -> np.ndarray:
+def word_hashes(text: str | bytes, lower: bool = False) -> np.ndarray:
     """A 64-bit hash of every word of a text, in order, without a Python step per word.
 
     Each hash is a difference of prefix sums of a polynomial over the bytes. Long
     texts are cut at separators, so memory beyond the text itself is bounded by
     the longest word.
     """
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    data = np.frombuffer(text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass"), np.uint8)
     if lower:
         data = _LOWER[data]
     out, start = [], 0

@@ -107,13 +107,26 @@ def test_super_kmers_cover_every_window_once():
 
     for n in (13, 14, 40, 300):
         joined = cases.prose(n, n).encode()
-        words = joined.split()
-        for frequent in (np.empty(0, np.uint64), np.sort(superkmers._run_hashes(joined, 3) >> np.uint64(1))[::2]):
-            bucket, start, count = superkmers.split_at_minimisers(words, joined, frequent)
+        for late in (np.empty(0, np.uint64), np.sort(superkmers._run_hashes(joined, superkmers.MINIMISER) >> np.uint64(1))[::2]):
+            bucket, start, count = superkmers.split_at_minimisers(joined, late)
             assert [w for s, c in zip(start, count, strict=True) for w in range(s, s + c)] == list(range(n - WIDTH + 1))
             assert count.max() <= superkmers.PACKED
     same = b" ".join([b"a"] * 1000)
-    assert len({*superkmers.split_at_minimisers(same.split(), same, np.empty(0, np.uint64))[0].tolist()}) == 1
+    assert len({*superkmers.split_at_minimisers(same, np.empty(0, np.uint64))[0].tolist()}) == 1
+
+
+def test_codes_are_told_apart():
+    words = [str(i).encode() for i in range(60_000)]
+    code = superkmers.codes(words)
+    assert len({*code.values()}) == len(words) and max(map(len, code.values())) == 3
+    assert all(len(c.split()) == 1 and c[:1] != superkmers._PLAIN for c in code.values())
+
+
+def test_words_that_look_like_codes(spark):
+    """Frequent words have codes; texts of what is a code, or spelled out, of other words stay different."""
+    often = " ".join(["aa bb cc dd"] * 40)
+    odd = ["! " * 20, '" ' * 20, "\x01! " * 20, "\x01aa " * 20, "\x01 " * 20, "aa " * 20, "é " * 20]
+    check(spark, [(i, text) for i, text in enumerate([often, *odd, *odd, often])])
 
 
 def test_query(spark):
