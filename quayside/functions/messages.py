@@ -28,6 +28,14 @@ def infer_json_schema(frame: DataFrame, value: str = "value") -> T.StructType:
     Only the merged schema text reaches the driver. Numbers with a fraction
     are double; fields of several kinds, or never set, are strings.
     """
+    found = _merged_schema(frame, value)
+    if not isinstance(found, T.StructType):
+        raise ValueError(f"messages are not JSON objects but {found}")
+    return found
+
+
+def _merged_schema(frame: DataFrame, value: str) -> T.StructType | str:
+    """The type of all texts that are JSON, as variants; its name where that is no object."""
     merged = frame.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(value).cast("string"))).alias("s")).first()["s"]
 
     def spark_type(found: re.Match) -> str:
@@ -39,10 +47,36 @@ def infer_json_schema(frame: DataFrame, value: str = "value") -> T.StructType:
     pattern = r"`(?:[^`]|``)*`|(?P<before>^|: |ARRAY<)(?P<kind>OBJECT|VOID|VARIANT|DECIMAL\(\d+, ?\d+\))"
     ddl = re.sub(pattern, spark_type, merged or "VOID")
     if not ddl.startswith("STRUCT<"):
-        raise ValueError(f"messages are not JSON objects but {merged}")
+        return merged or "VOID"
     return frame.sparkSession.sql(f"SELECT CAST(NULL AS {ddl}) AS s").schema["s"].dataType
 
 
+def widened(known: T.DataType, other: T.DataType) -> T.DataType:
+    """A type that holds the values of both: fields of either, in the order they came, double for numbers, else strings."""
+    if known == other:
+        return known
+    if isinstance(known, T.StructType) and isinstance(other, T.StructType):
+        fields = {f.name: f.dataType for f in known.fields}
+        for field in other.fields:
+            fields[field.name] = widened(fields[field.name], field.dataType) if field.name in fields else field.dataType
+        return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+    if isinstance(known, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(widened(known.elementType, other.elementType))
+    if isinstance(known, T.NumericType) and isinstance(other, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def widen_json_schema(known: T.StructType, frame: DataFrame, value: str = "value") -> T.StructType:
+    """The known schema with what more texts hold; texts that are no JSON objects add nothing.
+
+    A field that was only ever null before counts as a string, and stays one.
+    """
+    objects = frame.where(F.schema_of_variant(F.try_parse_json(F.col(value).cast("string"))).startswith("OBJECT"))
+    found = _merged_schema(objects, value)
+    return widened(known, found) if isinstance(found, T.StructType) else known
+
+
 def json_to_columns(
     frame: DataFrame, schema: T.StructType, value: str = "value", mode: str = "PERMISSIVE"
 ) -> DataFrame:

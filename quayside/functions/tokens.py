@@ -93,6 +93,81 @@ def has_phrase(text: Column, words: Sequence[str]) -> Column:
     return F.lower(text).rlike(_whole(words))
 
 
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _narrowest(held: Column, words: Sequence[str]) -> Column:
+    """Over all choices of one place for each of different words, the least spread of place less offset in the phrase.
+
+    One pass over the sorted starts of all words, which remembers the last start of each.
+    """
+    never = -(1 << 40)
+    number = lambda token: F.array_position(string_array(words), token)
+    starts = F.transform(held, lambda token, i: F.struct((i - number(token)).alias("at"), number(token).alias("no")))
+    starts = F.array_sort(F.filter(starts, lambda start: start["no"] > 0))
+    zero = F.struct(F.array_repeat(F.lit(never), len(words)).alias("last"), F.lit(-never).alias("best"))
+
+    def step(state: Column, start: Column) -> Column:
+        last = F.transform(state["last"], lambda x, i: F.when(i + 1 == start["no"], start["at"]).otherwise(x))
+        return _named(last, lambda x: F.struct(x.alias("last"), F.least(state["best"], start["at"] - F.array_min(x)).alias("best")))
+
+    return F.aggregate(starts, zero, step, lambda state: state["best"])
+
+
+def _within(held: Column, word: str, offsets: Sequence[int], start: Column, slop: int) -> Column:
+    """A word has as many places as it has offsets, in their order, each at most ``slop`` behind start plus offset.
+
+    The first place that will do is always the best, so one look from left to right is enough.
+    """
+
+    def rest(i: int, after: Column | None) -> Column:
+        least = F.greatest(start + offsets[i], F.lit(1) if after is None else after + 1, F.lit(1))
+        room = F.greatest(start + offsets[i] + slop - least + 1, F.lit(0))
+        if i + 1 == len(offsets):
+            return F.array_contains(F.slice(held, least, room), word)
+        place = F.array_position(F.slice(held, least, room), word).cast("int")
+        return _named(F.when(place > 0, least + place - 1), lambda found: found.isNotNull() & F.coalesce(rest(i + 1, found), F.lit(False)))
+
+    return rest(0, None)
+
+
+def has_loose_phrase(text: Column, words: Sequence[str], slop: int) -> Column:
+    """The words occur close to each other: moving them by ``slop`` places in all, at most, gives the phrase.
+
+    Every word takes a place of its own. If a word's place less its offset in the phrase is
+    its start, the greatest start may exceed the least by ``slop``. Where a word is in the
+    phrase more than once, every start around its places is tried; else one pass finds the
+    narrowest choice. Texts that lack one of the words are not cut into tokens.
+    """
+    if not words or not all(map(is_token, words)):
+        return F.lit(False)
+    if not slop or len(words) == 1:
+        return has_phrase(text, words)
+    offsets: dict[str, list[int]] = {}
+    for i, word in enumerate(words):
+        offsets.setdefault(word, []).append(i)
+    together = all_of([has_phrase(text, [word]) for word in offsets])
+    if len(offsets) == len(words):
+        return together & (_narrowest(tokens(text), words) <= slop)
+    repeated = max(offsets, key=lambda word: len(offsets[word]))
+
+    def tried(held: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.size(held)), lambda i: F.element_at(held, i) == repeated)
+
+        def starts(place: Column) -> Column:
+            first = F.greatest(place - offsets[repeated][0] - slop, F.lit(1 - len(words)))
+            return F.exists(
+                F.sequence(first, place - offsets[repeated][0]),
+                lambda start: all_of([_within(held, w, at, start, slop) for w, at in offsets.items()]),
+            )
+
+        return F.when(F.size(held) > 0, F.exists(places, starts)).otherwise(False)
+
+    return together & _named(tokens(text), tried)
+
+
 def has_any_token(text: Column, words: Sequence[str]) -> Column:
     """At least one of the words is a token of the text."""
     usable = [word for word in dict.fromkeys(words) if is_token(word)]

@@ -3,7 +3,7 @@
 A ``text`` field is matched token by token, any other field by its whole
 value. Strings are text unless the mapping says ``keyword``. An array field
 holds several values, any of which may match; a dotted name is a field of a
-struct.
+struct, or of all structs of an array, whose values are then those of one field.
 """
 
 from __future__ import annotations
@@ -13,18 +13,62 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, NumericType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StringType, StructType
 
 from quayside.functions import tokens as tk
 
 
 def field_kinds(mapping: Mapping | None) -> dict[str, str]:
-    """Field types of a mapping, ``{"properties": {name: {"type": kind}}}`` or ``{name: kind}``."""
-    fields = (mapping or {}).get("properties", mapping or {})
-    return {name: spec["type"] if isinstance(spec, Mapping) else spec for name, spec in fields.items()}
-
-
-def _wildcard_to_like(wildcard: str) -> str:
+    """Field types of a mapping, ``{"properties": {name: {"type": kind}}}`` or ``{name: kind}``.
+
+    Fields of objects, which have ``properties`` of their own, are named by their path.
+    """
+    kinds = {}
+    for name, spec in (mapping or {}).get("properties", mapping or {}).items():
+        if not isinstance(spec, Mapping):
+            kinds[name] = spec
+            continue
+        if "type" in spec:
+            kinds[name] = spec["type"]
+        for inner, kind in field_kinds(spec).items() if "properties" in spec else ():
+            kinds[f"{name}.{inner}"] = kind
+    return kinds
+
+
+def leaf_paths(schema: StructType, before: str = "") -> list[str]:
+    """Names of the columns, and paths of the fields of structs and of arrays of them."""
+    found = []
+    for field in schema.fields:
+        inner = field.dataType
+        while isinstance(inner, ArrayType):
+            inner = inner.elementType
+        path = before + field.name
+        found += leaf_paths(inner, f"{path}.") if isinstance(inner, StructType) else [path]
+    return found
+
+
+def _inside(column: Column | None, data_type: DataType, name: str) -> tuple[Column | None, DataType | None]:
+    """A field of a struct, or the values that it has in the structs of an array, as one array."""
+    if isinstance(data_type, ArrayType):
+        inner, inner_type = _inside(F.lit(None), data_type.elementType, name)
+        if inner is None:
+            return None, None
+        several = isinstance(inner_type, ArrayType)
+        none = F.array().cast(inner_type) if several else None
+
+        def value(element: Column) -> Column:
+            found = _inside(element, data_type.elementType, name)[0]
+            return F.coalesce(found, none) if several else found
+
+        values = F.transform(column, value)
+        values = F.flatten(values) if several else F.filter(values, lambda v: v.isNotNull())
+        return values, inner_type if several else ArrayType(inner_type)
+    if not isinstance(data_type, StructType) or name not in data_type.names:
+        return None, None
+    return F.col(f"`{name}`") if column is None else column.getField(name), data_type[name].dataType
+
+
+def wildcard_to_like(wildcard: str) -> str:
     escaped = "".join("\\" + c if c in "\\%_" else c for c in wildcard)
     return escaped.replace("*", "%").replace("?", "_")
 
@@ -51,8 +95,8 @@ class Field:
         return self.type is not None and not self.is_text and not isinstance(self.type, ArrayType)
 
     def _any_value(self, condition: Callable[[Column], Column]) -> Column:
-        """The condition holds for the value, or for one of the values of an array."""
-        if self.type is None:
+        """The condition holds for the value, or for one of the values of an array; an object itself has no value."""
+        if self.type is None or isinstance(self.value_type, (ArrayType, MapType, StructType)):
             return F.lit(False)
         if isinstance(self.type, ArrayType):
             return F.exists(self.column, lambda value: condition(value))
@@ -89,9 +133,10 @@ class Field:
         """The field shares a term with one of the texts."""
         return self.any_term([term for text in texts for term in self.analysed(text)])
 
-    def phrase(self, text: str) -> Column:
+    def phrase(self, text: str, slop: int = 0) -> Column:
+        """The words of the text next to each other, or moved by ``slop`` places in all."""
         if self.is_text:
-            return self._any_value(lambda value: tk.has_phrase(value, tk.analyse(text)))
+            return self._any_value(lambda value: tk.has_loose_phrase(value, tk.analyse(text), slop))
         return self.any_value([text])
 
     def prefix(self, start: str) -> Column:
@@ -102,7 +147,7 @@ class Field:
     def wildcard(self, pattern: str) -> Column:
         if self.is_text:
             return self._any_value(lambda value: tk.has_token_like(value, pattern))
-        return self._any_value(lambda value: self._as_string(value).like(_wildcard_to_like(pattern)))
+        return self._any_value(lambda value: self._as_string(value).like(wildcard_to_like(pattern)))
 
     def regex(self, pattern: str) -> Column:
         if self.is_text:
@@ -152,15 +197,14 @@ class Documents:
         object.__setattr__(self, "kinds", field_kinds(self.mapping))
 
     def _resolve(self, name: str) -> tuple[Column | None, DataType | None]:
-        """Column and type of a name, or of a path into structs."""
+        """Column and type of a name, or of a path into structs and arrays of structs."""
         if name in self.frame.columns:
             return F.col(f"`{name}`"), self.frame.schema[name].dataType
         column, data_type = None, self.frame.schema
         for part in name.split("."):
-            if not isinstance(data_type, StructType) or part not in data_type.names:
+            column, data_type = _inside(column, data_type, part)
+            if data_type is None:
                 return None, None
-            column = F.col(f"`{part}`") if column is None else column.getField(part)
-            data_type = data_type[part].dataType
         return column, data_type
 
     def field(self, name: str) -> Field:
@@ -170,5 +214,5 @@ class Documents:
 
     def searchable(self) -> list[Field]:
         """Fields that a search without a field name looks into."""
-        fields = [self.field(name) for name in self.frame.columns if name != self.id_column]
+        fields = [self.field(name) for name in leaf_paths(self.frame.schema) if name != self.id_column]
         return [f for f in fields if isinstance(f.value_type, (StringType, NumericType))]

@@ -3,7 +3,8 @@
 Two small notations, both over all searchable fields unless a field is named:
 
 ``query_string``
-    words, ``"phrases"``, ``field:word``, ``field:(several words)``,
+    words, ``"phrases"``, ``"loose phrases"~2`` (moved by two places in all, at
+    most), ``field:word``, ``field:(several words)``,
     ``wild*c?rd``, ``fuzzy~`` and ``fuzzy~1`` (two edits at most),
     ``[a TO b]`` / ``{a TO b}``, ``field:>=a``, ``/regex/``,
     ``_exists_:field``, joined by AND/OR/NOT (``&&``, ``||``, ``!``), ``+``,
@@ -11,13 +12,12 @@ Two small notations, both over all searchable fields unless a field is named:
     required, prohibited or optional: AND requires both its sides, ``+``
     requires, ``-`` and NOT prohibit, the rest is optional, and one optional
     part must hold only where nothing is required. Unbalanced parentheses
-    and phrases with gaps (``"a b"~2``) raise ``ValueError``.
+    raise ``ValueError``.
 
 ``simple_string``
     words, ``"phrases"``, ``prefix*``, ``fuzzy~1``, ``+`` (and), ``|`` (or),
     ``-`` (not) and parentheses, taken from left to right, or by default; it
-    never raises. A gap behind a phrase is not evaluated: its words must be
-    next to each other.
+    never raises. Phrases may be loose (``"a b"~2``), as above.
 """
 
 from __future__ import annotations
@@ -49,12 +49,15 @@ _QUERY_PART = re.compile(
 _SIMPLE_PART = re.compile(
     r"""
     (?P<open>\() | (?P<close>\)) | (?P<operator>[+|-])
-    | "(?P<phrase>[^"]*)"(?:~\d+)?
+    | "(?P<phrase>[^"]*)"(?:~(?P<slop>\d+))?
     | (?P<word>(?:\\.|[^\s()"|+\\])+)
     """,
     re.VERBOSE,
 )
 
+# More than the places of any text: the words may be anywhere.
+MOST_SLOP = 1 << 20
+
 _SAME_OPERATOR = {"&&": "AND", "||": "OR", "!": "-", "NOT": "-"}
 
 
@@ -90,6 +93,11 @@ def _unescaped(word: str) -> str:
     return re.sub(r"\\(.)", r"\1", word)
 
 
+def _slop(found: re.Match) -> int:
+    """By how many places the words of a phrase may be moved; a number behind MOST_SLOP means the same."""
+    return min(MOST_SLOP, int(found["slop"] or 0))
+
+
 def _word(field: Field, word: str) -> Column:
     """A bare word on one field: plain, with wildcards or with ``~``."""
     fuzzy = re.fullmatch(r"(.+?)~(\d*)", word)
@@ -132,9 +140,7 @@ def _query_part(found: re.Match, docs: Documents, group: str | None) -> Column |
     if found["word"] == "*":
         return fields[0].exists()
     if found["phrase"] is not None:
-        if found["slop"] and int(found["slop"]):
-            raise ValueError("phrases with gaps are not supported")
-        return tk.any_of([f.phrase(found["phrase"]) for f in fields])
+        return tk.any_of([f.phrase(found["phrase"], _slop(found)) for f in fields])
     if found["regex"] is not None:
         return tk.any_of([f.regex(found["regex"]) for f in fields])
     if found["low"] is not None:
@@ -195,7 +201,7 @@ def query_string(text: str, docs: Documents) -> Column:
 def _simple_part(found: re.Match, docs: Documents) -> Column:
     fields = docs.searchable()
     if found["phrase"] is not None:
-        return tk.any_of([f.phrase(found["phrase"]) for f in fields])
+        return tk.any_of([f.phrase(found["phrase"], _slop(found)) for f in fields])
     word = found["word"]
     if word.endswith("*") and len(word) > 1:
         start = word[:-1]

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -157,16 +157,20 @@ class MoreLikeThis:
     max_terms: int = 12
     share: float = 0.3
 
-    def condition(self, docs: Documents) -> Column:
-        wanted = {}
-        for name in self.fields:
-            field = docs.field(name)
-            if field.type is None:
-                continue
-            counts = Counter(word for text in self.like for word in field.analysed(text))
+    def like_counts(self, cut: Mapping[str, Callable[[str], list[str]]]) -> dict[str, dict[str, int]]:
+        """Of every field, how often the like texts have each word, as they are cut for it."""
+        found = {}
+        for name, analysed in cut.items():
+            counts = Counter(word for text in self.like for word in analysed(text))
             counts = {w: n for w, n in counts.items() if n >= self.min_term_freq}
             if counts:
-                wanted[name] = (field, counts)
+                found[name] = counts
+        return found
+
+    def condition(self, docs: Documents) -> Column:
+        fields = {name: docs.field(name) for name in self.fields}
+        counts = self.like_counts({name: field.analysed for name, field in fields.items() if field.type is not None})
+        wanted = {name: (fields[name], of_field) for name, of_field in counts.items()}
         if not wanted:
             return F.lit(False)
         best = self._best_terms(docs, wanted)
@@ -177,6 +181,16 @@ class MoreLikeThis:
             shared.append(F.coalesce(F.size(held), F.lit(0)))
         return sum(shared[1:], shared[0]) >= best.getField("needed")
 
+    def most_telling(self, frequencies: DataFrame, counts: Sequence[Mapping[str, int]], n_docs: Column) -> DataFrame:
+        """The best of words (field, word, n) that n documents hold; ``counts`` are those of the like texts by field."""
+        in_like = F.lit(None).cast("int")
+        for i, of_field in enumerate(counts):
+            table = F.from_json(F.lit(json.dumps(of_field)), "map<string,int>")
+            in_like = F.when(F.col("field") == i, F.element_at(table, F.col("word"))).otherwise(in_like)
+        weight = F.round(in_like * (1 + F.log((n_docs + 1) / (F.col("n") + 1))), 9)
+        weighted = frequencies.select("field", "word", weight.alias("weight"))
+        return weighted.orderBy(F.desc("weight"), "word", "field").limit(self.max_terms)
+
     def _best_terms(self, docs: Documents, wanted: Mapping) -> Column:
         """One-row subquery: the chosen words of each field and how many must be shared."""
         term_type = "array<struct<field:int,word:string>>"
@@ -191,16 +205,7 @@ class MoreLikeThis:
             .where(F.col("n") >= self.min_doc_freq)
         )
         n_docs = docs.frame.agg(F.count(F.lit(1))).scalar()
-        in_like = F.lit(None).cast("int")
-        for i, (_, counts) in enumerate(wanted.values()):
-            table = F.from_json(F.lit(json.dumps(counts)), "map<string,int>")
-            in_like = F.when(F.col("field") == i, F.element_at(table, F.col("word"))).otherwise(in_like)
-        weight = F.round(in_like * (1 + F.log((n_docs + 1) / (F.col("n") + 1))), 9)
-        best = (
-            frequencies.select("field", "word", weight.alias("weight"))
-            .orderBy(F.desc("weight"), "word", "field")
-            .limit(self.max_terms)
-        )
+        best = self.most_telling(frequencies, [counts for _, counts in wanted.values()], n_docs)
         per_field = [
             F.collect_list(F.when(F.col("field") == i, F.col("word"))).alias(f"words_{i}") for i in range(len(wanted))
         ]

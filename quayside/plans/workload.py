@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,9 +57,11 @@ from quayside.operators.search import (
     sample_documents,
     search,
 )
+from quayside.operators.term_table import TermTable, append_terms, search_terms
 from quayside.plans.route import Route
 from quayside.plans.run import run_route
 from quayside.sources import topics
+from quayside.sources.indexes import search_index, summarise_index
 from quayside.sources.registry import read, write
 from quayside.sources.storage import scratch_folder
 
@@ -206,6 +209,38 @@ search_query(
         OR NOT {sql_everywhere('thre')}""",
 )
 
+
+
+def sql_loose(words: list[str], slop: int, field: str = "text") -> str:
+    """Documents with a place of each of different words, whose starts of the phrase are at most ``slop`` apart."""
+    starts = ", ".join(f"p{i}.i - {i}" for i in range(len(words)))
+    places = ", ".join(f"places p{i}" for i in range(len(words)))
+    same = " AND ".join([f"p{i}.w = '{word}'" for i, word in enumerate(words)] + [f"p{i}.doc_id = p0.doc_id" for i in range(1, len(words))])
+    tokens = TOKENS.format(field)
+    return f"""SELECT p0.doc_id FROM {places.replace("places", f"(SELECT doc_id, unnest({tokens}) AS w, generate_subscripts({tokens}, 1) AS i FROM documents)")}
+        WHERE {same} AND greatest({starts}) - least({starts}) <= {slop}"""
+
+
+search_query(
+    "phrase_gap",
+    QueryString('text:"the in"~3 OR text:"anat of the"~6'),
+    f"doc_id IN ({sql_loose(['the', 'in'], 3)}) OR doc_id IN ({sql_loose(['anat', 'of', 'the'], 6)})",
+)
+search_query(
+    "phrase_gap_repeated",
+    QueryString('text:"in the in"~4'),
+    f"""doc_id IN (SELECT a.doc_id FROM {{0}} a, {{0}} b, {{0}} c WHERE a.doc_id = b.doc_id AND a.doc_id = c.doc_id
+        AND a.w = 'in' AND b.w = 'the' AND c.w = 'in' AND a.i <> c.i
+        AND greatest(a.i, b.i - 1, c.i - 2) - least(a.i, b.i - 1, c.i - 2) <= 4)""".format(
+        f"(SELECT doc_id, unnest({TEXT_TOKENS}) AS w, generate_subscripts({TEXT_TOKENS}, 1) AS i FROM documents)"
+    ),
+)
+search_query(
+    "simple_gap",
+    SimpleString('"thre of"~4 | "onheed"~1'),
+    " OR ".join(f"doc_id IN ({sql_loose(['thre', 'of'], 4, field)}) OR {sql_any(['onheed'], field)}" for field in ("text", "lang", "source")),
+)
+
 COMMON_WORDS = """
 WITH chosen AS (
   SELECT word FROM (
@@ -303,6 +338,74 @@ search_query(
     " OR ".join(sql_exists(f"damerau_levenshtein({ONE_BYTE}, 'achach') <= 2", field) for field in ("text", "lang", "source")),
 )
 
+# --- searches by a table of terms ---------------------------------------------
+
+
+def in_parts(spark: SparkSession, folder: str, parts: int) -> tuple[DataFrame, TermTable]:
+    """All documents, and a table of the terms of their texts that was appended to in some batches."""
+    documents = table(spark, folder, "documents")
+    terms = TermTable(f"{scratch_folder(spark, 'terms')}/documents", ["text"], "doc_id", buckets=16)
+    for part in range(parts):
+        append_terms(documents.where(F.pmod(F.hash("doc_id"), F.lit(parts)) == part) if parts > 1 else documents, terms)
+    return documents, terms
+
+
+def term_queries(name: str, parts: int, queries: dict[str, tuple[SearchQuery, str]]) -> None:
+    """The hits of several queries that one table of terms answers, with the name of the query."""
+
+    @query(f"terms_{name}", "\nUNION ALL\n".join(f"SELECT '{label}' AS query, * FROM ({sql})" for label, (_, sql) in queries.items()))
+    def run(spark, folder):
+        documents, terms = in_parts(spark, folder, parts)
+        hits = [search_terms(documents, what, terms).select(F.lit(label).alias("query"), "*") for label, (what, _) in queries.items()]
+        return reduce(DataFrame.union, hits)
+
+
+def where(condition: str) -> str:
+    return f"SELECT * FROM documents WHERE {condition}"
+
+
+term_queries(
+    "words",
+    1,
+    {
+        "match": (Match("text", "achach Achen"), where(sql_any(["achach", "achen"]))),
+        "term": (Term("text", "thre"), where(sql_any(["thre"]))),
+        "terms": (Terms("text", ["achach", "achen", "in", "no such"]), where(sql_any(["achach", "achen", "in"]))),
+        "phrase": (
+            BoolMatchPhrase("must", [("text", "in the"), ("text", "of the")]),
+            where(f"{sql_phrase('in the')} AND {sql_phrase('of the')}"),
+        ),
+    },
+)
+term_queries(
+    "patterns",
+    2,
+    {
+        "prefix": (Prefix("text", "achk"), where(sql_exists("starts_with(t, 'achk')"))),
+        "wildcard": (Wildcard("text", "*rane*"), where(sql_exists("contains(t, 'rane')"))),
+        "ends": (Wildcard("text", "ach*n"), where(sql_exists("t LIKE 'ach%n'"))),
+        "single": (Wildcard("text", "?h?r"), where(sql_exists("t LIKE '_h_r'"))),
+        "regex": (Regex("text", "ach[a-e]+n?"), where(sql_exists("regexp_full_match(t, 'ach[a-e]+n?')"))),
+    },
+)
+term_queries(
+    "fuzzy",
+    2,
+    {
+        "long": (Fuzzy("text", "achach"), where(sql_exists(f"damerau_levenshtein({ONE_BYTE}, 'achach') <= 2"))),
+        "short": (Fuzzy("text", "thre"), where(sql_exists(f"damerau_levenshtein({ONE_BYTE}, 'thre') <= 1"))),
+    },
+)
+term_queries(
+    "frequencies",
+    3,
+    {
+        "some": (CommonTerms("text", "in the achach"), SQL["search_common_terms"]),
+        "all": (CommonTerms("text", "in the"), SQL["search_common_terms_all"]),
+        "alike": (MoreLikeThis(["text"], LIKE), SQL["search_mlt"]),
+    },
+)
+
 LABELLED_SQL = "documents LEFT JOIN labels USING (doc_id)"
 
 
@@ -479,12 +582,13 @@ def _keyed_upsert(spark, folder):
     return read(spark, target)
 
 
-@query("keyed_after_empty", "SELECT * FROM nation")
+@query("keyed_after_empty", "SELECT * FROM orders")
 def _keyed_after_empty(spark, folder):
-    """A table whose first write has no rows, then a third of them, then all."""
-    nations = table(spark, folder, "nation")
-    target = KeyedTable("shop", "nation", folder=scratch_folder(spark, "keyed"), keys=("n_nationkey",))
-    for rows in (nations.limit(0), nations.where("n_nationkey % 3 = 0").withColumn("n_name", F.lower("n_name")), nations):
+    """A table whose first write has no rows, then the finished ones, changed, then all."""
+    orders = table(spark, folder, "orders")
+    target = KeyedTable("shop", "orders", folder=scratch_folder(spark, "keyed"), keys=("o_orderkey",))
+    finished = orders.where("o_orderstatus = 'F'").withColumn("o_orderpriority", F.lower("o_orderpriority"))
+    for rows in (orders.limit(0), finished, orders):
         write(rows, target, "append")
     return read(spark, target)
 
@@ -622,6 +726,75 @@ def _apply_mapping(spark, folder):
     return typed.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
+TURNS = "array<struct<turn:string,role:string,text:string>>"
+
+
+def threads(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as documents with their turns inside, all values strings, and the title and language of a document."""
+    turns = stringify(table(spark, folder, "conversations"))
+    turns = turns.groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role", "text")).cast(TURNS).alias("turns"))
+    documents = stringify(table(spark, folder, "documents")).select("doc_id", F.struct("lang", "n_chars").alias("about"))
+    return turns.join(documents, F.col("conv_id") == F.col("doc_id"), "left").drop("doc_id")
+
+
+THREADS = "FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id GROUP BY c.conv_id"
+
+
+@query(
+    "apply_mapping_nested",
+    """SELECT conv_id, turn, 2 * turn AS twice, c.role, c.text, n_chars + 1 AS n_chars
+       FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id""",
+)
+def _apply_mapping_nested(spark, folder):
+    about = {"properties": {"n_chars": {"type": "long"}, "lang": {"type": "keyword"}}}
+    turns = {"type": "nested", "properties": {"turn": {"type": "long"}, "text": {"type": "text"}}}
+    typed = apply_mapping(threads(spark, folder), {"properties": {"conv_id": {"type": "long"}, "about": about, "turns": turns}})
+    rows = typed.select("conv_id", (F.col("about.n_chars") + 1).alias("n_chars"), F.inline("turns"))
+    return rows.withColumn("twice", 2 * F.col("turn"))
+
+
+def nested_search(name: str, what: SearchQuery, having: str, mapping=None) -> None:
+    @query(f"search_nested_{name}", f"SELECT c.conv_id, count(*) AS n_turns {THREADS} HAVING {having}")
+    def run(spark, folder):
+        typed = apply_mapping(threads(spark, folder), {"conv_id": "long", "turns.turn": "long", "about.n_chars": "long"})
+        found = search(typed, what, mapping, "conv_id")
+        return found.select("conv_id", F.size("turns").cast("long").alias("n_turns"))
+
+
+nested_search("path", Match("turns.text", "achach anat"), f"bool_or({sql_any(['achach', 'anat'], 'c.text')})")
+nested_search("phrase", BoolMatchPhrase("must", [("turns.text", "of the")]), f"bool_or({sql_phrase('of the', 'c.text')})")
+nested_search("keyword", Term("turns.role", "system"), "bool_or(c.role = 'system')", {"turns": {"properties": {"role": {"type": "keyword"}}}})
+nested_search("range", Range("long", "turns.turn", gte="6"), "max(turn) >= 6")
+nested_search("struct", Exists("about.lang"), "count(d.lang) > 0")
+nested_search(
+    "query_string",
+    QueryString("turns.text:thre* AND -about.lang:en OR turns.role:(system)"),
+    f"""NOT coalesce(any_value(d.lang) = 'en', false)
+        AND bool_or({sql_exists("starts_with(t, 'thre')", 'c.text')})""",
+)
+nested_search("everywhere", QueryString("achach"), f"bool_or({sql_any(['achach'], 'c.text')})")
+
+
+# --- files that a search need not read ----------------------------------------
+
+
+def bitmap_query(name: str, what: SearchQuery, where: str) -> None:
+    """Documents in several files, most of them with a bitmap of their tokens, the last ones written later."""
+
+    @query(f"skipped_{name}", f"SELECT * FROM documents WHERE {where}")
+    def run(spark, folder):
+        documents = table(spark, folder, "documents")
+        index = Index("documents", folder=scratch_folder(spark, "bitmaps"), id_column="doc_id")
+        write(documents.where("doc_id % 5 > 0").repartitionByRange(12, "doc_id"), index)
+        summarise_index(spark, index, ["text"])
+        write(documents.where("doc_id % 5 = 0"), index)
+        return search_index(spark, index, what).drop("_id")
+
+
+bitmap_query("match", Match("text", "achach"), sql_any(["achach"]))
+bitmap_query("phrase", BoolMatchPhrase("must", [("text", "anat of")]), sql_phrase("anat of"))
+
+
 # --- datasets and streams --------------------------------------------------
 
 
@@ -641,6 +814,22 @@ def _ingest_datasets(spark, folder):
     return read(spark, target)
 
 
+@query(
+    "ingest_mixed_headers",
+    """SELECT doc_id, text, CASE WHEN lang = 'en' THEN lang END AS lang, CASE WHEN lang <> 'en' THEN source END AS source, n_chars
+       FROM documents WHERE lang IS NOT NULL""",
+)
+def _ingest_mixed_headers(spark, folder):
+    """CSV folders with other columns in another order, read at once."""
+    root, documents = scratch_folder(spark, "headers"), table(spark, folder, "documents")
+    fmt = Csv(separator=";", multiline=True)
+    write(documents.where("lang = 'en'").select("doc_id", "lang", "text", "n_chars"), File(fmt, f"{root}/in/english"), "errorifexists")
+    write(documents.where("lang <> 'en'").select("text", "n_chars", "source", "doc_id"), File(fmt, f"{root}/in/others"), "errorifexists")
+    target = File(Parquet(), f"{root}/out", schema=documents.schema)
+    run_route(spark, Route(File(fmt, f"{root}/in", schema=documents.schema), target, save_mode="overwrite"))
+    return read(spark, target)
+
+
 @query("ingest_datasets_xlsx", "SELECT *, 'folder=' || event_type AS dataset FROM events")
 def _ingest_datasets_xlsx(spark, folder):
     root = scratch_folder(spark, "datasets")
@@ -755,6 +944,25 @@ def _stream_latest(spark, folder):
     return read(spark, target)
 
 
+@query(
+    "stream_without_schema",
+    """SELECT event_id, event_type, NULL::DOUBLE AS value, NULL::VARCHAR AS props FROM events WHERE event_id % 2 = 0
+       UNION ALL SELECT event_id, NULL, value, props FROM events WHERE event_id % 2 = 1
+       UNION ALL SELECT event_id, event_type, NULL, NULL FROM events WHERE event_type = 'purchase'""",
+)
+def _stream_without_schema(spark, folder):
+    """Messages whose fields become more from one run of a stream to the next."""
+    events = table(spark, folder, "events")
+    topic = Topic("events", folder=scratch_folder(spark, "topic"))
+    target = Index("events", folder=f"{topic.folder}/indexes")
+    route = Route(follow(topic), target)
+    few = events.select("event_id", "event_type")
+    for rows in (few.where("event_id % 2 = 0"), events.where("event_id % 2 = 1").select("event_id", "value", "props"), few.where("event_type = 'purchase'")):
+        write(rows, topic)
+        run_route(spark, route)
+    return read(spark, target).drop("_id")
+
+
 @query("stream_quarantine", "SELECT text AS value FROM conversations")
 def _stream_quarantine(spark, folder):
     topic = events_topic(spark, folder)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, NumericType, StringType, StructField, StructType
 
 from quayside.endpoints import Avro, Csv, File, FileFormat, Json, Orc, Parquet, Xlsx, Xml
 from quayside.functions.messages import CORRUPT
@@ -84,6 +87,9 @@ def load(spark: SparkSession, endpoint: File, stream: bool = False) -> DataFrame
         file_path = F.col(xlsx.FILE_COLUMN)
     else:
         reader = reader.format(source_name(fmt)).options(**read_options(fmt, schema))
+        groups = files_by_header(spark, endpoint) if isinstance(fmt, Csv) and fmt.header and not stream else []
+        if len(groups) > 1:
+            return _united([_of_group(spark, endpoint, paths) for paths in groups], schema)
         rows = (reader if schema is None else reader.schema(schema)).load(endpoint.path)
         file_path = _decoded(F.col("_metadata.file_path"))
     if endpoint.datasets:
@@ -92,6 +98,63 @@ def load(spark: SparkSession, endpoint: File, stream: bool = False) -> DataFrame
     return rows.drop(xlsx.FILE_COLUMN)
 
 
+def files_by_header(spark: SparkSession, endpoint: File) -> list[list[str]]:
+    """The files of a CSV folder, those with the same first line together; empty ones are left out.
+
+    Only first lines are read, by threads of the driver, which has listed the files anyway.
+    """
+    found = spark.read.option("recursiveFileLookup", True).text(endpoint.path).inputFiles()
+    paths = sorted(unquote(path) for path in found)
+    if len(paths) < 2:
+        return [paths]
+    with ThreadPoolExecutor(min(32, len(paths))) as threads:
+        headers = list(threads.map(lambda path: storage.first_line(spark, path), paths))
+    groups: dict[bytes, list[str]] = {}
+    for path, header in zip(paths, headers, strict=True):
+        header = header.removeprefix(b"\xef\xbb\xbf").rstrip(b"\r")
+        if header:
+            groups.setdefault(header, []).append(path)
+    return list(groups.values())
+
+
+def _of_group(spark: SparkSession, endpoint: File, paths: list[str]) -> DataFrame:
+    """Files with the same columns, in one scan; columns that a schema does not have are left out."""
+    fmt, schema = endpoint.format, endpoint.schema
+    escaped = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]  # names are no patterns
+    reader = spark.read.format("csv").options(**read_options(fmt, schema))
+    if schema is None and fmt.infer_schema:
+        rows = reader.load(escaped)
+    else:
+        header = read_options(fmt, None) | {"inferSchema": False, "multiLine": False}
+        names = spark.read.format("csv").options(**header).load(escaped).columns
+        known = {} if schema is None else {field.name: field for field in schema.fields}
+        wanted = [known.get(name, StructField(name, StringType())) for name in names]
+        corrupt = [known[CORRUPT]] if CORRUPT in known else []
+        rows = reader.schema(StructType(wanted + corrupt)).load(escaped)
+    if schema is not None:
+        rows = rows.select(*[f"`{n}`" for n in rows.columns if n in schema.names], *(["_metadata"] if endpoint.datasets else []))
+    if not endpoint.datasets:
+        return rows
+    root = storage.qualified(spark, endpoint.path)
+    return rows.withColumn("dataset", dataset_of(_decoded(F.col("_metadata.file_path")), root)).drop("_metadata")
+
+
+def _united(groups: list[DataFrame], schema: StructType | None) -> DataFrame:
+    """All rows with all columns, NULL where a file does not have one; strings where files differ in more than the size of numbers."""
+    kinds: dict[str, list] = {}
+    for group in groups:
+        for field in group.schema.fields:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    mixed = {n for n, k in kinds.items() if len({*k}) > 1 and not all(isinstance(x, NumericType) for x in k)}
+    groups = [g.withColumns({n: F.col(f"`{n}`").cast("string") for n in mixed if n in g.columns}) if mixed else g for g in groups]
+    rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), groups)
+    if schema is None:
+        return rows
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in rows.columns}
+    rows = rows.withColumns(missing) if missing else rows
+    return rows.select(*[f"`{n}`" for n in schema.names], *(["dataset"] if "dataset" in rows.columns and "dataset" not in schema.names else []))
+
+
 def _decoded(text: Column) -> Column:
     return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 

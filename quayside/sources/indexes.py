@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.endpoints import Index
 from quayside.operators.search import MultiMatch, QueryString, SearchQuery, search
+from quayside.sources.file_bitmaps import summarise, worth_reading
 from quayside.sources.index_query import request
 
 INDEX_SOURCE = "org.elasticsearch.spark.sql"
@@ -45,7 +46,8 @@ def read_index(spark: SparkSession, index: Index) -> DataFrame:
 def search_index(spark: SparkSession, index: Index, query: SearchQuery, mapping: Mapping | None = None) -> DataFrame:
     """Documents that meet the query; a cluster evaluates it itself."""
     if index.folder is not None:
-        return search(read_index(spark, index), query, mapping, ID)
+        documents = worth_reading(read_index(spark, index), index_path(index), query, mapping)
+        return search(documents, query, mapping, ID)
     if isinstance(getattr(query, "ids", getattr(query, "values", None)), DataFrame):
         return search(_read_cluster(spark, index, None), query, mapping, ID)
     if not isinstance(query, MultiMatch):
@@ -55,6 +57,13 @@ def search_index(spark: SparkSession, index: Index, query: SearchQuery, mapping:
     return every.dropDuplicates([ID]) if query.dedupe else every
 
 
+def summarise_index(spark: SparkSession, index: Index, fields: Sequence[str], mapping: Mapping | None = None) -> None:
+    """Keep bitmaps of the tokens of the files that have none yet, so that searches for rare words skip files."""
+    if index.folder is None:
+        raise ValueError("a cluster keeps its own")
+    summarise(read_index(spark, index), index_path(index), fields, mapping)
+
+
 def with_ids(frame: DataFrame, index: Index) -> DataFrame:
     """Documents with their ids: taken from a column, kept, or made up."""
     if index.id_column is not None:

@@ -32,6 +32,14 @@ def sub_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith((".", "_")))
 
 
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in a folder, hidden ones left out; none if it is not there."""
+    target, fs = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(target) if s.isFile()) if not n.startswith((".", "_")))
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file as a whole: readers find all of it or none."""
     target, fs = hadoop_path(spark, path)
@@ -46,6 +54,22 @@ def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.option("wholetext", True).text(path).first()[0]
 
 
+def first_line(spark: SparkSession, path: str, longest: int = 1 << 16) -> bytes:
+    """The first line of a file, unpacked where its name says that it is packed; a longer one is cut."""
+    jvm = spark._jvm
+    target, fs = hadoop_path(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(target)
+    stream = fs.open(target)
+    try:
+        unpacked = stream if codec is None else codec.createInputStream(stream)
+        line = jvm.org.apache.hadoop.io.Text()
+        reader = jvm.org.apache.hadoop.util.LineReader(unpacked)
+        reader.readLine(line, longest)
+        return bytes(line.copyBytes())
+    finally:
+        stream.close()
+
+
 def has_visible(spark: SparkSession, path: str) -> bool:
     """Does the folder exist and hold anything that Spark would read?"""
     target, fs = hadoop_path(spark, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from datetime import datetime, timezone
 
@@ -92,12 +93,31 @@ def decode(raw: DataFrame, topic: Topic) -> DataFrame:
     schema = topic.schema
     if schema is None:
         if raw.isStreaming:
-            raise ValueError("a streaming topic needs a schema")
+            raise ValueError("a stream without a schema is decoded batch by batch")
         schema = messages.infer_json_schema(raw)
     mode = "FAILFAST" if topic.malformed == "fail" else "PERMISSIVE"
     return messages.json_to_columns(raw, schema, mode=mode)
 
 
+def learned_schema(raw: DataFrame, topic: Topic) -> T.StructType:
+    """The schema of the messages of all batches of a stream up to this one, kept beside its checkpoint.
+
+    It only ever grows: a new field is added, a type is widened. Each change is a file of
+    its own, written before the batch is, so that a batch which is run again after a
+    failure, and a stream which is started again, know at least what was known before.
+    """
+    spark, folder = raw.sparkSession, f"{topic.checkpoint.rstrip('/')}/schemas"
+    versions = [name for name in storage.files_in(spark, folder) if name.endswith(".json")]
+    known = T.StructType()
+    if versions:
+        known = T.StructType.fromJson(json.loads(storage.read_text(spark, f"{folder}/{versions[-1]}")))
+    schema = messages.widen_json_schema(known, raw)
+    if schema != known:
+        storage.make_folder(spark, folder)
+        storage.write_text(spark, f"{folder}/{len(versions) + 1:08d}.json", schema.json())
+    return schema
+
+
 # --- writing ---------------------------------------------------------------
 
 

@@ -5,6 +5,9 @@ with ``overwrite``: a batch that is run again after a failure replaces itself.
 Keyed tables take repeated rows by key. A broker takes the stream directly. A
 JDBC table or a search cluster without document ids may see a repeated batch
 twice.
+
+A topic without a schema is typed batch by batch, by a schema that grows and is kept
+beside the checkpoint: fields that appear later arrive from then on.
 """
 
 from __future__ import annotations
@@ -56,34 +59,47 @@ def write_batch(frame: DataFrame, output: Endpoint, folder: str) -> None:
 
 def start_stream(spark: SparkSession, route: Route) -> StreamingQuery:
     source, output = route.input, route.output
+    learns = isinstance(source, Topic) and source.schema is None and not route.is_mirror
     if route.is_mirror:
         rows = mirror_pairs(topics.stream_messages(spark, source), route)
+    elif learns:
+        rows = topics.stream_messages(spark, source)
     else:
         rows = read_stream(spark, source)
         if not sets_aside(source):
             rows = shape(rows, route)
     to_pairs = isinstance(output, Topic) and not route.is_mirror
 
-    if isinstance(output, Topic) and output.brokers is not None:
+    if isinstance(output, Topic) and output.brokers is not None and not learns:
         pairs = topics.to_messages(rows, output) if to_pairs else rows
         writer = pairs.writeStream.format("kafka").options(**topics.write_options(output))
         return _triggered(writer, source).option("checkpointLocation", source.checkpoint).start()
 
     def handle(frame: DataFrame, batch_id: int) -> None:
         folder = _batch_folder(frame, batch_id)
-        parsed = None
-        if sets_aside(source) and not route.is_mirror:
-            parsed = frame.persist()  # parsed once for both writes
-            frame = shape(messages.well_formed(parsed), route)
-        if to_pairs:
-            frame = topics.to_messages(frame, output)
+        parsed = raw = None
         try:
-            write_batch(frame, output, folder)
+            if learns:
+                raw = frame.persist()  # read once for the schema and the rows
+                schema = topics.learned_schema(raw, source)
+                if not schema.fields and raw.isEmpty():
+                    return
+                frame = topics.decode(raw, replace(source, schema=schema))
+                if not sets_aside(source):
+                    frame = shape(frame, route)
+            if sets_aside(source) and not route.is_mirror:
+                parsed = frame.persist()  # parsed once for both writes
+                frame = shape(messages.well_formed(parsed), route)
+            if to_pairs:
+                frame = topics.to_messages(frame, output)
+            if frame.columns:  # none as long as every message was malformed
+                write_batch(frame, output, folder)
             if parsed is not None:
                 set_aside_malformed(parsed, source, folder)
         finally:
-            if parsed is not None:
-                parsed.unpersist()
+            for kept in (parsed, raw):
+                if kept is not None:
+                    kept.unpersist()
 
     writer = rows.writeStream.foreachBatch(handle).option("checkpointLocation", source.checkpoint)
     return _triggered(writer, source).start()

@@ -15,7 +15,7 @@ from pyspark.errors import PySparkException
 
 from quayside import Avro, Csv, File, Json, Orc, Parquet, Route, Xlsx, Xml, read, run_route, write
 from quayside.sources import xlsx
-from tests.conftest import same_rows
+from tests.conftest import plan_of, same_rows
 
 FORMATS = {
     "json": Json(),
@@ -311,3 +311,50 @@ print("rows", read(spark, target).count(), read(spark, target).where("text = 'x'
         [sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=200
     )
     assert "rows 7 7" in run.stdout, run.stderr[-3000:]
+
+
+def test_files_of_a_folder_may_have_other_columns(spark, folder):
+    """Files are grouped by their header, one scan each; columns are matched by name."""
+    texts = {
+        "a/1.csv": "id;name;n\n1;one;10\n2;;\n",
+        "a/2.csv": "id;name;n\n3;three;30\n",
+        "b/x [1]%20.csv": "n;extra;id\n40;\"a\nb\";4\n",
+        "b/only header.csv": "other\n",
+        "c/empty.csv": "",
+        "c/bom.csv": "\ufeffid;name;n\n5;five;50\n",
+    }
+    for name, text in texts.items():
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        with open(f"{folder}/{name}", "w", newline="") as out:
+            out.write(text)
+    fmt = Csv(separator=";", multiline=True)
+    found = read(spark, File(fmt, folder))
+    assert sorted(found.columns) == ["extra", "id", "n", "name", "other"]
+    rows = {r.id: (r.name, r.n, r.extra, r.other) for r in found.collect()}
+    assert rows == {"1": ("one", "10", None, None), "2": (None, None, None, None), "3": ("three", "30", None, None), "4": (None, "40", "a\nb", None), "5": ("five", "50", None, None)}
+    assert plan_of(found).count("Scan csv") == 3
+
+    schema = spark.createDataFrame([], "n int, id long, extra string, nowhere double").schema
+    typed = read(spark, File(fmt, folder, schema=schema, datasets=True))
+    assert typed.columns == ["n", "id", "extra", "nowhere", "dataset"]
+    assert sorted((r.id, r.n, r.dataset) for r in typed.collect()) == [(1, 10, "a"), (2, None, "a"), (3, 30, "a"), (4, 40, "b"), (5, 50, "c")]
+
+    inferred = read(spark, File(Csv(separator=";", multiline=True, infer_schema=True), f"{folder}/a"))
+    assert dict(inferred.dtypes) == {"id": "int", "name": "string", "n": "int"}
+    assert plan_of(inferred).count("Scan csv") == 1
+
+
+def test_inferred_types_that_differ_are_strings(spark, folder):
+    for name, text in {"1.csv": "a,b\n1,2\n", "2.csv": "b,a,c\nx,2.5,9\n"}.items():
+        with open(f"{folder}/{name}", "w") as out:
+            out.write(text)
+    found = read(spark, File(Csv(infer_schema=True), folder))
+    assert dict(found.dtypes) == {"a": "double", "b": "string", "c": "int"}
+    assert sorted(tuple(r) for r in found.select("a", "b", "c").collect()) == [(1.0, "2", None), (2.5, "x", 9)]
+
+
+def test_packed_files_have_headers(spark, folder):
+    spark.createDataFrame([(1, "x")], "a int, b string").write.option("header", True).option("compression", "gzip").csv(f"{folder}/1")
+    spark.createDataFrame([("y", 2)], "b string, c int").write.option("header", True).csv(f"{folder}/2")
+    found = read(spark, File(Csv(), folder))
+    assert sorted((r.a or "", r.b, r.c or "") for r in found.collect()) == [("", "y", "2"), ("1", "x", "")]

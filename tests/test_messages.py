@@ -99,3 +99,29 @@ def test_mapping_casts_named_fields(spark):
     assert typed.dtypes == [("a", "bigint"), ("b", "float"), ("c", "timestamp"), ("d", "string"), ("e", "boolean")]
     assert typed.first()["c"] == dt.datetime(2024, 5, 6, 7, 8, 9)
     assert {t for _, t in stringify(typed).dtypes} == {"string"}
+
+
+def test_widened_types(spark):
+    def kind(ddl):
+        return spark.createDataFrame([], f"x {ddl}").schema["x"].dataType
+
+    for known, other, both in [
+        ("bigint", "bigint", "bigint"),
+        ("bigint", "double", "double"),
+        ("bigint", "string", "string"),
+        ("boolean", "bigint", "string"),
+        ("array<bigint>", "array<double>", "array<double>"),
+        ("array<bigint>", "string", "string"),
+        ("struct<a:bigint,b:string>", "struct<c:boolean,a:double>", "struct<a:double,b:string,c:boolean>"),
+        ("array<struct<a:bigint>>", "array<struct<b:bigint>>", "array<struct<a:bigint,b:bigint>>"),
+        ("struct<a:bigint>", "array<bigint>", "string"),
+    ]:
+        assert messages.widened(kind(known), kind(other)) == kind(both)
+
+
+def test_texts_that_are_no_objects_widen_nothing(spark):
+    known = spark.createDataFrame([], "a bigint").schema
+    frame = spark.createDataFrame([("oops",), ("[1]",), ("3",), (None,)], "value string")
+    assert messages.widen_json_schema(known, frame) == known
+    more = frame.union(spark.createDataFrame([('{"b": [1, 2.5]}',)], "value string"))
+    assert messages.widen_json_schema(known, more).simpleString() == "struct<a:bigint,b:array<double>>"

@@ -1,6 +1,7 @@
 """Route rules, summaries, datasets and streams."""
 
 import glob
+import os
 import time
 from dataclasses import replace
 from types import SimpleNamespace
@@ -325,3 +326,39 @@ def test_files_are_read_once_and_archived(spark, folder, fmt):
     assert glob.glob(f"{folder}/processed/**/part-*", recursive=True)
     assert all("/dataset=set-" in path for path in glob.glob(f"{folder}/out/**/part-*", recursive=True))
     assert {path.split("/")[-2][:6] for path in glob.glob(f"{folder}/out/*/_SUCCESS")} <= {"batch-"}
+
+
+@pytest.mark.parametrize("malformed", ["fail", "keep", "folder"])
+def test_a_stream_without_a_schema_learns_it(spark, folder, malformed):
+    """Fields of later messages arrive, types grow, and a stream that is started again goes on from there."""
+    aside = f"{folder}/bad" if malformed == "folder" else malformed
+    topic = Topic("t", folder=f"{folder}/topic", mode=AvailableNow(), checkpoint=f"{folder}/checkpoint", malformed=aside)
+    target = File(Json(), f"{folder}/out")
+    route = Route(topic, target, save_mode="append")
+    bad = [] if malformed == "fail" else ["oops", "[1]"]
+    batches = [
+        [],
+        bad,
+        ['{"id": 1, "in": {"a": 1}}', '{"id": 2}'],
+        [],
+        ['{"id": 3, "name": "x", "in": {"b": [true]}}', *bad],
+        ['{"id": 4.5, "in": {"a": "text"}}'],
+        ['{"id": 5}'],
+    ]
+    for values in batches:
+        if values:
+            topics.publish(spark.createDataFrame([(None, v) for v in values], "key string, value string"), topic)
+        run_route(spark, route)
+    rows = {r["id"]: r for r in read(spark, target).where("id is not null").collect()}
+    assert sorted(rows) == [1, 2, 3, 4.5, 5]
+    assert rows[3]["name"] == "x" and rows[3]["in"]["b"] == [True] and rows[4.5]["in"]["a"] == "text" and rows[1]["in"]["a"] in ("1", 1)
+    if malformed == "keep":
+        assert sorted(r["_corrupt_record"] for r in read(spark, target).where("_corrupt_record is not null").collect()) == sorted(bad * 2)
+    if malformed == "folder":
+        assert sorted(r["value"] for r in spark.read.option("recursiveFileLookup", True).json(f"{folder}/bad").collect()) == sorted(bad * 2)
+    versions = sorted(glob.glob(f"{folder}/checkpoint/schemas/*.json"))
+    assert [os.path.basename(v) for v in versions] == ["00000001.json", "00000002.json", "00000003.json"]
+    if malformed == "fail":
+        topics.publish(spark.createDataFrame([(None, "oops")], "key string, value string"), topic)
+        with pytest.raises(Exception, match="MALFORMED"):
+            run_route(spark, route)

@@ -1,0 +1,215 @@
+"""Searches by a table of terms, against the scan."""
+
+import random
+import string
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quayside.functions import tokens as tk
+from quayside.operators import term_table as tt
+from quayside.operators.search import (
+    BoolMatchPhrase,
+    CommonTerms,
+    Exists,
+    Fuzzy,
+    Match,
+    MoreLikeThis,
+    Prefix,
+    Regex,
+    SimpleString,
+    Term,
+    Terms,
+    Wildcard,
+    search,
+)
+from tests.conftest import plan_of, same_rows
+
+random_ = random.Random(8)
+WORDS = ["".join(random_.choices("abcé", k=random_.randint(1, 6))) for _ in range(150)]
+LONG = "".join(random_.choices(string.ascii_lowercase, k=30))
+TEXTS = [" ".join(random_.choices(WORDS, k=random_.randint(0, 30))) for _ in range(90)]
+TEXTS += [None, "", " .,", "The_quick Brown-fox", "x" * 3000, LONG, LONG[:-2], LONG[1:] + "z", LONG[:24], LONG[:26], "日本語 テキスト", "a\x02b 1é2"]
+ROWS = [(f"d{i}", text, f"t{i % 7} common", [text, "extra words"] if i % 3 else None) for i, text in enumerate(TEXTS)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, "_id string, text string, title string, many array<string>")
+
+
+@pytest.fixture(scope="module")
+def table(spark, docs, tmp_path_factory):
+    table = tt.TermTable(str(tmp_path_factory.mktemp("terms")), ["text", "title", "many"], buckets=8)
+    for part in range(3):
+        tt.append_terms(docs.where(F.pmod(F.hash("_id"), F.lit(3)) == part), table)
+    return table
+
+
+QUERIES = [
+    Match("text", f"{WORDS[0]} {WORDS[1].upper()}"),
+    Match("text", "... "),
+    Match("many", "extra"),
+    Term("text", WORDS[2]),
+    Term("text", WORDS[2].upper() + "A"),
+    Terms("text", WORDS[:40] + ["no-token", "nowhere"]),
+    Terms("text", []),
+    Prefix("text", "ab"),
+    Prefix("text", ""),
+    Prefix("text", "a b"),
+    Wildcard("text", "*ab*"),
+    Wildcard("text", "*abc*"),
+    Wildcard("text", "a*é"),
+    Wildcard("text", "??"),
+    Wildcard("text", "*"),
+    Wildcard("text", "the_q*"),
+    Wildcard("text", "a.b*"),
+    Regex("text", "ab.*"),
+    Regex("text", "(ab|ba)c*"),
+    Regex("text", "a+b?c{1,2}"),
+    Regex("text", "[^a]+bc"),
+    Regex("text", "abca?"),
+    Regex("text", "a\\w*"),
+    Fuzzy("text", "abcab"),
+    Fuzzy("text", "ab"),
+    Fuzzy("text", WORDS[3], 2),
+    Fuzzy("text", LONG),
+    Fuzzy("text", LONG[:25]),
+    Fuzzy("text", LONG[:23] + "zz"),
+    CommonTerms("text", " ".join(WORDS[:5]), 0.1),
+    CommonTerms("title", "common t3"),
+    CommonTerms("title", "common"),
+    CommonTerms("text", ".."),
+    MoreLikeThis(["text"], [" ".join(WORDS[:20])]),
+    MoreLikeThis(["text", "title"], ["t1 common " + " ".join(WORDS[5:9])], min_doc_freq=1, max_terms=4),
+    MoreLikeThis(["text"], ["nowhere"]),
+    BoolMatchPhrase("must", [("text", f"{TEXTS[0].split()[1]} {TEXTS[0].split()[2]}")]),
+    BoolMatchPhrase("must", [("text", "brown FOX"), ("title", "common")]),
+    BoolMatchPhrase("must", [("text", "..")]),
+    BoolMatchPhrase("must", [("many", "words a")]),
+    BoolMatchPhrase("must-not", [("text", WORDS[0])]),
+    BoolMatchPhrase("must", []),
+    Exists("text"),
+    SimpleString(WORDS[0]),
+    Match("nothing", "a"),
+]
+
+
+@pytest.mark.parametrize("query", QUERIES, ids=lambda q: type(q).__name__)
+def test_same_rows_as_the_scan(docs, table, query):
+    def ids(frame):
+        assert frame.columns == docs.columns
+        return sorted(row["_id"] for row in frame.collect())
+
+    assert ids(tt.search_terms(docs, query, table)) == ids(search(docs, query))
+
+
+def test_only_the_buckets_of_the_words_are_read_and_texts_are_not_cut(docs, table):
+    for query in (Match("text", "abc"), Term("text", "abc"), Terms("text", ["abc", "ab"]), Fuzzy("text", "abcab"), Wildcard("text", "*abc*")):
+        plan = plan_of(tt.search_terms(docs, query, table))
+        assert "regexp_extract_all" not in plan and "RLIKE" not in plan
+        assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_documents_must_be_named_once(spark, tmp_path):
+    table = tt.TermTable(str(tmp_path), ["text"])
+    for rows in ([("a", "x"), ("a", "y")], [(None, "x")]):
+        with pytest.raises(ValueError, match="_id"):
+            tt.append_terms(spark.createDataFrame(rows, "_id string, text string"), table)
+    with pytest.raises(ValueError, match="n is no text"):
+        tt.append_terms(spark.createDataFrame([("a", 1)], "_id string, n int"), tt.TermTable(str(tmp_path), ["n"]))
+
+
+def test_before_and_after_an_empty_batch(spark, tmp_path):
+    table = tt.TermTable(str(tmp_path), ["text"], "k")
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "k long, text string")
+    assert tt.search_terms(docs, Match("text", "one"), table).isEmpty()
+    tt.append_terms(docs.limit(0), table)
+    for query in (Match("text", "one"), Prefix("text", "o"), Fuzzy("text", "onne"), Wildcard("text", "*one*"), CommonTerms("text", "one")):
+        assert tt.search_terms(docs, query, table).isEmpty()
+    tt.append_terms(docs, table)
+    assert [r.k for r in tt.search_terms(docs, Fuzzy("text", "onne"), table).collect()] == [1]
+
+
+def test_an_append_that_failed_leaves_nothing_to_find(spark, tmp_path, monkeypatch):
+    table = tt.TermTable(str(tmp_path), ["text"], "k")
+    docs = spark.createDataFrame([(1, "one two"), (2, "two")], "k long, text string")
+    write, done = tt._write, []
+
+    def breaks(rows, table, name, *rest):
+        if name == "grams":
+            raise OSError("gone")
+        done.append(name)
+        write(rows, table, name, *rest)
+
+    monkeypatch.setattr(tt, "_write", breaks)
+    with pytest.raises(OSError):
+        tt.append_terms(docs.where("k = 1"), table)
+    assert done == ["postings", "words", "variants"]
+    monkeypatch.undo()
+    assert tt.search_terms(docs, Match("text", "one"), table).isEmpty()
+    tt.append_terms(docs, table)
+    assert tt.search_terms(docs, Wildcard("text", "*tw*"), table).count() == 2
+    counts = tt._read(spark, table, "words").groupBy("term").agg(F.sum("n_docs").alias("n")).collect()
+    assert {r.term: r.n for r in counts} == {"one": 1, "two": 2}
+
+
+def test_no_query_counts_in_the_documents(docs, table):
+    for query in (CommonTerms("text", " ".join(WORDS[:5]), 0.1), MoreLikeThis(["text"], [" ".join(WORDS[:20])])):
+        plan = plan_of(tt.search_terms(docs, query, table))
+        assert "Subquery" not in plan and "regexp_extract_all" not in plan
+
+
+SMALL = st.text("abcé", max_size=5)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(SMALL, min_size=1, max_size=12), st.lists(SMALL, min_size=1, max_size=30))
+def test_fuzzy_terms_share_a_variant(spark, words, terms):
+    """The join misses no pair within two edits, swaps included."""
+    pairs = spark.createDataFrame([(w, t) for w in {*words} for t in {*terms}], "word string, term string")
+    found = tt.fuzzy_terms(
+        spark.createDataFrame([(w, 2) for w in {*words}], "word string, edits int"),
+        spark.createDataFrame([("text", t) for t in {*terms}], "field string, term string").withColumn(
+            "variant", F.explode(tt.variants_of(F.col("term")))
+        ),
+    )
+    found = {(r.word, r.term) for r in found.collect()}
+    near = {w: {r.term for r in pairs.where(F.col("word") == w).where(tk.within_edits(F.col("term"), w, 2)).collect()} for w in {*words}}
+    assert all((w, t) in found for w, those in near.items() for t in those)
+
+
+def test_required_grams():
+    assert tt.wildcard_grams("*rane*") == ["ane", "ran"]
+    assert tt.wildcard_grams("ab*c") == ["\x02ab"]
+    assert tt.wildcard_grams("a?b*") == []
+    assert tt.regex_grams("abc") == sorted(["\x02ab", "abc", "bc\x03"])
+    assert tt.regex_grams("abc?d") == ["\x02ab"]
+    assert tt.regex_grams("ab+cde") == sorted(["\x02ab", "cde", "de\x03"])
+    assert tt.regex_grams("xyz.*[ab]uvw") == sorted(["\x02xy", "xyz", "uvw", "vw\x03"])
+    for pattern in ("a|b", "(abc)", "abc{2}", r"a\w", "^abc$", "[a[b]]cde"):
+        assert tt.regex_grams(pattern) == []
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text("ab.*+?[]", max_size=7), st.lists(st.text("ab", min_size=1, max_size=6), max_size=8))
+def test_grams_of_a_pattern_are_in_every_match(pattern, terms):
+    import re
+
+    try:
+        compiled = re.compile(pattern)
+    except (re.error, FutureWarning):
+        return
+    for term in terms:
+        if compiled.fullmatch(term):
+            marked = f"\x02{term}\x03"
+            assert all(gram in marked for gram in tt.regex_grams(pattern)), (pattern, term)
+
+
+def test_table_agrees_after_more_documents(spark, docs, tmp_path):
+    table = tt.TermTable(str(tmp_path), ["text"])
+    tt.append_terms(docs.where("_id < 'd5'"), table)
+    tt.append_terms(docs.where("_id >= 'd5'"), table)
+    assert same_rows(tt.search_terms(docs, Prefix("text", "ab"), table).select("_id"), search(docs, Prefix("text", "ab")).select("_id"))

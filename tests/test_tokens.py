@@ -1,5 +1,8 @@
 """Word predicates against plain Python over the same rules."""
 
+import itertools
+import random
+
 import regex
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -59,6 +62,31 @@ def test_phrase(spark):
         assert found(frame(spark), tk.has_phrase(F.col("text"), phrase)) == want
 
 
+def loosely(tokens, phrase, slop):
+    """All choices of different places."""
+    places = [[i for i, t in enumerate(tokens) if t == word] for word in phrase]
+    for choice in itertools.product(*places):
+        starts = [p - i for i, p in enumerate(choice)]
+        if len({*choice}) == len(choice) and max(starts) - min(starts) <= slop:
+            return True
+    return False
+
+
+def test_loose_phrase(spark):
+    random_ = random.Random(3)
+    texts = [" ".join(random_.choices("abcd", k=random_.randint(0, 12))) for _ in range(120)] + TEXTS
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    phrases = ["a b", "b a", "a a", "a b c", "c a b", "a b a", "a a b b", "a b a b a", "a x b", "d", "quick fox", "the other"]
+    conditions = {
+        (phrase, slop): tk.has_loose_phrase(F.col("text"), phrase.split(), slop) for phrase in phrases for slop in (0, 1, 2, 3, 7, 1 << 20)
+    }
+    names = {f"c{i}": key for i, key in enumerate(conditions)}
+    found = rows.select("id", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in zip(names, conditions.values(), strict=True)]).collect()
+    for name, (phrase, slop) in names.items():
+        want = {i for i, t in enumerate(texts) if t and loosely(TOKEN.findall(t.lower()), phrase.split(), slop)}
+        assert {r["id"] for r in found if r[name]} == want, (phrase, slop)
+
+
 def test_prefix_and_wildcard(spark):
     rows = frame(spark)
     for prefix in ("fo", "the", "ü", "x", "", "a.b"):
