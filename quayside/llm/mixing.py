@@ -19,8 +19,10 @@ one row per tree node; a source may hold any share of the rows.
 
 Defined results: a null or empty text has size 0 and is never taken. A null
 source is a source of its own, sorted last. A source without words has target 0,
-as has every source of an empty table. Documents that tie in the permuted order
-(equal ids and sizes) are interchangeable. Rows that repeat count each.
+as has every source of an empty table. Rows that repeat count each: those with equal
+ids (or none), sources and texts are numbered, and their numbers tell them apart in
+every hash, so that they are spread over blocks like any others and the last block
+takes as many of them as it has room for. Which of them is which does not matter.
 """
 
 from __future__ import annotations
@@ -69,12 +71,42 @@ def targets(sizes: DataFrame) -> DataFrame:
     return sources.withColumn("source_no", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
 
 
+CLASS = ["source", "doc_id", "size", "tie"]
+
+
+def repeats(sizes: DataFrame) -> DataFrame:
+    """What rows with equal ids, sources and texts have in common, as a written table."""
+    found = sizes.groupBy(*CLASS).count().where("count > 1")
+    return kept(found.select(*(F.col(c).alias(f"_{c}") for c in CLASS)), "mix-repeats")
+
+
+def numbered(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows with ``no``, their number among those that are equal, from 0 on.
+
+    Equal rows are numbered in each task that has read some, and then after those of
+    the tasks before it, so no task gets all rows of a class. Others do not move.
+    """
+    if repeated.isEmpty():
+        return rows.withColumn("no", F.lit(0).cast("long"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CLASS]
+    rows = rows.withColumn("_task", F.spark_partition_id())
+    once = rows.join(repeated, same, "left_anti").drop("_task").withColumn("no", F.lit(0).cast("long"))
+    again = rows.join(repeated, same, "left_semi")
+    counts = again.groupBy(*CLASS, "_task").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*CLASS).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(F.col(c).alias(f"_{c}") for c in CLASS), F.col("_task").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    here = F.row_number().over(Window.partitionBy(*CLASS, "_task").orderBy(F.lit(0))) - 1
+    again = again.withColumn("_here", here).join(counts, [*same, F.col("_task") == F.col("_of")])
+    return once.unionByName(again.withColumn("no", F.col("_ahead") + F.col("_here")).select(once.columns))
+
+
 def _with_block(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """Sizes with their source's columns, their block, and their place in the permuted order of the block."""
     own = sources.withColumnRenamed("source", "_source")
     found = sizes.join(own, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    block = F.floor(uniform(F.lit("block"), "doc_id", "size") * F.col("n_blocks")).cast("long")
-    return found.withColumn("block", block).withColumn("place", uniform(F.lit("place"), "doc_id", "size"))
+    own = "doc_id", "size", "tie", "no"
+    block = F.floor(uniform(F.lit("block"), *own) * F.col("n_blocks")).cast("long")
+    return found.withColumn("block", block).withColumn("place", uniform(F.lit("place"), *own))
 
 
 def quotas(sizes: DataFrame) -> DataFrame:
@@ -103,7 +135,7 @@ def quotas(sizes: DataFrame) -> DataFrame:
     edges = edges.groupBy("source_no").agg(F.min(F.struct("block", "_start")).alias("_edge"))
     edges = edges.select("source_no", F.col("_edge.block").alias("edge"), F.col("_edge._start").alias("_start"))
     last = dealt.join(edges.withColumnRenamed("edge", "block"), ["source_no", "block"])
-    in_order = Window.partitionBy("source_no").orderBy("place", "doc_id", "size").rowsBetween(*before)
+    in_order = Window.partitionBy("source_no").orderBy("place", "doc_id", "size", "tie", "no").rowsBetween(*before)
     middle = F.col("_start") + F.coalesce(F.sum("size").over(in_order), F.lit(0)) + F.col("size") / 2
     cuts = last.withColumn("_taken", middle <= F.col("rest")).where("_taken and size > 0")
     cuts = cuts.groupBy("source_no").agg(F.max("place").alias("cut"))
@@ -223,7 +255,7 @@ def splitting_tree(found: DataFrame) -> DataFrame:
 def planned(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """The rows with source_size, target, copies, taken, and ``shards``, one per copy.
 
-    ``sizes`` are the doc_id, source and size of the rows as a table of its own; the rows may have more columns.
+    ``sizes`` are the doc_id, source, size, tie and no of the rows as a table of its own; the rows may have more columns.
     """
     found = quotas(sizes)
     n = F.col("n_blocks")
@@ -240,11 +272,15 @@ def planned(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def sized(docs: DataFrame, text: str = "text", source: str = "source", identity: str = "doc_id") -> DataFrame:
-    """The doc_id, source and size of the rows, and ``row``, all their columns as one."""
+    """The doc_id, source and size of the rows, ``tie``, a hash of the text, and ``row``, all their columns as one."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     field = lambda name: F.col("row").getField(name)
     return rows.select(
-        field(identity).alias("doc_id"), field(source).cast("string").alias("source"), word_count(field(text)).alias("size"), "row"
+        field(identity).alias("doc_id"),
+        field(source).cast("string").alias("source"),
+        word_count(field(text)).alias("size"),
+        F.xxhash64(field(text)).alias("tie"),
+        "row",
     )
 
 
@@ -252,12 +288,15 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", identity:
     """The mix: the rows of ``docs``, each as often as it is taken, with ``shard`` and ``shard_order``."""
     rows = sized(docs, text, source, identity)
     sizes = kept(rows.drop("row"), "mix-sizes")
-    taken = planned(rows, sizes).select("row", "doc_id", F.posexplode("shards").alias("_copy", "shard"))
-    order = uniform(F.lit("shard"), "doc_id", "_copy")
+    repeated = repeats(sizes)
+    rows, sizes = numbered(rows, repeated), kept(numbered(sizes, repeated), "mix-numbered")
+    taken = planned(rows, sizes).select("row", "doc_id", "tie", "no", F.posexplode("shards").alias("_copy", "shard"))
+    order = uniform(F.lit("shard"), "doc_id", "tie", "no", "_copy")
     return taken.withColumn("shard_order", order).select("row.*", "shard", "shard_order")
 
 
 def op1_mixing(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source")
     sizes = kept(sized(docs).drop("row"), "mix-sizes")
+    sizes = kept(numbered(sizes, repeats(sizes)), "mix-numbered")
     return planned(sizes, sizes).select("doc_id", "size", "source_size", "target", "taken", "shards")

@@ -89,11 +89,35 @@ def test_every_unit_is_in_one_shard(spark, monkeypatch):
 def test_a_hot_source_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 4)
     rows = [(i, "hot" if i % 3 else f"s{i % 7}", 1 + i % 50) for i in range(3000)]
-    sizes = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    sizes = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumns({"tie": F.lit(0), "no": F.lit(0)})
     found = mixing.planned(sizes, sizes).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
     assert all(abs(r.taken - r.target) <= 25 for r in found)
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_equal_rows_are_taken_one_by_one(spark, key):
+    """A source of one row that repeats meets its target like any other, and is spread over blocks and shards."""
+    rows = [(key, "a b c d e", "s1")] * 900 + [(i, "f g h i j", "s2") for i in range(900)] + [(key, "a b c d f", "s1")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    sizes = mixing.sized(docs).drop("row")
+    sizes = mixing.numbered(sizes, mixing.repeats(sizes)).persist()
+    same = [r.no for r in sizes.where("source = 's1'").groupBy("tie").agg(F.sort_array(F.collect_list("no")).alias("no")).collect()]
+    assert sorted(same) == [list(range(5)), list(range(900))]
+    assert {r.no for r in sizes.where("source = 's2'").select("no").distinct().collect()} == {0}
+    found = mixing.planned(sizes, sizes).collect()
+    assert len(found) == len(rows)
+    for name in ("s1", "s2"):
+        own = [r for r in found if r.source == name]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 2.5
+        assert max(map(len, (r.shards for r in own))) <= 3
+    hot = [s for r in found if r.source == "s1" for s in r.shards]
+    assert len({*hot}) > 5 * len(hot) / 905 / 64
+    mix = mixing.mixed(docs)
+    assert sorted((r.source, r.n) for r in mix.groupBy("source").agg(F.count("*").alias("n")).collect()) == sorted(
+        (name, sum(len(r.shards) for r in found if r.source == name)) for name in ("s1", "s2")
+    )
+
+
 def test_edges(spark):
     rows = mixing.mixed(cases.edge_documents(spark))
     assert rows.columns[: len(cases.rows()[0])] == cases.edge_documents(spark).columns
@@ -102,6 +126,7 @@ def test_edges(spark):
     assert mixing.mixed(cases.no_documents(spark)).count() == 0
     assert mixing.mixed(cases.null_documents(spark)).count() == 0
     sizes = mixing.sized(cases.edge_documents(spark)).drop("row")
+    sizes = mixing.numbered(sizes, mixing.repeats(sizes))
     assert mixing.planned(sizes, sizes).count() == len(cases.rows())
 
 
