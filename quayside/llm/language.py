@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import held_out, learnable, sample_per_class
+from quayside.llm.common import free_name, held_out, learnable, sample_per_class
 
 BUCKETS = 4096
 #: Labelled rows that the classifiers are fitted on, per language.
@@ -174,14 +174,16 @@ def prediction(model: LanguageModel, text: Column) -> Column:
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows with lang_pred, score and ambiguous."""
-    found = docs.drop("lang_pred", "score", "ambiguous").withColumn("_found", prediction(model, F.col(text)))
-    return found.select("*", "_found.*").drop("_found")
+    result = free_name(docs, "found")
+    found = docs.drop("lang_pred", "score", "ambiguous").withColumn(result, prediction(model, F.col(text)))
+    return found.select("*", f"{result}.*").drop(result)
 
 
 def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows whose language is clear; texts without letters and ambiguous texts go."""
-    found = docs.withColumn("_found", prediction(model, F.col(text)))
-    return found.where((F.col("_found.lang_pred") != "und") & ~F.col("_found.ambiguous")).drop("_found")
+    result = free_name(docs, "found")
+    found = docs.withColumn(result, prediction(model, F.col(text)))
+    return found.where((F.col(f"{result}.lang_pred") != "und") & ~F.col(f"{result}.ambiguous")).drop(result)
 
 
 def op5_language_id(spark, folder: str) -> DataFrame:

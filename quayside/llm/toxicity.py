@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import held_out, learnable, sample_per_class
+from quayside.llm.common import free_name, held_out, learnable, sample_per_class
 
 #: Labelled documents that the model is fitted on, per label.
 SAMPLE = 2500
@@ -157,8 +157,9 @@ def toxicity(model: ToxicityModel, text: Column) -> Column:
 
 def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """The rows with score and offending."""
-    found = docs.drop("score", "offending").withColumn("_found", toxicity(model, F.col(text)))
-    return found.select("*", "_found.*").drop("_found")
+    result = free_name(docs, "found")
+    found = docs.drop("score", "offending").withColumn(result, toxicity(model, F.col(text)))
+    return found.select("*", f"{result}.*").drop(result)
 
 
 def op4_toxicity(spark, folder: str) -> DataFrame:
