@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import kept
+from quayside.llm.common import discard, kept
 
 
 def _star(pairs: DataFrame) -> DataFrame:
@@ -29,6 +29,7 @@ def components(links: DataFrame, one: str, other: str) -> DataFrame:
     """Rows of node and component, its least node, for every node that has a link to another one.
 
     A link with a null end, or to itself, is none. Directions and repeats do not matter.
+    The result reads a written table, which may be discarded like that of ``kept``.
     """
     links = links.select(F.greatest(one, other).alias("u"), F.least(one, other).alias("v"))
     edges = kept(links.where("u is not null and v is not null and u > v").distinct(), "links")
@@ -38,6 +39,9 @@ def components(links: DataFrame, one: str, other: str) -> DataFrame:
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small = _star(large.distinct())
         moved = small.select(F.col("v").alias("u"), F.col("least").alias("v")).where("u > v")
-        edges = kept(small.select("u", F.col("least").alias("v")).union(moved).distinct(), "links")
+        before, edges = edges, kept(small.select("u", F.col("least").alias("v")).union(moved).distinct(), "links")
+        discard(before)
         last, mark = mark, _mark(edges)
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v"), F.col("v")).distinct())
+    found = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v"), F.col("v")).distinct())
+    found.scratch_folder = edges.scratch_folder
+    return found

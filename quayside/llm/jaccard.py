@@ -5,8 +5,9 @@ ordered with rare shingles first, and two sets as similar as asked share a
 shingle in a short prefix of both; the prefixes make the index lists.
 
 Skipping in the index: an entry stays in its list only if the entry of the nearest
-size before or behind it could be similar in size, and a pair of entries counts
-only if what stands behind both positions can still reach the wanted overlap.
+size before or behind it could be similar in size. Lists are cut into blocks by
+position, and whole blocks of pairs are skipped that cannot reach the wanted overlap
+with what stands behind their positions.
 
 Skipping in the answers: every set is first compared with a few neighbours in lists
 sorted by a sketch. Sets that link become clusters around a leader, with the number of shingles by
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import kept, mixed, window_hashes, word_hashes
+from quayside.llm.common import discard, kept, mixed, window_hashes, word_hashes
 from quayside.llm.components import components
 
 #: Shingles whose order is by their frequency; all others come before them, by hash. Any order gives the same links.
@@ -62,6 +63,24 @@ def parities(tokens: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
 
+def wide_parities(tokens: np.ndarray) -> bytes:
+    """The same, with two to four bits a shingle, a thousand at least; a power of two, so that it folds."""
+    bits = 1 << max(10, len(tokens).bit_length() + 1)
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _differ(one: pa.Array, other: pa.Array) -> pa.Array:
+    """How many wide parities of two sets differ; the longer vector is folded to the length of the shorter."""
+    out = []
+    for a, b in zip(one, other, strict=True):
+        x, y = (np.frombuffer(s.as_buffer(), np.uint8) for s in (a, b))
+        size = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(v.reshape(-1, size)) for v in (x, y))
+        out.append(int(np.bitwise_count(x ^ y).sum()))
+    return pa.array(out, pa.int64())
+
+
 _BINS = np.arange(16, dtype=np.uint64) << np.uint64(59)
 
 
@@ -91,7 +110,8 @@ def _described(batches):
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = shingles(text.as_py())
             name = set_hash(tokens) if len(tokens) else None
-            rows.append((key, len(tokens), name, parities(tokens) if len(tokens) else None, None, None))
+            bits = (parities(tokens), wide_parities(tokens)) if len(tokens) else (None, None)
+            rows.append((key, len(tokens), name, *bits, None, None))
             if name is not None and name not in seen:
                 seen.add(name)
                 held.append(tokens)
@@ -100,10 +120,10 @@ def _described(batches):
                     count()
                     size = 0
         count()
-        rows += [(None, None, None, None, token, times) for token, times in frequent]
-        columns = list(zip(*rows, strict=True)) or [[]] * 6
-        names = ["doc_id", "n", "set_id", "parities", "token", "times"]
-        kinds = [pa.list_(pa.int64()) if name == "parities" else pa.int64() for name in names]
+        rows += [(None, None, None, None, None, token, times) for token, times in frequent]
+        columns = list(zip(*rows, strict=True)) or [[]] * 7
+        names = ["doc_id", "n", "set_id", "parities", "wide", "token", "times"]
+        kinds = [{"parities": pa.list_(pa.int64()), "wide": pa.binary()}.get(name, pa.int64()) for name in names]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
@@ -173,7 +193,7 @@ def neighbours(entries: DataFrame, first: DataFrame) -> DataFrame:
     near = entries.select(F.col("set_id").alias("x"), F.lag("set_id").over(by_sketch).alias("y"), "n", F.lag("n").over(by_sketch).alias("_n"))
     near = near.where("n * 4 >= _n * 3 and _n * 4 >= n * 3").select("x", "y")
     near = near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).groupBy("x", "y").count()
-    sets = first.drop("first_id")
+    sets = first.drop("first_id", "wide")
     near = near.join(_sided(sets, "a"), F.col("x") == F.col("a_set_id")).join(_sided(sets, "b"), F.col("y") == F.col("b_set_id"))
     near = near.where(f"a_n + b_n >= 7 * ({DIFFER})").select("x", "y", "count")
     both = near.union(near.select("y", "x", "count"))
@@ -212,7 +232,9 @@ def compared(pairs: DataFrame, docs: DataFrame, first: DataFrame, name: str) ->
     right = sets.select(F.col("set_id").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("_y"))
     overlap = F.arrow_udf(_overlap, "long")
     both = pairs.join(left, "x").join(right, "y").withColumn("overlap", overlap("_x", "_y")).drop("_x", "_y")
-    return kept(both.distinct(), name)
+    found = kept(both.distinct(), name)
+    discard(pairs, sets)
+    return found
 
 
 def linked(pairs: DataFrame) -> DataFrame:
@@ -241,28 +263,41 @@ def clusters(links: DataFrame, sizes: DataFrame, groups: DataFrame) -> DataFrame
     return kept(found.join(spans, "leader"), "jaccard-clusters")
 
 
-def candidates(entries: DataFrame, groups: DataFrame, first: DataFrame) -> DataFrame:
-    """Pairs of leaders of different components whose clusters could hold a link.
-
-    They meet in index lists: once at least where what is behind both positions
-    still suffices, and as often as two prefixes must, since what they do not share
-    there has to be shared behind the one that ends first. And by their parities the
-    leaders do not differ by more than a link and the excesses allow.
-    """
+def listed(entries: DataFrame, groups: DataFrame, first: DataFrame) -> DataFrame:
+    """The index lists of clusters, as far as they hold several components: of every token and leader, the least size
+    of a member that has the token in its prefix, and the most tokens that one has from there on."""
     own = entries.join(groups.drop("n"), "set_id").groupBy("token", "leader", "component", "least", "most", "most_excess")
     own = own.agg(F.min("n").alias("here"), F.max(F.col("n") - F.col("position")).alias("rest"))
     meeting = own.groupBy("token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b")
     own = own.join(meeting.select("token"), "token", "left_semi")
-    own = kept(own.join(first.drop("first_id").withColumnRenamed("set_id", "leader"), "leader"), "jaccard-lists")
+    return kept(own.join(first.drop("first_id", "wide").withColumnRenamed("set_id", "leader"), "leader"), "jaccard-lists")
+
+
+def candidates(own: DataFrame, first: DataFrame) -> DataFrame:
+    """Pairs of leaders of different components whose clusters could hold a link.
+
+    They meet in index lists, which are cut into blocks by position and size. An entry
+    is far where what stands from there on would not suffice for a partner of its own
+    size; of two far entries, the one of the greater set lacks even more, so far blocks
+    are never joined with each other. Families of sets that share a common part but not
+    enough of it meet only there. Of what is left, sizes must be similar, what stands
+    from both positions on must suffice, and by their parities the leaders must not
+    differ by more than a link and the excesses allow: first by those that the lists
+    carry, then, for each pair once, by as many as long sets need.
+    """
+    near = F.expr("7 * rest >= 6 * here")
+    one = own.withColumn("zone", F.when(near, 0).otherwise(1))
+    other = own.withColumn("zone", F.explode(F.when(near, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    one, other = _sided(one, "a"), _sided(other, "b")
+    same = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in ("token", "zone")]
+    most = "7 * (a_n + b_n - ({}) + 2 * (a_most_excess + b_most_excess)) >= 6 * (a_least + b_least)"
     could = f"""a_component < b_component and a_most * 4 >= b_least * 3 and b_most * 4 >= a_least * 3
-        and 7 * (a_n + b_n - ({DIFFER}) + 2 * (a_most_excess + b_most_excess)) >= 6 * (a_least + b_least)"""
-    one, other = _sided(own, "a"), _sided(own, "b")
-    pairs = one.join(other, (F.col("a_token") == F.col("b_token")) & F.expr(could))
-    pairs = pairs.groupBy("a_leader", "b_leader", "a_least", "b_least", "a_most", "b_most").agg(
-        F.count("*").alias("met"), F.expr("bool_or(least(a_rest, b_rest) * 7 >= (a_here + b_here) * 3)").alias("reached")
-    )
-    behind = F.expr("greatest(a_most - a_most div 4 - 1, b_most - b_most div 4 - 1)")
-    pairs = pairs.where(F.col("reached") & ((F.col("met") + behind) * 7 >= (F.col("a_least") + F.col("b_least")) * 3))
+        and least(a_rest, b_rest) * 7 >= (a_here + b_here) * 3 and {most.format(DIFFER)}"""
+    sides = [f"{side}_{c}" for side in "ab" for c in ("leader", "n", "least", "most_excess")]
+    pairs = one.join(other, [*same, F.expr(could)]).select(*sides).distinct()
+    wide = first.select("set_id", "wide")
+    pairs = pairs.join(wide.toDF("a_leader", "a_wide"), "a_leader").join(wide.toDF("b_leader", "b_wide"), "b_leader")
+    pairs = pairs.withColumn("differ", F.arrow_udf(_differ, "long")("a_wide", "b_wide")).where(most.format("differ"))
     return pairs.select(F.col("a_leader").alias("x"), F.col("b_leader").alias("y"))
 
 
@@ -285,7 +320,7 @@ def members_of(leaders: DataFrame, groups: DataFrame) -> DataFrame:
 def join(docs: DataFrame, text: str = "text", identity: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, n long, set_id long, parities array<long>, token long, times long"
+    schema = "doc_id long, n long, set_id long, parities array<long>, wide binary, token long, times long"
     described = kept(docs.mapInArrow(_described, schema), "jaccard-sets")
     often = described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     often = [r.token for r in often.orderBy(F.desc("times"), "token").limit(FREQUENT).collect()]
@@ -296,19 +331,28 @@ def join(docs: DataFrame, text: str = "text", identity: str = "doc_id") -> DataF
     entries = kept(index_lists(named, frequent), "jaccard-index")
     bits = [F.max(F.get("parities", F.lit(i))).alias(f"p{i}") for i in range(PARITIES)]
     first = described.where("set_id is not null").groupBy("set_id")
-    first = first.agg(F.min("doc_id").alias("first_id"), F.min("n").cast("int").alias("n"), *bits)
+    first = first.agg(F.min("doc_id").alias("first_id"), F.min("n").cast("int").alias("n"), *bits, F.first("wide").alias("wide"))
     first = kept(first.where("first_id is not null"), "jaccard-first")
 
-    links = linked(compared(neighbours(entries, first), named, first, "jaccard-near"))
-    groups = components(links, "x", "y").withColumnRenamed("node", "set_id")
-    groups = clusters(links, entries.select("set_id", "n").distinct(), groups)
-    leaders = compared(candidates(entries, groups, first), named, first, "jaccard-leaders")
+    frequent.destroy()  # the index is written
+    near = compared(neighbours(entries, first), named, first, "jaccard-near")
+    links = linked(near)
+    stars = components(links, "x", "y")
+    groups = clusters(links, entries.select("set_id", "n").distinct(), stars.withColumnRenamed("node", "set_id"))
+    discard(stars)
+    lists = listed(entries, groups, first)
+    discard(entries)
+    leaders = compared(candidates(lists, first), named, first, "jaccard-leaders")
+    discard(lists)
     members = compared(members_of(leaders, groups), named, first, "jaccard-members")
+    discard(groups)
     every = links.select("x", "y").union(linked(leaders).select("x", "y")).union(linked(members).select("x", "y"))
 
     name = first.select("set_id", "first_id")
-    every = every.join(name.toDF("x", "one"), "x").join(name.toDF("y", "other"), "y")
+    every = kept(every.join(name.toDF("x", "one"), "x").join(name.toDF("y", "other"), "y"), "jaccard-links")
+    discard(near, leaders, members)
     found = components(every, "one", "other")
+    discard(every)
     first = first.join(found.withColumnRenamed("node", "first_id"), "first_id", "left")
     first = first.select("set_id", F.coalesce("component", "first_id").alias("component_id"))
     rows = described.select("doc_id", "n", "set_id").join(first, "set_id", "left")

@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,6 +76,39 @@ def test_families_that_link_through_chains_and_share_passages(spark):
     assert len({*groups.values()}) > 10
 
 
+def test_families_of_a_template_do_not_meet(spark, monkeypatch):
+    """Texts of one template that are not similar enough and do not link: hardly any two of them become candidates."""
+    counts, find = [], jaccard.candidates
+
+    def counted(own, first):
+        pairs = find(own, first)
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "candidates", counted)
+    random_, template = random.Random(2), cases.prose(7, 200).split()
+    rows = []
+    for i in range(240):
+        words = list(template)
+        for place in random_.sample(range(6, 190, 6), 5 + i % 2):
+            words[place] = f"y{random_.randint(0, 10**7)}"
+        rows.append((i, " ".join(words)))
+    groups = check_join(spark, rows)
+    assert len({*groups.values()}) == len(rows)
+    assert counts[0] <= len(rows) // 10
+
+
+def test_wide_parities_bound_the_difference():
+    random_ = np.random.default_rng(3)
+    for sizes in [(0, 1, 1), (5, 5, 0), (60, 40, 20), (4000, 300, 10), (900, 900, 900), (20_000, 9_000, 5_000)]:
+        a, b, c = (random_.integers(0, 1 << 63, n, dtype=np.uint64) for n in sizes)
+        one, other = np.unique(np.concatenate([a, c])), np.unique(np.concatenate([b, c]))
+        found = jaccard._differ(*(pa.array([jaccard.wide_parities(x)]) for x in (one, other)))[0].as_py()
+        assert found <= len(np.setxor1d(one, other))
+        same = jaccard._differ(*(pa.array([jaccard.wide_parities(one)]) for _ in range(2)))[0].as_py()
+        assert same == 0
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_small_sets_around_the_bound(spark, seed):
     random_ = random.Random(seed)
