@@ -5,9 +5,13 @@ classes and of the most common words over all its documents. A document is
 compared with every reference by the Jensen-Shannon distance (base 2, 0 to 1)
 and kept if, against the nearest one, neither histogram is too far off. How far
 words can be off depends on how much of a language its common words make up, so
-their bound is a share of the distance of a text that has none of them. Texts
-below a minimum length are not judged by a histogram, since few characters or
-words prove nothing. Plain base rules come first.
+their bound is a share of the distance of a text that has none of them. A reference
+speaks for a text where it lets some common words be expected in so many words. A
+text is rejected if no reference that speaks for it is near, but for a text whose
+nearest reference by characters does not speak: its words are not judged, as where
+words are not set apart. What other languages the table holds, and how much of them,
+is nothing to a text. Texts below a minimum length are not judged by a histogram,
+since few characters or words prove nothing. Plain base rules come first.
 
 Defined results: a null or empty text has no words and fails the base rules.
 Without any reference (no named language) only the base rules decide. Repeated
@@ -22,10 +26,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import window_hashes, word_hashes
+from quayside.llm.common import free_name, window_hashes, word_hashes
 
 #: Common words of a reference.
 WORDS = 150
@@ -35,7 +39,7 @@ TASK_WORDS = 200_000
 FARTHEST_CLASSES, LEAST_CHARS = 0.3, 250
 #: Of words, the distance as a share of that of a text without a common word of the reference.
 FARTHEST_WORDS, LEAST_WORDS = 0.98, 100
-#: Where a reference lets fewer common words be expected, one speaks for a text; where fewer still, none is needed.
+#: Where a reference lets fewer common words be expected, one is enough to be near it; where fewer still, it does not speak.
 EXPECTED, LEAST_EXPECTED = 40, 5
 
 #: The symbols that the base rules count.
@@ -112,7 +116,8 @@ class References:
         classes = words = None
         usual = True
         if self.languages and len(text) >= LEAST_CHARS:
-            classes = float(distances(class_counts(text)[None], self.classes).min())
+            of_classes = distances(class_counts(text)[None], self.classes)
+            classes = float(of_classes.min())
             found = WORD.findall(text.lower())
             if len(found) >= LEAST_WORDS:
                 common = np.bincount(list(filter(None, map(self.places.get, found))), minlength=len(self.places) + 1)
@@ -122,7 +127,9 @@ class References:
                 each = distances(counts, self.words)
                 words = float(each.min())
                 expected, some = len(found) * self.share, counts[:, :-1].any(1)
-                usual = bool(((each <= self.farthest) | (expected < EXPECTED) & some | (expected < LEAST_EXPECTED)).any())
+                speaks = expected >= LEAST_EXPECTED
+                near = speaks & ((each <= self.farthest) | (expected < EXPECTED) & some)
+                usual = bool(near.any() or not speaks[of_classes.argmin()])
         return classes, words, usual
 
 
@@ -201,15 +208,13 @@ def judged(docs: DataFrame, models: References, text: str = "text") -> DataFrame
         types = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()]
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
-    found = docs.drop(*names, "base_failed", "kept").withColumn("_found", judge.asNondeterministic()(F.col(text)))
-    found = found.select("*", "_found.*").drop("_found")
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & usual()).drop("_usual_words")
-
-
-def usual() -> Column:
-    near = F.coalesce(F.col("class_distance") <= FARTHEST_CLASSES, F.lit(True))
-    return near & F.col("_usual_words")
+    result = free_name(docs, "found")
+    found = docs.withColumn(result, judge.asNondeterministic()(F.col(text)))
+    of = F.col(result).getField
+    failed = (of("n_words") < 10) | (100 * of("n_repeat_words") > 20 * of("n_words"))
+    near = F.coalesce(of("class_distance") <= FARTHEST_CLASSES, F.lit(True)) & of("_usual_words")
+    columns = {name: of(name) for name in names[:-1]} | {"base_failed": failed, "kept": ~failed & near}
+    return found.withColumns(columns).drop(result)
 
 
 def op8_quality_rules(spark, folder: str) -> DataFrame:

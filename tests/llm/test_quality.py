@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 
 import numpy as np
@@ -97,6 +98,83 @@ def test_long_texts_without_common_words_go(spark):
     assert {r.doc_id for r in found if r.kept} == {*range(len(prose))}
 
 
+def unsegmented(seed, n):
+    """Lines of a language that sets no blanks between words."""
+    random = np.random.default_rng(seed)
+    return "\u3002\n".join("".join(chr(0x4E00 + int(c)) for c in random.integers(0, 3000, 12)) for _ in range(n))
+
+
+def test_other_languages_do_not_matter(spark):
+    """Nonsense goes and prose stays, however much of an unsegmented language the table holds; its prose stays too."""
+    prose = [prose_of_a_language(seed, n) for seed, n in enumerate([150] * 20 + [1_500] * 20)]
+    salad = [" ".join(f"{w}zz" for w in cases.prose(seed, 400).split()) for seed in range(90, 100)]
+    rows = [(i, t, "aa") for i, t in enumerate(prose)] + [(100 + i, t, None) for i, t in enumerate(salad)]
+    for others in (0, 10, 150):
+        more = [(1000 + i, unsegmented(i, 120), "zz") for i in range(others)]
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string, lang string")
+        found = quality.judged(docs, quality.references(docs)).where("not base_failed").collect()
+        kept = {r.doc_id for r in found if r.kept}
+        assert kept == {*range(len(prose))} | {r.doc_id for r in found if r.doc_id >= 1000}
+        assert len([r for r in found if r.doc_id >= 1000]) == others
+
+
+def brute_distance(counts, model):
+    p, q = ([x / (sum(side) or 1) for x in side] for side in (counts, model))
+    total = 0.0
+    for x, y in zip(p, q, strict=True):
+        total += sum(a * math.log2(a / ((x + y) / 2)) / 2 for a in (x, y) if a)
+    return math.sqrt(max(total, 0.0))
+
+
+def brute_verdict(text, classes, words):
+    """The verdict on a text from plain counts: of every language, its characters by class and its words."""
+    if not text or len(text) < quality.LEAST_CHARS:
+        return True
+    far = {name: brute_distance(quality.class_counts(text).tolist(), c) for name, c in classes.items()}
+    home = min(sorted(far), key=far.get)
+    if far[home] > quality.FARTHEST_CLASSES:
+        return False
+    found = Counter(quality.WORD.findall(text.lower()))
+    n = found.total()
+    if n < quality.LEAST_WORDS:
+        return True
+    speaks = {}
+    for name, counts in words.items():
+        top = sorted(counts.items(), key=lambda w: (-w[1], w[0]))[: quality.WORDS]
+        model = [k for _, k in top] + [counts.total() - sum(k for _, k in top)]
+        own = [found[w] for w, _ in top]
+        expected = n * sum(model[:-1]) / sum(model)
+        if expected >= quality.LEAST_EXPECTED:
+            bound = quality.FARTHEST_WORDS * brute_distance([0] * len(top) + [1], model)
+            near = brute_distance([*own, n - sum(own)], model) <= bound
+            speaks[name] = near or (expected < quality.EXPECTED and sum(own) > 0)
+    return home not in speaks or any(speaks.values())
+
+
+def test_verdicts_by_brute_force(spark):
+    docs = cases.documents(spark).select("doc_id", "text", "lang")
+    extra = [(10_000 + i, " ".join(f"{w}qq" for w in cases.prose(i, 300).split()), None) for i in range(9)]
+    extra += [(20_000 + i, unsegmented(i, 60), "zz") for i in range(9)] + [(30_000, "#$%& " * 300, None)]
+    docs = docs.union(spark.createDataFrame(extra, docs.schema))
+    rows = docs.collect()
+    classes, words = {}, {}
+    for r in rows:
+        if r.lang is not None and r.text:
+            classes[r.lang] = classes.get(r.lang, 0) + quality.class_counts(r.text)
+            words.setdefault(r.lang, Counter()).update(quality.WORD.findall(r.text.lower()))
+    classes = {name: c.tolist() for name, c in classes.items()}
+    found = {r.doc_id: r for r in quality.judged(docs, quality.references(docs)).collect()}
+    for r in rows:
+        assert found[r.doc_id].kept == (not found[r.doc_id].base_failed and brute_verdict(r.text, classes, words)), r.doc_id
+    assert not any(found[10_000 + i].kept for i in range(9)) and not found[30_000].kept
+
+
+def test_columns_of_the_input_do_not_clash(spark):
+    docs = cases.documents(spark).limit(5).withColumns({"_found": F.lit("mine"), "found": F.lit(2), "_usual_words": F.lit(1)})
+    rows = quality.judged(docs, quality.references(docs)).collect()
+    assert {(r["_found"], r.found, r["_usual_words"]) for r in rows} == {("mine", 2, 1)}
+
+
 def test_sparse_references_do_not_reject_their_own():
     # 150 words make up a twentieth: a hundred words may well hold two of them, and their distance is past the bound
     words = {"aa": [(f"c{chr(97 + i // 26)}{chr(97 + i % 26)}", 10) for i in range(150)]}
