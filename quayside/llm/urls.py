@@ -4,12 +4,12 @@ A rule names a host and the beginning of a path; the longest fitting one decides
 The URLs that rules accept and reject train two Markov models over characters.
 Each predicts a character from the longest context of up to two characters it
 has seen, smoothed towards shorter ones (Witten-Bell). A URL no rule fits is
-judged by the difference of its log-likelihoods per character, against a
-threshold calibrated on rule-decided URLs that the models did not learn from.
+judged by the difference of its log-likelihoods per character. The threshold is
+calibrated with models of one half of those URLs on the other half, which these
+models have not seen; the models that judge are then fitted on all of them.
 
 Only DataFrame functions are used. Counts cover all rows. The model has at most
-``len(ALPHABET)`` cubed entries whatever the input, so it goes to the tasks as
-one array.
+``SIZE`` cubed entries whatever the input, so it goes to the tasks as one array.
 
 Defined results: a null url, or one without ``://``, has an empty host and path.
 If the rules decide no URL one way, every other URL is allowed. A difference
@@ -74,15 +74,19 @@ def with_triples(frame: DataFrame, url: str) -> DataFrame:
     return frame.withColumn("triples", triples).drop("_codes")
 
 
-def model_of(decided: DataFrame) -> DataFrame:
+def counts_of(decided: DataFrame) -> DataFrame:
+    """How often each triple is in accepted and rejected URLs (``triples``, ``accepted``), by whether they are set ``apart``."""
+    counts = decided.select(F.explode("triples").alias("triple"), "accepted", "apart").groupBy("triple", "apart")
+    return counts.agg(F.count_if("accepted").alias("n_true"), F.count_if(~F.col("accepted")).alias("n_false"))
+
+
+def model_of(counts: DataFrame) -> DataFrame:
     """One row: for every triple, the log of its probability among accepted over that among rejected URLs.
 
-    ``decided`` has ``triples`` and ``accepted``. The table below holds every
-    triple there can be, whatever the input.
+    The table below holds every triple there can be, whatever the input.
     """
-    counts = decided.select(F.explode("triples").alias("triple"), "accepted").groupBy("triple")
-    counts = counts.agg(F.count_if("accepted").alias("n_true"), F.count_if(~F.col("accepted")).alias("n_false"))
-    every = decided.sparkSession.range(SIZE**3).withColumnRenamed("id", "triple")
+    counts = counts.groupBy("triple").agg(F.sum("n_true").alias("n_true"), F.sum("n_false").alias("n_false"))
+    every = counts.sparkSession.range(SIZE**3).withColumnRenamed("id", "triple")
     table = every.join(counts, "triple", "left").na.fill(0, ["n_true", "n_false"])
     a, b, c = F.expr(f"triple div {SIZE * SIZE}"), F.expr(f"triple div {SIZE} % {SIZE}"), F.expr(f"triple % {SIZE}")
     table = table.withColumns({"a": a, "b": b, "c": c})
@@ -133,11 +137,12 @@ def judged(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     rows = rows.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     rows = with_triples(rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)), url)
     decided = rows.where(F.col("_rule").isNotNull())
-    decided = decided.select(F.col(url).alias("_url"), "triples", (F.col("_rule.verdict") == "allow").alias("accepted"))
-    apart = F.crc32("_url") % 2 == 1
-    model = kept(model_of(decided.where(~apart)), "url-model")
-    threshold = kept(threshold_of(with_score(decided.where(apart), model)), "url-threshold")
-    rows = with_score(rows, model)
+    accepted, apart = F.col("_rule.verdict") == "allow", F.crc32(F.col(url)) % 2 == 1
+    decided = decided.select("triples", accepted.alias("accepted"), apart.alias("apart"))
+    counts = kept(counts_of(decided), "url-counts")
+    half = kept(model_of(counts.where("not apart")), "url-model")
+    threshold = kept(threshold_of(with_score(decided.where("apart"), half)), "url-threshold")
+    rows = with_score(rows, kept(model_of(counts), "url-model"))
     by_model = F.when(F.col("score") < threshold.scalar(), "block").otherwise("allow")
     rows = rows.withColumns({"rule": F.col("_rule.rule"), "verdict": F.coalesce("_rule.verdict", by_model)})
     return rows.drop("_rule", "triples")
