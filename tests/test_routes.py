@@ -346,14 +346,15 @@ def test_a_stream_without_a_schema_learns_it(spark, folder, malformed):
         ['{"id": 5}'],
     ]
     for values in batches:
-        if values:
-            topics.publish(spark.createDataFrame([(None, v) for v in values], "key string, value string"), topic)
+        topics.publish(spark.createDataFrame([(None, v) for v in values], "key string, value string"), topic)
         run_route(spark, route)
     rows = {r["id"]: r for r in read(spark, target).where("id is not null").collect()}
     assert sorted(rows) == [1, 2, 3, 4.5, 5]
     assert rows[3]["name"] == "x" and rows[3]["in"]["b"] == [True] and rows[4.5]["in"]["a"] == "text" and rows[1]["in"]["a"] in ("1", 1)
     if malformed == "keep":
-        assert sorted(r["_corrupt_record"] for r in read(spark, target).where("_corrupt_record is not null").collect()) == sorted(bad * 2)
+        # Spark's reader takes a field of that name for its own
+        kept = spark.read.option("recursiveFileLookup", True).option("columnNameOfCorruptRecord", "_other").json(f"{folder}/out")
+        assert sorted(r["_corrupt_record"] for r in kept.where("_corrupt_record is not null").collect()) == sorted(bad * 2)
     if malformed == "folder":
         assert sorted(r["value"] for r in spark.read.option("recursiveFileLookup", True).json(f"{folder}/bad").collect()) == sorted(bad * 2)
     versions = sorted(glob.glob(f"{folder}/checkpoint/schemas/*.json"))
