@@ -55,9 +55,9 @@ def discard(*tables: DataFrame) -> None:
         delete(table.sparkSession, table.scratch_folder)
 
 
-def free_name(frame: DataFrame, wanted: str) -> str:
-    """A name like the wanted one that no column of the frame has, whatever its case."""
-    taken = {name.lower() for name in frame.columns}
+def free_name(frame: DataFrame, wanted: str, *others: str) -> str:
+    """A name like the wanted one that no column of the frame and none of the others has, whatever its case."""
+    taken = {name.lower() for name in (*frame.columns, *others)}
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted

@@ -268,7 +268,7 @@ def findings(model: SecretModel | None, text: Column, mark: str = "[SECRET]") ->
 
 def scanned(docs: DataFrame, model: SecretModel | None, text: str = "text", into: str = "secret_spans") -> DataFrame:
     """The rows with their findings."""
-    result = free_name(docs, "found")
+    result = free_name(docs, "found", into)
     return docs.withColumn(result, findings(model, F.col(text))).withColumn(into, F.col(f"{result}.spans")).drop(result)
 
 

@@ -131,3 +131,11 @@ def test_windows_cover_a_candidate_and_what_stands_behind_it():
         assert places[0] == 0 and all(b - a <= secrets.STEP for a, b in zip(places, places[1:]))
         assert places[-1] == max(0, n - secrets.INSIDE)
     assert secrets.window("a" * 20 + " one", 0, 20) != secrets.window("a" * 20 + " two", 0, 20)
+
+
+def test_findings_may_have_any_name(spark):
+    frame = spark.createDataFrame([(1, "a token=abcdefgh b")], "doc_id long, text string")
+    for name in ("found", "Found", "_found"):
+        rows = secrets.scanned(frame, None, into=name)
+        assert rows.columns == ["doc_id", "text", name]
+        assert [(s.kind, s.start, s.end) for s in rows.collect()[0][name]] == [("assign", 2, 16)]
