@@ -5,7 +5,7 @@ writes four Parquet tables, all bucketed by a hash:
 
 ``postings``  (field, term, id, positions): one row per document and term
 ``words``     (field, term, n_docs): the dictionary, one row per batch and term
-``variants``  (field, term, variant): what is left of a term after up to two deletions
+``variants``  (field, term, variant): what is left of the start of a term after up to two deletions
 ``grams``     (field, term, gram): its runs of three characters, ends marked
 
 A batch counts once its row in ``batches`` is written, which is the last thing that
@@ -19,8 +19,10 @@ by a pattern in which no three characters are required. The rows are those of
 frequencies are sums over the dictionary, so that common terms and more-like-this
 count nothing in the documents.
 
-A frequent term is written by several tasks, as rows are dealt by ranges of bucket, term
-and id. Nothing but sums (two numbers a batch, one a word of the query) reaches the driver.
+Documents are cut once and their texts stay where they are: only postings are shuffled.
+A frequent term is written by several tasks, as rows are dealt by bucket and, within it,
+by a hash of their ids. Nothing but sums (two numbers a batch, one a word of the query)
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
@@ -54,8 +59,11 @@ from quayside.operators.search import (
 )
 from quayside.sources.storage import exists
 
-# Longer terms have too many variants; they are compared one by one.
-LONGEST_VARIED = 24
+# Characters of a term that variants are made of: whole terms would have three times as many. The starts of two terms
+# that are two edits apart have a common part that misses at most two characters of each.
+VARIED = 5
+# Parts that a bucket is dealt in, and documents whose tokens are grouped at once.
+PARTS, DOCUMENTS = 64, 1_000
 FIRST, LAST = "\x02", "\x03"
 
 
@@ -107,10 +115,39 @@ def grams_of(term: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(term)), lambda i: F.substring(marked, i, F.lit(3))))
 
 
-def _write(rows: DataFrame, table: TermTable, name: str, batch: str, key: str, *order: str) -> None:
-    rows = rows.withColumns({"batch": F.lit(batch), "bucket": table.bucket(F.col(key))})
-    rows = rows.repartitionByRange("bucket", *order).sortWithinPartitions("bucket", *order)
-    rows.write.partitionBy("batch", "bucket").mode("append").parquet(table.path(name))
+def _write(rows: DataFrame, table: TermTable, name: str, batch: str, key: str, within: str, *order: str) -> None:
+    """Rows by the bucket of their key, each bucket in parts by a hash of another column, and sorted in each part."""
+    rows = rows.withColumn("bucket", table.bucket(F.col(key)))
+    rows = rows.repartition("bucket", F.pmod(F.xxhash64(within), F.lit(PARTS))).sortWithinPartitions("bucket", *order)
+    rows.write.partitionBy("bucket").parquet(f"{table.path(name)}/batch={batch}")
+
+
+def _postings_of(texts: DataFrame) -> DataFrame:
+    """One row per id, field and term with its places, of rows with the tokens of a field (id, field, tokens)."""
+
+    def group(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, DOCUMENTS):
+                part = batch.slice(start, DOCUMENTS)
+                lists = part.column(2)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                terms = lists.flatten().dictionary_encode()
+                key = row * len(terms.dictionary) + terms.indices.to_numpy()
+                order = np.argsort(key, kind="stable")
+                first = np.flatnonzero(np.diff(key[order], prepend=-1))
+                rows = pa.array(row[order[first]])
+                places = pa.ListArray.from_arrays(
+                    pa.array(np.append(first, len(key)), pa.int32()), pa.array(place[order], pa.int32())
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(rows), part.column(1).take(rows), terms.take(pa.array(order[first])).dictionary_decode(), places],
+                    names=["id", "field", "term", "positions"],
+                )
+
+    id_type = texts.schema["id"].dataType.simpleString()
+    return texts.select("id", "field", "tokens").mapInArrow(group, f"id {id_type}, field string, term string, positions array<int>")
 
 
 def append_terms(docs: DataFrame, table: TermTable, mapping: Mapping | None = None) -> str:
@@ -127,20 +164,16 @@ def append_terms(docs: DataFrame, table: TermTable, mapping: Mapping | None = No
         if not field.is_text:
             raise ValueError(f"{name} is no text field")
         listed.append(F.struct(F.lit(name).alias("field"), field.token_array().alias("tokens")))
-    # Documents are dealt by id before they are cut, so that grouping their tokens moves nothing.
-    rows = docs.select(identity.alias("__id"), *[f"`{f.split('.')[0]}`" for f in dict.fromkeys(table.fields)]).repartition("__id")
-    rows = rows.select(F.col("__id").alias("id"), F.explode(F.array(*listed)).alias("_f"))
-    rows = rows.select("id", "_f.field", F.posexplode("_f.tokens").alias("position", "term"))
-    rows = rows.groupBy("id", "field", "term").agg(F.sort_array(F.collect_list("position")).alias("positions"))
-    _write(rows, table, "postings", batch, "term", "field", "term", "id")
+    rows = docs.select(identity.alias("id"), F.explode(F.array(*listed)).alias("_f")).select("id", "_f.field", "_f.tokens")
+    _write(_postings_of(rows), table, "postings", batch, "term", "id", "field", "term", "id")
     id_type = docs.schema[table.id_column].dataType
     own = _all(spark, table, "postings", id_type).where(F.col("batch") == batch)
-    _write(own.groupBy("field", "term").agg(F.count("*").alias("n_docs")), table, "words", batch, "term", "field", "term")
+    _write(own.groupBy("field", "term").agg(F.count("*").alias("n_docs")), table, "words", batch, "term", "term", "field", "term")
     own = _all(spark, table, "words").where(F.col("batch") == batch).select("field", "term")
     new = own.join(_read(spark, table, "words").select("field", "term"), ["field", "term"], "left_anti")
-    short = new.where(F.length("term") <= LONGEST_VARIED)
-    _write(short.select("field", "term", F.explode(variants_of(F.col("term"))).alias("variant")), table, "variants", batch, "variant", "variant")
-    _write(new.select("field", "term", F.explode(grams_of(F.col("term"))).alias("gram")), table, "grams", batch, "gram", "gram", "term")
+    varied = new.select("field", "term", F.explode(variants_of(F.substring("term", 1, VARIED))).alias("variant"))
+    _write(varied, table, "variants", batch, "variant", "term", "variant")
+    _write(new.select("field", "term", F.explode(grams_of(F.col("term"))).alias("gram")), table, "grams", batch, "gram", "term", "gram", "term")
     written = docs.agg(F.lit(batch).alias("batch"), F.count("*").alias("n_docs"))
     written.coalesce(1).write.mode("append").parquet(table.path("batches"))
     return batch
@@ -250,15 +283,8 @@ class _Lookup:
         return self._of_terms(self.rows("words").where(F.col("term").startswith(start)))
 
     def of_fuzzy(self, word: str, edits: int) -> DataFrame:
-        near = tk.within_edits(F.col("term"), word, edits)
-        found = []
-        if len(word) - edits <= LONGEST_VARIED:
-            found.append(self._keyed("variants", "variant", _variants(word, edits)).select("term"))
-        if len(word) + edits > LONGEST_VARIED:  # terms that have no variants
-            length = F.length("term")
-            long = (length > LONGEST_VARIED) & length.between(len(word) - edits, len(word) + edits)
-            found.append(self.rows("words").where(long).select("term"))
-        return self._of_terms(reduce(DataFrame.union, found).where(near))
+        found = self._keyed("variants", "variant", _variants(word[:VARIED], edits)).select("term")
+        return self._of_terms(found.where(tk.within_edits(F.col("term"), word, edits)))
 
     def of_phrase(self, words: Sequence[str]) -> DataFrame:
         """Ids of the documents that hold words next to each other."""
@@ -319,8 +345,8 @@ def _alike(query: MoreLikeThis, lookups: Mapping[str, _Lookup], n_docs: int) ->
     return reduce(DataFrame.union, held).groupBy("id").count().where(F.col("count") >= needed).select("id")
 
 
-def search_terms(docs: DataFrame, query: SearchQuery, table: TermTable, mapping: Mapping | None = None) -> DataFrame:
-    """The rows of ``search``, found by the terms of ``docs`` in the table."""
+def _found(docs: DataFrame, query: SearchQuery, table: TermTable, mapping: Mapping | None) -> tuple[bool, DataFrame | None]:
+    """Does the table answer a query, and rows with the ids that meet it; None where nothing can."""
     spark = docs.sparkSession
     described = Documents(docs, mapping, table.id_column)
     id_type = docs.schema[table.id_column].dataType
@@ -336,7 +362,7 @@ def search_terms(docs: DataFrame, query: SearchQuery, table: TermTable, mapping:
     alike = isinstance(query, MoreLikeThis) and known(*query.fields)
     single = isinstance(query, (Match, Term, Terms, Prefix, Wildcard, Regex, Fuzzy, CommonTerms)) and known(query.field)
     if not (phrases or alike or single) or isinstance(getattr(query, "values", None), DataFrame):
-        return search(docs, query, mapping, table.id_column)
+        return False, None
     batches = _batches(spark, table)
     found = None
     if not batches:
@@ -350,7 +376,31 @@ def search_terms(docs: DataFrame, query: SearchQuery, table: TermTable, mapping:
         if all(words for _, words in parts):
             ids = [lookup(name).of_phrase(words).select("id") for name, words in parts]
             found = reduce(lambda one, other: one.join(other, "id", "left_semi"), ids)
+    return True, None if found is None else found.select(F.col("id").alias("__id"))
+
+
+def search_terms(docs: DataFrame, query: SearchQuery, table: TermTable, mapping: Mapping | None = None) -> DataFrame:
+    """The rows of ``search``, found by the terms of ``docs`` in the table."""
+    answered, found = _found(docs, query, table, mapping)
+    if not answered:
+        return search(docs, query, mapping, table.id_column)
     if found is None:
         return docs.where(F.lit(False))
-    found = found.select(F.col("id").alias("__id"))
     return docs.join(found, F.col(f"`{table.id_column}`") == F.col("__id"), "left_semi")
+
+
+def search_terms_all(
+    docs: DataFrame, queries: Mapping[str, SearchQuery], table: TermTable, mapping: Mapping | None = None, label: str = "query"
+) -> DataFrame:
+    """The rows of ``search_terms`` for several queries, with the name of the query first; documents are read and joined once."""
+    ids, scans = [], []
+    for name, query in queries.items():
+        answered, found = _found(docs, query, table, mapping)
+        if not answered:
+            scans.append(search(docs, query, mapping, table.id_column).select(F.lit(name).alias(label), "*"))
+        elif found is not None:
+            ids.append(found.select(F.lit(name).alias("__label"), "__id").distinct())
+    if ids:
+        hits = docs.join(reduce(DataFrame.union, ids), F.col(f"`{table.id_column}`") == F.col("__id"))
+        scans.append(hits.select(F.col("__label").alias(label), *[docs[f"`{name}`"] for name in docs.columns]))
+    return reduce(DataFrame.union, scans) if scans else docs.where(F.lit(False)).select(F.lit("").alias(label), "*")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +56,7 @@ from quayside.operators.search import (
     sample_documents,
     search,
 )
-from quayside.operators.term_table import TermTable, append_terms, search_terms
+from quayside.operators.term_table import TermTable, append_terms, search_terms_all
 from quayside.plans.route import Route
 from quayside.plans.run import run_route
 from quayside.sources import topics
@@ -356,8 +355,7 @@ def term_queries(name: str, parts: int, queries: dict[str, tuple[SearchQuery, st
     @query(f"terms_{name}", "\nUNION ALL\n".join(f"SELECT '{label}' AS query, * FROM ({sql})" for label, (_, sql) in queries.items()))
     def run(spark, folder):
         documents, terms = in_parts(spark, folder, parts)
-        hits = [search_terms(documents, what, terms).select(F.lit(label).alias("query"), "*") for label, (what, _) in queries.items()]
-        return reduce(DataFrame.union, hits)
+        return search_terms_all(documents, {label: what for label, (what, _) in queries.items()}, terms)
 
 
 def where(condition: str) -> str:

@@ -213,3 +213,32 @@ def test_table_agrees_after_more_documents(spark, docs, tmp_path):
     tt.append_terms(docs.where("_id < 'd5'"), table)
     tt.append_terms(docs.where("_id >= 'd5'"), table)
     assert same_rows(tt.search_terms(docs, Prefix("text", "ab"), table).select("_id"), search(docs, Prefix("text", "ab")).select("_id"))
+
+
+def test_a_table_grows_with_the_postings_alone(spark, tmp_path):
+    """A long term has few variants, and postings are made where the texts are."""
+    table = tt.TermTable(str(tmp_path), ["text"], "k")
+    docs = spark.createDataFrame([(1, f"{LONG[:24]} b a b"), (2, None), (3, "a")], "k long, text string")
+    tt.append_terms(docs, table)
+    counts = {r.term: r["count"] for r in tt._read(spark, table, "variants").groupBy("term").count().collect()}
+    assert set(counts) == {LONG[:24], "a", "b"} and max(counts.values()) <= 1 + tt.VARIED + tt.VARIED * (tt.VARIED - 1) // 2
+    assert tt.search_terms(docs, Fuzzy("text", LONG[2:23], 2), table).isEmpty()
+    assert [r.k for r in tt.search_terms(docs, Fuzzy("text", LONG[1:24]), table).collect()] == [1]
+    rows = docs.select(F.col("k").alias("id"), F.lit("text").alias("field"), tk.tokens(F.col("text")).alias("tokens"))
+    postings = tt._postings_of(rows)
+    assert "Exchange" not in plan_of(postings)
+    found = {(r.id, r.field, r.term, *r.positions) for r in postings.collect()}
+    assert found == {(1, "text", LONG[:24], 0), (1, "text", "b", 1, 3), (1, "text", "a", 2), (3, "text", "a", 0)}
+
+
+def test_several_queries_read_the_documents_once(spark, docs, table, tmp_path):
+    docs.write.parquet(f"{tmp_path}/docs")
+    kept = spark.read.parquet(f"{tmp_path}/docs")
+    queries = {"a": Match("text", "abc"), "b": Prefix("text", "ab"), "c": Terms("text", []), "d": Fuzzy("text", "abcab")}
+    found = tt.search_terms_all(kept, queries, table)
+    assert found.columns == ["query", *docs.columns]
+    assert plan_of(found).count(f"{tmp_path}/docs") == 1
+    own = [(name, r["_id"]) for name, query in queries.items() for r in search(docs, query).collect()]
+    assert sorted((r["query"], r["_id"]) for r in found.collect()) == sorted(own)
+    assert tt.search_terms_all(docs, {"x": Exists("text")}, table).count() == search(docs, Exists("text")).count()
+    assert tt.search_terms_all(docs, {"x": Terms("text", [])}, table).count() == 0
