@@ -358,3 +358,20 @@ def test_packed_files_have_headers(spark, folder):
     spark.createDataFrame([("y", 2)], "b string, c int").write.option("header", True).csv(f"{folder}/2")
     found = read(spark, File(Csv(), folder))
     assert sorted((r.a or "", r.b, r.c or "") for r in found.collect()) == [("", "y", "2"), ("1", "x", "")]
+
+
+def test_workbooks_reach_python_in_slices(spark, folder, monkeypatch):
+    """No row that is sent to Python holds a workbook, and none is lost between slices."""
+    frame = spark.range(0, 3000, 1, 2).selectExpr("id", "concat('text ', id) AS text")
+    target = File(Xlsx(rows_per_workbook=1000), f"{folder}/books", schema=frame.schema)
+    write(frame, target, "errorifexists")
+    files = spark.read.format("binaryFile").schema(xlsx.BINARY_FILE).load(target.path)
+    monkeypatch.setattr(xlsx, "SLICE", 1000)
+    parts = xlsx._sliced(files)
+    rows = parts.selectExpr("path", "length(part) AS n", "last").collect()
+    assert max(r.n for r in rows) == 1000 and sum(r.last for r in rows) == files.count() == 4
+    assert sum(r.n for r in rows) == files.selectExpr("sum(length)").first()[0]
+    assert same_rows(read(spark, target), frame)
+    assert xlsx.infer_schema(files).names == ["id", "text"]
+    held = [book.read() for _, book in xlsx._workbooks(parts.toArrow().to_batches())]
+    assert sorted(held) == sorted(bytes(r.content) for r in files.select("content").collect())
