@@ -18,6 +18,10 @@ from quayside.sources import storage, xlsx
 # Spark ships its Avro file format, only the short name is in another package.
 AVRO_SOURCE = "org.apache.spark.sql.avro.AvroFileFormat"
 
+# Spark reads an XML file in one task, so a task that writes many rows writes several files.
+XML_ROWS = 50_000
+MOST_ROWS = "spark.sql.files.maxRecordsPerFile"
+
 # Text formats cut timestamps to milliseconds unless told otherwise.
 MICROS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
@@ -214,6 +218,8 @@ def write(frame: DataFrame, endpoint: File, mode: str) -> None:
         _write_workbooks(frame, endpoint, mode)
         return
     writer = frame.write.format(source_name(fmt)).options(**write_options(fmt))
+    if isinstance(fmt, Xml) and not endpoint.single_file and int(frame.sparkSession.conf.get(MOST_ROWS)) <= 0:
+        writer = writer.option("maxRecordsPerFile", XML_ROWS)
     if endpoint.datasets:
         writer = writer.partitionBy("dataset").option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).save(endpoint.path)

@@ -375,3 +375,13 @@ def test_workbooks_reach_python_in_slices(spark, folder, monkeypatch):
     assert xlsx.infer_schema(files).names == ["id", "text"]
     held = [book.read() for _, book in xlsx._workbooks(parts.toArrow().to_batches())]
     assert sorted(held) == sorted(bytes(r.content) for r in files.select("content").collect())
+
+
+def test_xml_files_are_bounded(spark, folder):
+    """One task reads an XML file, so a task that writes many rows writes several."""
+    frame = spark.range(0, 120_000, 1, 1).selectExpr("id", "concat('text ', id) AS text")
+    for single, files in ((False, 3), (True, 1)):
+        target = File(Xml("rows", "row"), f"{folder}/{single}", schema=frame.schema, single_file=single)
+        write(frame, target, "errorifexists")
+        assert len(glob.glob(f"{target.path}/part-*")) == files
+        assert same_rows(read(spark, target), frame)
